@@ -52,7 +52,8 @@ def _columns() -> list[Column]:
     value = F.col("current_shares") * F.coalesce(F.col("latest_price"), F.lit(0))
     basis = F.col("total_cost_basis")
     gain = value - basis
-    share = divide(gain.cast("decimal(32,6)"), basis.cast("decimal(18,2)"), 12)
+    # Narrow enough that multiplying by 100 keeps all twelve digits.
+    share = divide(gain.cast("decimal(32,6)"), basis, 12).cast("decimal(26,12)")
     return [
         F.col("snapshot_date").cast("date").alias("snapshot_date"),
         "customer_id",

@@ -47,6 +47,8 @@ def differences(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
     ours = _rows(df.columns, [tuple(row) for row in df.toLocalIterator()])
     theirs = _rows(names, result.fetchall())
     found = []
+    if not ours:
+        found.append("no rows")
     if ours != theirs:
         only_ours, only_theirs = ours - theirs, theirs - ours
         found.append(f"{ours.total()} rows against {theirs.total()}")
