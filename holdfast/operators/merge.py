@@ -19,19 +19,27 @@ def trade_summary(trades: DataFrame) -> DataFrame:
     )
 
 
+def _new_shares() -> Column:
+    return F.coalesce("s.current_shares", F.lit(0)) + F.col("b.net_share_change")
+
+
 def _new_basis() -> Column:
-    """Cost basis after the batch: the rule depends only on the batch's net change."""
+    """Cost basis after the batch: the rule depends only on the batch's net change.
+
+    It is not worked out for a position that ends, where an oversold share could be
+    too large for any decimal.
+    """
     old, held = F.col("s.total_cost_basis"), F.col("s.current_shares")
     net, bought = F.col("b.net_share_change"), F.col("b.buy_value")
     sold = divide(F.col("b.shares_sold").cast("decimal(20,0)"), held, 6)
     left = 1 - sold.try_cast("decimal(18,6)")
-    return (
+    basis = (
         F.when(old.isNull(), bought)
         .when(net > 0, old + bought)
         .when((net < 0) & (held > 0), old * left)
         .otherwise(old)
-        .cast("decimal(30,8)")
     )
+    return F.when(_new_shares() > 0, basis).cast("decimal(30,8)")
 
 
 def _merged(state: DataFrame, trades: DataFrame, as_of: Column, how: str) -> DataFrame:
@@ -48,7 +56,7 @@ def _merged(state: DataFrame, trades: DataFrame, as_of: Column, how: str) -> Dat
         F.col("s.current_shares").isNotNull().alias("known"),
         touched.alias("touched"),
         F.coalesce("s.current_shares", F.lit(0)).alias("old_shares"),
-        (F.coalesce("s.current_shares", F.lit(0)) + F.col("b.net_share_change")).alias("new_shares"),
+        _new_shares().alias("new_shares"),
         F.col("s.total_cost_basis").alias("old_basis"),
         F.col("s.average_cost_per_share").alias("old_average"),
         _new_basis().alias("new_basis"),

@@ -65,7 +65,7 @@ def _columns() -> list[Column]:
         .cast("decimal(38,4)")
         .alias("quantity"),
         F.round(F.coalesce(basis, "daily_net_cash"), 2).cast("decimal(38,2)").alias("cost_basis"),
-        F.round("average_cost_per_share", 2).cast("decimal(10,4)").alias("average_cost_per_share"),
+        F.round("average_cost_per_share", 2).cast("decimal(18,4)").alias("average_cost_per_share"),
         F.round(F.coalesce("latest_price", F.lit(1)), 2).cast("decimal(10,2)").alias("market_price"),
         F.round(F.when(held, value).otherwise(F.col("daily_net_cash")), 2)
         .cast("decimal(38,2)")
@@ -138,7 +138,7 @@ def portfolio_snapshot(
                 "held_ticker": F.lit(None).cast("string"),
                 "current_shares": F.lit(None).cast("decimal(18,4)"),
                 "total_cost_basis": F.lit(None).cast("decimal(18,2)"),
-                "average_cost_per_share": F.lit(None).cast("decimal(10,4)"),
+                "average_cost_per_share": F.lit(None).cast("decimal(18,4)"),
                 "last_trade_date": F.lit(None).cast("date"),
                 "latest_price": F.lit(None).cast("decimal(10,2)"),
             }
@@ -234,7 +234,7 @@ def current_holdings(history: DataFrame, cash: DataFrame) -> DataFrame:
             F.lit("CASH").alias("ticker"),
             amount.alias("quantity"),
             amount.alias("cost_basis"),
-            F.lit(None).cast("decimal(10,4)").alias("average_cost_per_share"),
+            F.lit(None).cast("decimal(18,4)").alias("average_cost_per_share"),
             F.lit(1).cast("decimal(10,2)").alias("market_price"),
             amount.alias("market_value"),
             zero.alias("unrealized_gain_loss"),

@@ -10,7 +10,7 @@ TIMESTAMP = T.TimestampNTZType()
 
 SHARE = T.DecimalType(18, 4)
 COST = T.DecimalType(18, 2)
-UNIT_COST = T.DecimalType(10, 4)
+UNIT_COST = T.DecimalType(18, 4)
 PRICE = T.DecimalType(10, 2)
 AMOUNT = T.DecimalType(38, 2)
 
