@@ -1,7 +1,6 @@
 """Latest price at or before a date."""
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,36 +10,42 @@ def asof_prices(probes: DataFrame, prices: DataFrame) -> DataFrame:
     `probes` has columns ticker and as_of, `prices` has ticker, price_date and
     close_price.  `latest_price` is NULL where no price is old enough.
 
-    Both sides are first reduced to one row per ticker and day, with combining
-    before the shuffle.  They are then stacked, and the last price is carried
+    Prices and probes are stacked and reduced to one row per ticker and day, in one
+    aggregate that combines before the shuffle.  The last price is then carried
     forward along the days of each ticker: one sort, no pairs of rows.  A ticker's
-    window holds at most two rows per calendar day, however often the ticker
-    is traded.  Several closes on one day count as the greatest of them.
+    window holds at most one row per calendar day, however often the ticker is
+    traded.  Several closes on one day count as the greatest of them.
     """
-    closes = (
-        prices.groupBy("ticker", F.col("price_date").cast("date").alias("as_of"))
-        .agg(F.max("close_price").alias("close_price"))
-        .select("ticker", "as_of", F.struct("close_price").alias("close"), F.lit(0).alias("kind"))
+    closes = prices.select(
+        "ticker",
+        F.col("price_date").cast("date").alias("as_of"),
+        "close_price",
+        F.lit(False).alias("asked"),
     )
-    asked = (
-        probes.select("ticker", F.col("as_of").cast("date").alias("as_of"))
-        .distinct()
-        .select(
-            "ticker",
-            "as_of",
-            F.lit(None).cast(closes.schema["close"].dataType).alias("close"),
-            F.lit(1).alias("kind"),
+    asked = probes.select(
+        "ticker",
+        F.col("as_of").cast("date").alias("as_of"),
+        F.lit(None).cast(prices.schema["close_price"].dataType).alias("close_price"),
+        F.lit(True).alias("asked"),
+    )
+    days = (
+        closes.unionByName(asked)
+        .groupBy("ticker", "as_of")
+        .agg(
+            F.max("close_price").alias("close_price"),
+            F.max("asked").alias("asked"),
+            (~F.min("asked")).alias("priced"),
         )
     )
     along = (
         Window.partitionBy("ticker")
-        .orderBy("as_of", "kind")
+        .orderBy("as_of")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     # The struct keeps a NULL close apart from "no price yet".
+    close = F.when(F.col("priced"), F.struct("close_price"))
     return (
-        closes.unionByName(asked)
-        .withColumn("close", F.last("close", ignorenulls=True).over(along))
-        .where(F.col("kind") == 1)
+        days.withColumn("close", F.last(close, ignorenulls=True).over(along))
+        .where("asked")
         .select("ticker", "as_of", F.col("close.close_price").alias("latest_price"))
     )

@@ -1,5 +1,7 @@
 """Current positions, kept by merging batches of trades into them."""
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def _new_basis() -> Column:
     return F.when(_new_shares() > 0, basis).cast("decimal(30,8)")
 
 
-def _merged(state: DataFrame, trades: DataFrame, as_of: Column, how: str) -> DataFrame:
+def _merged(state: DataFrame, trades: DataFrame, as_of: dt.datetime, how: str) -> DataFrame:
     """Batch and state side by side, reduced to the values each key ends with.
 
     Both sides have one row per key, so no key can be hot in this join.
@@ -78,20 +80,20 @@ def _merged(state: DataFrame, trades: DataFrame, as_of: Column, how: str) -> Dat
         .alias("average_cost_per_share"),
         "first_trade_date",
         pick(F.col("new_last"), "old_last").alias("last_trade_date"),
-        pick(as_of.cast("timestamp_ntz"), "old_updated").alias("last_updated"),
+        pick(F.lit(as_of).cast("timestamp_ntz"), "old_updated").alias("last_updated"),
         "known",
         "touched",
     )
 
 
-def merge_positions(state: DataFrame, trades: DataFrame, as_of: Column) -> DataFrame:
+def merge_positions(state: DataFrame, trades: DataFrame, as_of: dt.datetime) -> DataFrame:
     """The whole table after the batch: keys update, sold-out keys go, new ones come."""
     merged = _merged(state, trades, as_of, "full")
     stays = F.when(F.col("touched"), F.col("current_shares") > 0).otherwise(F.col("known"))
     return merged.where(stays).select(*POSITIONS.fieldNames())
 
 
-def changed_positions(state: DataFrame, trades: DataFrame, as_of: Column) -> DataFrame:
+def changed_positions(state: DataFrame, trades: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Only the keys of the batch, with `deleted` set where the position ends.
 
     A key that was not held and ends without shares is left out.

@@ -1,7 +1,5 @@
 """Nesting trades into JSON payloads, and unnesting them again."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,40 +52,42 @@ def _nested(groups: DataFrame) -> DataFrame:
     )
 
 
-def _same_group(left: DataFrame, right: DataFrame):
-    return reduce(
-        lambda a, b: a & b, (left[name].eqNullSafe(right[name]) for name in GROUP)
-    )
-
-
 def build_payload(trades: DataFrame, max_trades: int = 10_000) -> DataFrame:
     """One payload per customer, day, account and category, holding all its trades.
 
     A payload is one row, so a group must fit one task.  Groups above `max_trades`
     are therefore spread over several payloads of about that size, all with the same
-    group columns; flattening gives the same trades either way.  Which groups are that large
-    is found by a count that is combined before the shuffle.  When there are none,
-    adaptive execution drops the second branch.
+    group columns; flattening gives the same trades either way.
+
+    A hash of the group stands for it in counts and joins.  Counting combines before
+    the shuffle and moves two numbers per group.  Groups whose hashes
+    collide are at worst split for nothing.  While no group is too large, the second
+    branch is shut by a subquery that runs first, and nothing is shuffled for it.
     """
-    trades = trades.select(*GROUP, *TRADE)
+    keyed = trades.select(F.xxhash64(*GROUP).alias("group_hash"), *GROUP, *TRADE)
     large = (
-        trades.groupBy(*GROUP)
+        keyed.groupBy("group_hash")
         .agg(F.count("*").alias("in_group"))
         .where(F.col("in_group") > max_trades)
     )
 
-    usual = trades.join(large, _same_group(trades, large), "left_anti")
+    # Grouping by the hash as well keeps the partitioning of the join.
     payloads = _nested(
-        usual.groupBy(*GROUP).agg(F.array_sort(F.collect_list(F.struct(*TRADE))).alias("trades"))
+        keyed.join(large, "group_hash", "left_anti")
+        .groupBy("group_hash", *GROUP)
+        .agg(F.array_sort(F.collect_list(F.struct(*TRADE))).alias("trades"))
     )
 
     # Equal trades are counted first, so copies of one row cannot gather in one task.
-    copies = trades.groupBy(*GROUP, *TRADE).agg(F.count("*").alias("copies"))
-    sized = copies.join(large, _same_group(copies, large)).select(
-        *(copies[name] for name in copies.columns), large["in_group"]
-    )
-    chunks = sized.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / max_trades).cast("int")))
+    any_large = large.agg(F.count("*") > 0).scalar()
+    chunks = (
+        keyed.where(any_large)
+        .groupBy("group_hash", *GROUP, *TRADE)
+        .agg(F.count("*").alias("copies"))
+        .join(large, "group_hash")
+        .withColumn(
+            "chunk", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / max_trades).cast("int")))
+        )
     )
     parts = chunks.select(
         *GROUP,

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import merge_positions
 from ..operators.payload import build_payload
-from ..sources.files import table
+from ..session import workspace
+from ..sources.files import table, write_table
 from ..types import POSITIONS
 from .cash import cash_detail, daily_cash, snapshot_dates
 from .trades import enrich_trades
@@ -56,7 +57,8 @@ def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
     )
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Two fact tables: joined by shuffle at any size, never by broadcast.
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def trades_flat(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,8 +94,9 @@ def payload_input(trades: DataFrame) -> DataFrame:
 
 
 def trades_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Trades as landed: day, id and JSON payload."""
-    return build_payload(payload_input(trades_flat(spark, folder)))
+    """Trades as landed: day, id and JSON payload, made from a stored transaction table."""
+    transactions = payload_input(trades_flat(spark, folder))
+    return build_payload(write_table(transactions, f"{workspace(spark)}/transactions"))
 
 
 def cash_deposits(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,7 +153,7 @@ def no_positions(spark: SparkSession) -> DataFrame:
 
 def positions(spark: SparkSession, folder: str) -> DataFrame:
     """Positions after one batch with all trades."""
-    return merge_positions(no_positions(spark), brand_trades(spark, folder), F.lit(AS_OF))
+    return merge_positions(no_positions(spark), brand_trades(spark, folder), AS_OF)
 
 
 def closing_dates(trades: DataFrame, cash: DataFrame) -> DataFrame:

@@ -176,7 +176,7 @@ def ledger_mark(spark: SparkSession, folder: str) -> DataFrame:
     trades = _feeds(spark, folder)["trades"]
     empty = spark.createDataFrame([], LEDGER)
     early = S.pending_days(trades, empty).where(F.col("transaction_date") < F.lit(A.BATCH_CUT))
-    ledger = S.mark_done(empty, early, F.lit(A.AS_OF))
+    ledger = S.mark_done(empty, early, A.AS_OF)
     pending = S.pending_days(trades, ledger)
     return plain(
         ledger.select("transaction_date", "unload_status").unionByName(

@@ -74,7 +74,7 @@ def merge_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches, cut at a fixed day; the state between them is a stored table."""
     trades = A.brand_trades(spark, folder)
     early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
-    as_of = F.lit(A.AS_OF)
+    as_of = A.AS_OF
     state = O.merge_positions(A.no_positions(spark), trades.where(early), as_of)
     state = stored(spark, state, "positions")
     return plain(O.merge_positions(state, trades.where(~early), as_of).drop("last_updated"))

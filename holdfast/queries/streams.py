@@ -138,7 +138,7 @@ def merge_positions_stream(spark: SparkSession, folder: str) -> DataFrame:
         consume(
             change_feed(spark, f"{root}/trades", TRADES_FLAT),
             f"{root}/checkpoint",
-            positions_step(target, F.lit(A.AS_OF), compact_every=1),
+            positions_step(target, A.AS_OF, compact_every=1),
         ).awaitTermination()
     return plain(target.read().drop("last_updated"))
 
@@ -193,7 +193,7 @@ def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     snapshot = snapshot_step(f"{root}/history", positions, daily, prices, _newest_day)
     trade_steps = run_steps(
         daily_cash_step(daily, "trades", C.trade_cash),
-        positions_step(positions, F.lit(A.AS_OF)),
+        positions_step(positions, A.AS_OF),
         snapshot,
     )
     deposit_steps = run_steps(daily_cash_step(daily, "deposits", C.deposit_cash), snapshot)

@@ -6,7 +6,7 @@ per unloaded day.  It is small: days, not rows.
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .files import CSV_OPTIONS
@@ -98,14 +98,14 @@ def unload_status(calendar: DataFrame, feed: str) -> DataFrame:
     )
 
 
-def mark_done(ledger: DataFrame, days: DataFrame, at: Column) -> DataFrame:
+def mark_done(ledger: DataFrame, days: DataFrame, at: dt.datetime) -> DataFrame:
     """The ledger with the given days set to SUCCESS; a second mark replaces the first."""
     marked = days.select("transaction_date").distinct()
     return ledger.join(marked, "transaction_date", "left_anti").unionByName(
         marked.select(
             "transaction_date",
             F.lit("SUCCESS").alias("unload_status"),
-            at.cast("timestamp_ntz").alias("unload_time"),
+            F.lit(at).cast("timestamp_ntz").alias("unload_time"),
         )
     )
 

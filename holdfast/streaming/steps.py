@@ -1,9 +1,10 @@
 """What happens to a micro-batch."""
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.merge import changed_positions
@@ -35,7 +36,7 @@ def daily_cash_step(
     return lambda batch, batch_id: target.add(daily_cash(as_cash(batch)), batch_id, source)
 
 
-def positions_step(target: ChangeTable, as_of: Column, compact_every: int = 50) -> Step:
+def positions_step(target: ChangeTable, as_of: dt.datetime, compact_every: int = 50) -> Step:
     """Merge a batch of trades into the positions, with a full copy now and then."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
