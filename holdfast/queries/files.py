@@ -9,7 +9,7 @@ from .. import sources as S
 from ..plans import adapters as A
 from ..plans.trades import flattened
 from ..session import workspace
-from ..sources.files import CSV_OPTIONS
+from ..sources.files import CSV_WRITE_OPTIONS
 from ..streaming import auto_ingest, csv_feed
 from ..types import AMOUNT, CASH_DEPOSITS, LEDGER, LONG, RETIREMENT_CONTRIBUTIONS, TEXT, schema
 from .common import plain
@@ -19,7 +19,7 @@ SCHEMA_CUT = dt.datetime(1998, 1, 1)
 
 
 def _write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", True).csv(path)
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def scan_typed(spark: SparkSession, folder: str) -> DataFrame:

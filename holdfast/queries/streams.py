@@ -16,7 +16,7 @@ from ..plans import cash as C
 from ..plans import holdings as H
 from ..plans.trades import flattened
 from ..session import workspace
-from ..sources.files import CSV_OPTIONS, parse_payload
+from ..sources.files import CSV_WRITE_OPTIONS, parse_payload
 from ..streaming import (
     BatchFolders,
     BatchSums,
@@ -158,10 +158,10 @@ def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
 
     # Landing.
     raw = build_payload(A.payload_input(A.brand_trades(spark, folder)))
-    raw.withColumn("transaction_payload", F.to_json("transaction_payload")).write.options(
-        **CSV_OPTIONS
-    ).option("quoteAll", True).csv(f"{root}/landing/trades")
-    A.cash_deposits(spark, folder).write.options(**CSV_OPTIONS).csv(f"{root}/landing/deposits")
+    text = raw.withColumn("transaction_payload", F.to_json("transaction_payload"))
+    text.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/landing/trades")
+    deposits = A.cash_deposits(spark, folder)
+    deposits.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/landing/deposits")
     A.brand_prices(spark, folder).write.parquet(f"{root}/prices")
 
     # Ingestion.

@@ -18,8 +18,13 @@ CSV_OPTIONS = {
     "emptyValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+}
+# Readers take any ISO form, a bare day included; writers keep the microseconds.
+CSV_WRITE_OPTIONS = {
+    **CSV_OPTIONS,
+    "quoteAll": "true",
     "dateFormat": "yyyy-MM-dd",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
 
 

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .files import CSV_OPTIONS
+from .files import CSV_WRITE_OPTIONS
 
 # The day the cursor starts at, and the maximum of an empty feed.
 FIRST_DAY = dt.date(2019, 1, 2)
@@ -28,8 +28,7 @@ def unload_by_date(df: DataFrame, path: str, date: str = "transaction_date") ->
         .write.mode("overwrite")
         .partitionBy("unload_date")
         .option("partitionOverwriteMode", "dynamic")
-        .options(**CSV_OPTIONS)
-        .option("quoteAll", True)
+        .options(**CSV_WRITE_OPTIONS)
         .csv(path)
     )
 
