@@ -14,12 +14,12 @@ WEEKS_PER_YEAR = 52
 def each_date(df: DataFrame, dates: DataFrame, name: str = "snapshot_date") -> DataFrame:
     """Every row of `df` once per date.
 
-    `dates` is any frame with the date column; it is cast to DATE and made distinct,
-    so what travels to the tasks is one row whose array has at most one entry
-    per calendar day.
+    `dates` is any frame with the date column; it is cast to DATE and made distinct.
+    The dates reach the tasks as the value of a scalar subquery, an array with at most
+    one entry per calendar day, so there is no join.
     """
-    days = dates.agg(F.array_sort(F.collect_set(F.col(name).cast("date"))).alias("_days"))
-    return df.crossJoin(F.broadcast(days)).withColumn(name, F.explode("_days")).drop("_days")
+    days = dates.agg(F.array_sort(F.collect_set(F.col(name).cast("date")))).scalar()
+    return df.withColumn(name, F.explode(days))
 
 
 def weekly_schedule(customers: DataFrame, until: dt.date) -> DataFrame:

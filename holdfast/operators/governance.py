@@ -177,6 +177,14 @@ RULES = (
     Rule("DATE_OF_BIRTH", ("birth",), None, (T.DateType,), hint_required=True),
 )
 
+# The same shapes anywhere inside a longer text.  Optional leading parts do not matter
+# there, and an address is only tried at the start of a word, which keeps the scan linear.
+INSIDE = {
+    "EMAIL": r"(?<![\w.+-])[\w.+-]++@[\w-]+(\.[\w-]+)+",
+    "PHONE_NUMBER": r"\d{3}\)?[ .-]?\d{3}[.-]\d{4}",
+    "NATIONAL_IDENTIFIER": r"\d{3}-\d{2}-\d{4}",
+}
+
 SURE = 0.8
 LIKELY = 0.5
 
@@ -191,7 +199,7 @@ def _hinted(rule: Rule, column: str) -> bool:
     return any(hint in words for hint in rule.hints)
 
 
-def match_ratios(df: DataFrame, patterns: Mapping[str, str], column: str) -> DataFrame:
+def match_ratios(df: DataFrame, column: str, patterns: Mapping[str, str] = INSIDE) -> DataFrame:
     """Share of non-NULL texts in which each pattern occurs, one row per pattern."""
     value = F.col(column)
     shares = [

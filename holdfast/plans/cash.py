@@ -3,16 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DETAIL = (
-    "customer_id",
-    "transaction_date",
-    "cash_deposit_id",
-    "security_purchase_transaction_id",
-    "ticker",
-    "amount",
-    "account_type",
-    "transaction_category",
-)
+from .. import types
+
 DAILY_KEY = ("customer_id", "transaction_date", "ticker", "account_type")
 
 # How cash from trades is labelled.
@@ -28,7 +20,7 @@ def deposit_cash(deposits: DataFrame) -> DataFrame:
         F.col("deposit_id").alias("cash_deposit_id"),
         F.lit(None).cast("string").alias("security_purchase_transaction_id"),
         "ticker",
-        F.col("deposit_amount").cast("decimal(38,2)").alias("amount"),
+        F.col("deposit_amount").cast(types.CASH).alias("amount"),
         F.col("account_type_name").alias("account_type"),
         "transaction_category",
     )
@@ -38,7 +30,7 @@ def trade_cash(trades: DataFrame) -> DataFrame:
     """Cash effect of trades, one row per customer, day, transaction and account."""
     return (
         trades.groupBy("customer_id", "transaction_date", "transaction_id", "account_type")
-        .agg(F.sum("cash_flow_impact").cast("decimal(38,2)").alias("amount"))
+        .agg(F.sum("cash_flow_impact").cast(types.CASH).alias("amount"))
         .select(
             "customer_id",
             F.col("transaction_date").cast("timestamp_ntz").alias("transaction_date"),
@@ -59,9 +51,7 @@ def cash_detail(deposits: DataFrame, trades: DataFrame) -> DataFrame:
 
 def daily_cash(detail: DataFrame) -> DataFrame:
     """Net cash flow per customer, day, ticker and account: a flow, not a balance."""
-    return detail.groupBy(*DAILY_KEY).agg(
-        F.sum("amount").cast("decimal(38,2)").alias("daily_net_cash")
-    )
+    return detail.groupBy(*DAILY_KEY).agg(F.sum("amount").cast(types.CASH).alias("daily_net_cash"))
 
 
 def snapshot_dates(trades: DataFrame, cash: DataFrame) -> DataFrame:

@@ -3,36 +3,21 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import types
 from ..functions import divide
 from ..operators.asof import asof_prices
 from ..operators.dates import each_date
 from ..operators.latest import latest_per_key, newest
 from ..sources.files import write_table
 
-HISTORY = (
-    "snapshot_date",
-    "customer_id",
-    "account_type",
-    "holding_type",
-    "ticker",
-    "quantity",
-    "cost_basis",
-    "average_cost_per_share",
-    "market_price",
-    "market_value",
-    "unrealized_gain_loss",
-    "unrealized_gain_loss_pct",
-    "last_transaction_date",
-)
-
-
 def priced_positions(positions: DataFrame, dates: DataFrame, prices: DataFrame) -> DataFrame:
     """Every position on every date, with the price then in force.
 
     Dates meet tickers first, of which there are few, and the dated prices of a
-    ticker are gathered into one array, at most one entry per day.  Positions are joined to
-    that by ticker and then expanded, so the rows shuffled are positions, not
-    positions times dates.
+    ticker are gathered into one array, at most one entry per day.  Positions are
+    joined to that by ticker and then expanded, so the rows shuffled are positions,
+    not positions times dates.  Every ticker has its array; the left join only says
+    that positions are the side to stream, whose hot tickers can then be split.
     """
     asked = each_date(positions.select("ticker").distinct(), dates)
     dated = asof_prices(asked.withColumnRenamed("snapshot_date", "as_of"), prices)
@@ -40,7 +25,7 @@ def priced_positions(positions: DataFrame, dates: DataFrame, prices: DataFrame)
         F.collect_list(F.struct(F.col("as_of").alias("snapshot_date"), "latest_price")).alias("curve")
     )
     return (
-        positions.join(curve, "ticker")
+        positions.join(curve, "ticker", "left")
         .withColumn("point", F.explode("curve"))
         .select(*positions.columns, "point.snapshot_date", "point.latest_price")
     )
@@ -49,32 +34,31 @@ def priced_positions(positions: DataFrame, dates: DataFrame, prices: DataFrame)
 def _columns() -> list[Column]:
     """Snapshot columns over a row of position (may be NULL), price and cash."""
     held = F.col("held_ticker").isNotNull()
-    value = F.col("current_shares") * F.coalesce(F.col("latest_price"), F.lit(0))
-    basis = F.col("total_cost_basis")
+    shares, basis = F.col("current_shares"), F.col("total_cost_basis")
+    value = shares * F.coalesce("latest_price", F.lit(0).cast(types.PRICE))
     gain = value - basis
     # Narrow enough that multiplying by 100 keeps all twelve digits.
-    share = divide(gain.cast("decimal(32,6)"), basis, 12).cast("decimal(26,12)")
+    share = divide(gain, basis, 12).cast("decimal(26,12)")
     return [
-        F.col("snapshot_date").cast("date").alias("snapshot_date"),
+        "snapshot_date",
         "customer_id",
         "account_type",
         F.when(held, "SECURITY").otherwise("CASH").alias("holding_type"),
         F.coalesce("held_ticker", F.lit("CASH")).alias("ticker"),
-        F.when(held, F.col("current_shares").cast("int"))
-        .otherwise(F.round("daily_net_cash", 2))
-        .cast("decimal(38,4)")
-        .alias("quantity"),
-        F.round(F.coalesce(basis, "daily_net_cash"), 2).cast("decimal(38,2)").alias("cost_basis"),
-        F.round("average_cost_per_share", 2).cast("decimal(18,4)").alias("average_cost_per_share"),
-        F.round(F.coalesce("latest_price", F.lit(1)), 2).cast("decimal(10,2)").alias("market_price"),
+        F.when(held, F.round(shares, 0)).otherwise(F.col("daily_net_cash")).cast(types.SHARE).alias(
+            "quantity"
+        ),
+        F.coalesce(basis, "daily_net_cash").cast(types.COST).alias("cost_basis"),
+        F.round("average_cost_per_share", 2).cast(types.UNIT_COST).alias("average_cost_per_share"),
+        F.coalesce("latest_price", F.lit(1).cast(types.PRICE)).cast(types.PRICE).alias("market_price"),
         F.round(F.when(held, value).otherwise(F.col("daily_net_cash")), 2)
-        .cast("decimal(38,2)")
+        .cast(types.COST)
         .alias("market_value"),
-        F.round(F.when(held & (F.col("current_shares") > 0), gain).otherwise(0), 2)
-        .cast("decimal(38,2)")
+        F.round(F.when(held & (shares > 0), gain).otherwise(0), 2)
+        .cast(types.COST)
         .alias("unrealized_gain_loss"),
         F.round(F.when(held & (basis > 0), share * 100).otherwise(0), 2)
-        .cast("decimal(38,4)")
+        .cast(types.PERCENT)
         .alias("unrealized_gain_loss_pct"),
         F.coalesce("last_trade_date", F.col("cash_date").cast("date")).alias("last_transaction_date"),
     ]
@@ -136,11 +120,11 @@ def portfolio_snapshot(
         .withColumns(
             {
                 "held_ticker": F.lit(None).cast("string"),
-                "current_shares": F.lit(None).cast("decimal(18,4)"),
-                "total_cost_basis": F.lit(None).cast("decimal(18,2)"),
-                "average_cost_per_share": F.lit(None).cast("decimal(18,4)"),
+                "current_shares": F.lit(None).cast(types.SHARE),
+                "total_cost_basis": F.lit(None).cast(types.COST),
+                "average_cost_per_share": F.lit(None).cast(types.UNIT_COST),
                 "last_trade_date": F.lit(None).cast("date"),
-                "latest_price": F.lit(None).cast("decimal(10,2)"),
+                "latest_price": F.lit(None).cast(types.PRICE),
             }
         )
         .select(*_columns())
@@ -190,15 +174,12 @@ def current_holdings(history: DataFrame, cash: DataFrame) -> DataFrame:
     newer = is_cash & (F.col("c.transaction_date") > F.col("h.snapshot_date"))
 
     def fresh(name: str) -> Column:
-        return (
-            F.when(newer, F.col("c.daily_net_cash"))
-            .otherwise(F.col(f"h.{name}"))
-            .cast("decimal(38,4)")
-            .alias(name)
-        )
+        value = F.when(newer, F.col("c.daily_net_cash")).otherwise(F.col(f"h.{name}"))
+        return value.cast(history.schema[name].dataType).alias(name)
 
     def zero_for_cash(name: str) -> Column:
-        return F.when(is_cash, 0).otherwise(F.col(f"h.{name}")).cast("decimal(38,4)").alias(name)
+        value = F.when(is_cash, 0).otherwise(F.col(f"h.{name}"))
+        return value.cast(history.schema[name].dataType).alias(name)
 
     from_history = (
         holdings_with_cash(shown, flows)
@@ -221,24 +202,23 @@ def current_holdings(history: DataFrame, cash: DataFrame) -> DataFrame:
             ).alias("last_transaction_date"),
         )
     )
-    amount = F.col("daily_net_cash").cast("decimal(38,4)")
-    zero = F.lit(0).cast("decimal(38,4)")
+    amount = F.col("daily_net_cash")
     from_cash = (
         missing_cash(flows, shown)
-        .where(F.col("daily_net_cash") > 0)
+        .where(amount > 0)
         .select(
             top.alias("snapshot_date"),
             "customer_id",
             "account_type",
             F.lit("CASH").alias("holding_type"),
             F.lit("CASH").alias("ticker"),
-            amount.alias("quantity"),
+            amount.cast(types.SHARE).alias("quantity"),
             amount.alias("cost_basis"),
-            F.lit(None).cast("decimal(18,4)").alias("average_cost_per_share"),
-            F.lit(1).cast("decimal(10,2)").alias("market_price"),
+            F.lit(None).cast(types.UNIT_COST).alias("average_cost_per_share"),
+            F.lit(1).cast(types.PRICE).alias("market_price"),
             amount.alias("market_value"),
-            zero.alias("unrealized_gain_loss"),
-            zero.alias("unrealized_gain_loss_pct"),
+            F.lit(0).cast(types.COST).alias("unrealized_gain_loss"),
+            F.lit(0).cast(types.PERCENT).alias("unrealized_gain_loss_pct"),
             F.col("transaction_date").cast("date").alias("last_transaction_date"),
         )
     )

@@ -88,7 +88,7 @@ def left_join_left_pred(spark: SparkSession, folder: str) -> DataFrame:
             F.count("*").alias("rows"),
             F.count("c.customer_id").alias("matched"),
             F.sum("h.amount").alias("amount"),
-            F.coalesce(F.sum("c.daily_net_cash"), F.lit(0).cast("decimal(38,2)")).alias("newest_cash"),
+            F.coalesce(F.sum("c.daily_net_cash"), F.lit(0).cast("decimal(18,2)")).alias("newest_cash"),
         )
     )
 

@@ -13,7 +13,15 @@ from .files import (
 )
 from .inference import diff_reports, inferred_schema, payload_shape, schema_report
 from .loading import evolve_append, load_by_name, load_positional
-from .unload import load_calendar, mark_done, pending_days, reset_days, unload_by_date, unload_status
+from .unload import (
+    load_calendar,
+    mark_done,
+    next_day,
+    pending_days,
+    reset_days,
+    unload_by_date,
+    unload_status,
+)
 
 __all__ = [
     "add_columns",
@@ -26,6 +34,7 @@ __all__ = [
     "load_calendar",
     "load_positional",
     "mark_done",
+    "next_day",
     "payload_shape",
     "pending_days",
     "reset_days",

@@ -40,14 +40,16 @@ def _days(df: DataFrame, date: str) -> DataFrame:
 
 
 def pending_days(df: DataFrame, ledger: DataFrame, date: str = "transaction_date") -> DataFrame:
-    """Days with rows that the ledger does not list, with their row counts.
-
-    The next day to unload is the least of them.
-    """
+    """Days with rows that the ledger does not list, with their row counts."""
     done = ledger.where(F.col("unload_time").isNotNull()).select("transaction_date")
     return _days(df, date).join(done, "transaction_date", "left_anti")
 
 
+def next_day(df: DataFrame, ledger: DataFrame, date: str = "transaction_date") -> DataFrame:
+    """The earliest pending day, as one row; NULL when all is unloaded."""
+    return pending_days(df, ledger, date).agg(F.min("transaction_date").alias("transaction_date"))
+
+
 def load_calendar(
     feeds: dict[str, DataFrame],
     ledgers: dict[str, DataFrame],

@@ -40,7 +40,8 @@ def positions_step(target: ChangeTable, as_of: dt.datetime, compact_every: int =
     """Merge a batch of trades into the positions, with a full copy now and then."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        target.apply(changed_positions(target.read(before=batch_id), batch, as_of), batch_id)
+        held = target.read(before=batch_id, only=batch)
+        target.apply(changed_positions(held, batch, as_of), batch_id)
         if (batch_id + 1) % compact_every == 0:
             target.compact(batch_id)
 

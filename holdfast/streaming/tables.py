@@ -92,11 +92,12 @@ class ChangeTable:
         ids = copies.agg(F.max("batch_id")).first()[0]
         return -1 if ids is None else ids
 
-    def read(self, before: int | None = None) -> DataFrame:
+    def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The table as it was before a batch, or now.
 
         Batches at or after `before` are left out, so a replay starts from the same
-        state as the first try.
+        state as the first try.  `only` names the keys wanted: other rows are dropped
+        at the scan when the keys are few enough to broadcast.
         """
         limit = 2**62 if before is None else before
         base = self._newest_copy(limit)
@@ -107,6 +108,8 @@ class ChangeTable:
         if base >= 0:
             copy = self._copies().read().where(F.col("batch_id") == base)
             rows = rows.unionByName(copy.withColumn("deleted", F.lit(False)))
+        if only is not None:
+            rows = rows.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi")
         others = [name for name in columns if name not in self.keys]
         newest = F.max_by(F.struct(*others, "deleted"), "batch_id").alias("newest")
         return (

@@ -13,6 +13,9 @@ COST = T.DecimalType(18, 2)
 UNIT_COST = T.DecimalType(18, 4)
 PRICE = T.DecimalType(10, 2)
 AMOUNT = T.DecimalType(38, 2)
+# Conformed cash.  Up to 18 digits Spark computes on plain longs.
+CASH = T.DecimalType(18, 2)
+PERCENT = T.DecimalType(18, 4)
 
 
 def schema(**columns: T.DataType) -> T.StructType:
@@ -59,7 +62,7 @@ DAILY_CASH = schema(
     transaction_date=TIMESTAMP,
     ticker=TEXT,
     account_type=TEXT,
-    daily_net_cash=AMOUNT,
+    daily_net_cash=CASH,
 )
 
 POSITION_KEY = ("customer_id", "account_type", "ticker")

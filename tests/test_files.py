@@ -174,6 +174,8 @@ def test_ledger(spark, rows):
         (D[3], "SUCCESS", dt.datetime(2020, 1, 1)), (D[4], "SUCCESS", dt.datetime(2020, 1, 2)),
     ]
     assert rows(S.pending_days(days, again)) == [(D[5], 1)]
+    assert rows(S.next_day(days, first)) == [(D[5],)]
+    assert rows(S.next_day(feed(spark, 3), first)) == [(None,)]
     assert rows(S.pending_days(days, S.reset_days(again, D[4]))) == [(D[4], 1), (D[5], 1)]
     assert S.reset_days(again).count() == 0
 

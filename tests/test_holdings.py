@@ -189,7 +189,7 @@ def test_current_holdings(spark, rows):
     old = history(spark, (1, "X", "A", 3, 30)).withColumn("snapshot_date", F.lit(D[1]))
     new = history(spark, (1, "X", "A", 4, 40), (2, "X", "A", 1, 10))
     shown = new.where("customer_id = 2").withColumns(
-        {"holding_type": F.lit("CASH"), "ticker": F.lit("CASH"), "quantity": F.lit(7).cast("decimal(38,4)")}
+        {"holding_type": F.lit("CASH"), "ticker": F.lit("CASH"), "quantity": F.lit(7).cast("decimal(18,4)")}
     )
     flows = cash(
         spark, (1, "X", 1, 9, "CASH"), (1, "X", 3, -4, "CASH"), (2, "X", 5, 11, "CASH"),
