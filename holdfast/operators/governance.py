@@ -238,22 +238,20 @@ def classify_columns(df: DataFrame) -> DataFrame:
             tests.append((field.name, rule.category, LIKELY if hinted else SURE, rank, share))
     if not tests:
         raise ValueError("no column has a type that can be classified")
-    measured = df.agg(*(share.alias(f"m{place}") for place, (*_, share) in enumerate(tests)))
-    candidates = F.array(
-        *(
-            F.struct(
-                F.lit(column).alias("column_name"),
-                F.lit(category).alias("semantic_category"),
-                F.lit(PRIVACY[category]).alias("privacy_category"),
-                F.round(F.col(f"m{place}"), 4).alias("match_ratio"),
-                F.lit(least).alias("least"),
-                F.lit(-rank).alias("rank"),
-            )
-            for place, (column, category, least, rank, _) in enumerate(tests)
-        )
+    names = [f"m{place}" for place in range(len(tests))]
+    measured = df.agg(*(share.alias(name) for name, (*_, share) in zip(names, tests, strict=True)))
+    # One row per column and rule that can apply to it.
+    meaning = df.sparkSession.createDataFrame(
+        [
+            (name, column, category, PRIVACY[category], least, -rank)
+            for name, (column, category, least, rank, _) in zip(names, tests, strict=True)
+        ],
+        "test string, column_name string, semantic_category string, privacy_category string, "
+        "least double, rank int",
     )
     return (
-        measured.select(F.inline(candidates))
+        _unpivot(measured, names, "test", "match_ratio")
+        .join(F.broadcast(meaning), "test")
         .where(F.col("match_ratio") >= F.col("least"))
         .groupBy("column_name")
         .agg(F.max(F.struct("match_ratio", "rank", "semantic_category", "privacy_category")).alias("best"))

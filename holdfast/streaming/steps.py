@@ -13,13 +13,14 @@ from ..plans.holdings import portfolio_snapshot, write_snapshot
 from .tables import BatchSums, ChangeTable
 
 Step = Callable[[DataFrame, int], None]
+SPILLING = StorageLevel.MEMORY_AND_DISK
 
 
 def run_steps(*steps: Step) -> Step:
     """Several steps on one batch, in order, over one cached copy of it."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = batch.persist(SPILLING)
         try:
             for step in steps:
                 step(batch, batch_id)
@@ -63,8 +64,12 @@ def snapshot_step(
     """Snapshot the days of a batch; goes after the step that updates the positions."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_snapshot(
-            portfolio_snapshot(dates(batch), positions.read(), prices, cash.read()), history
-        )
+        # Both are read several times over, and each read adds up batches.
+        held, flows = positions.read().persist(SPILLING), cash.read().persist(SPILLING)
+        try:
+            write_snapshot(portfolio_snapshot(dates(batch), held, prices, flows), history)
+        finally:
+            held.unpersist()
+            flows.unpersist()
 
     return run
