@@ -23,7 +23,7 @@ def limit_preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def filter_eq(spark: SparkSession, folder: str) -> DataFrame:
-    day = F.col("transaction_date") == F.lit(A.BATCH_CUT)
+    day = F.col("transaction_date") == F.lit(dt.date(1998, 6, 25))
     return plain(A.brand_trades(spark, folder).where(day))
 
 
