@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def to_int(value: Column, kind: str = "int") -> Column:
@@ -10,11 +9,6 @@ def to_int(value: Column, kind: str = "int") -> Column:
     return F.round(value.cast("decimal(38,10)"), 0).cast(kind)
 
 
-def money(value: Column, precision: int = 10, scale: int = 2) -> Column:
-    """Decimal cast, so that sums do not depend on the order of the rows."""
-    return value.cast(T.DecimalType(precision, scale))
-
-
 def fits(value: Column, kind: str) -> Column:
     """Cast that yields NULL on bad input; only for data arriving from outside."""
     return value.try_cast(kind)

@@ -12,6 +12,7 @@ from ..plans import customers as K
 from ..plans import holdings as H
 from ..plans import trades as P
 from ..session import workspace
+from ..sources.files import table
 from ..types import PAYLOAD
 from .common import plain, stored
 
@@ -80,15 +81,13 @@ def merge_positions(spark: SparkSession, folder: str) -> DataFrame:
     return plain(O.merge_positions(state, trades.where(~early), as_of).drop("last_updated"))
 
 
-def _snapshot_inputs(spark: SparkSession, folder: str, root: str):
+def _snapshot_inputs(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, DataFrame]:
     positions = stored(spark, A.positions(spark, folder), "positions", root)
     cash = stored(spark, A.daily(spark, folder), "cash", root)
     return positions, cash
 
 
 def _closing(spark: SparkSession, folder: str, cash: DataFrame) -> DataFrame:
-    from ..sources.files import table
-
     orders = table(spark, folder, "orders").select(
         F.col("o_orderdate").cast("date").alias("transaction_date")
     )
