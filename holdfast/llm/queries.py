@@ -26,12 +26,12 @@ ORACLE_SQL = {
     "op5_ngram_jaccard_join": rf"""
         WITH RECURSIVE words AS (
             SELECT row_number() OVER () AS r, doc_id,
-                   list_filter(string_split_regex(coalesce({LOWER}, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+                   list_filter(string_split_regex(coalesce({LOWER}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM documents
         ), shingles AS MATERIALIZED (
             SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN []
                 WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
             FROM words
         ), sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM shingles GROUP BY r
         ), shared AS (
