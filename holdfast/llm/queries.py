@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 
 
@@ -11,18 +13,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines dropped from every document, and a digest of what is kept."""
+    return dedup_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near duplicates of every document."""
     return near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op3_line_dedup": op3_line_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
 ORACLE_SQL = {
+    "op3_line_dedup": f"""
+        WITH lines AS MATERIALIZED (
+            SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
+            FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+        ), keyed AS MATERIALIZED (
+            SELECT r, doc_id, line, place,
+                   translate(trim(line, {BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+        ), shared AS (
+            SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+        ), judged AS (
+            SELECT keyed.*, shared.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM keyed LEFT JOIN shared USING (k)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY r, doc_id""",
     "op5_ngram_jaccard_join": rf"""
         WITH RECURSIVE words AS (
             SELECT row_number() OVER () AS r, doc_id,
