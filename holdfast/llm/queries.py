@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
+from .packing import pack
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,9 +25,15 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of sequences of 2048 ids, with a digest of each piece."""
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True)
+
+
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op9_packing": op9_packing,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
