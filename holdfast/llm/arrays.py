@@ -76,28 +76,42 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for every word of every text, and the n + 1 places where each text's words begin.
+def word_spans(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where every word of every text begins and ends, and the n + 1 places where each text's words begin.
 
-    Words are runs of bytes other than space and 0x09-0x0D, A-Z lower-cased.
+    Words are runs of bytes that `blank` does not mark; no word goes over the end of its text.
     """
     n = len(data)
     words = np.zeros(n + 1, bool)
-    words[:n] = ~SPACE[data]
+    words[:n] = ~blank[data]
     before = np.zeros(n + 1, bool)
     before[1:] = words[:n]
     begins_text = np.zeros(n + 1, bool)
-    begins_text[offsets[:-1]] = True
-    begins_text[n] = True
+    begins_text[offsets] = True
     starts = np.flatnonzero(words & (~before | begins_text))
     ends = np.flatnonzero(before & (~words | begins_text))
-    sums = np.zeros(n + 1, np.uint64)
-    longest = int((ends - starts).max()) if len(starts) else 0
-    with np.errstate(over="ignore"):
-        np.cumsum(CODES[data] * powers(BASE, n)[:n], out=sums[1:], dtype=np.uint64)
-        hashes = (sums[ends] - sums[starts]) * powers(BASE_INVERSE, n)[starts] if longest else sums[:0]
-        hashes = mix(hashes + (ends - starts).astype(np.uint64) * BASE)
-    return hashes, np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+class SpanHasher:
+    """64-bit hashes of stretches of bytes, A-Z as a-z, from running sums."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(CODES[data] * powers(BASE, len(data))[:-1], out=self.sums[1:], dtype=np.uint64)
+            self.inverse = powers(BASE_INVERSE, len(data))
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            found = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+            return mix(found + (ends - starts).astype(np.uint64) * BASE)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for every word (runs of bytes other than space and 0x09-0x0D), and where each text's words begin."""
+    starts, ends, places = word_spans(data, offsets)
+    return SpanHasher(data)(starts, ends), places
 
 
 def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
