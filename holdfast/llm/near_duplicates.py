@@ -219,16 +219,13 @@ def _could_link(percent: int, shared, left: str, right: str):
     )
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two blocks of sets, by products of 0/1 matrices in column blocks."""
-    sizes = lambda sets: np.fromiter(map(len, sets), np.int64, len(sets))
-    flat = lambda sets: np.concatenate(sets) if sets else np.zeros(0, np.int64)
-    a, b = flat(left), flat(right)
-    rows_a, rows_b = np.repeat(np.arange(len(left)), sizes(left)), np.repeat(np.arange(len(right)), sizes(right))
+def overlaps(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
+    """Sizes of all intersections of two blocks of sets (laid end to end), by products of 0/1 matrices in column blocks."""
+    rows_a, rows_b = np.repeat(np.arange(len(sizes_a)), sizes_a), np.repeat(np.arange(len(sizes_b)), sizes_b)
     common = np.intersect1d(a, b)
-    out = np.zeros((len(left), len(right)), np.float32)
+    total = np.zeros((len(sizes_a), len(sizes_b)), np.int64)
     if not len(common):
-        return out.astype(np.int64)
+        return total
 
     def placed(values, rows):
         at = np.minimum(np.searchsorted(common, values), len(common) - 1)
@@ -238,11 +235,10 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
     at_a, rows_a = placed(a, rows_a)
     at_b, rows_b = placed(b, rows_b)
-    total = out.astype(np.int64)
     for low in range(0, len(common), COLUMNS):
         width = min(COLUMNS, len(common) - low)
         dense = []
-        for at, rows, count in ((at_a, rows_a, len(left)), (at_b, rows_b, len(right))):
+        for at, rows, count in ((at_a, rows_a, len(sizes_a)), (at_b, rows_b, len(sizes_b))):
             i, j = np.searchsorted(at, (low, low + width))
             block = np.zeros((count, width), np.float32)
             block[rows[i:j], at[i:j] - low] = 1
@@ -251,32 +247,47 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _sides(frame):
-    """The two blocks of a block pair; one block met with itself gives the same rows twice."""
-    left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
-    return (left, right, False) if len(right) else (left, left, True)
+class Side:
+    """One block of a block pair, as arrays."""
+
+    def __init__(self, rows: pa.Table, sets: str) -> None:
+        self.columns = {name: rows.column(name).to_numpy() for name in rows.column_names if not name.startswith("hub") and name != sets}
+        lists = rows.column(sets).combine_chunks()
+        self.values, self.sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False)
+        self.n = self.columns["n"].astype(np.int64)
+
+    def __len__(self) -> int:
+        return len(self.n)
+
+
+def _sides(rows: pa.Table, sets: str) -> tuple[Side, Side, bool]:
+    """The two blocks of a block pair; a block that meets itself is given twice."""
+    right = rows.column("side").to_numpy() == 1
+    if not right.any():
+        both = Side(rows, sets)
+        return both, both, True
+    return Side(rows.filter(pa.array(~right)), sets), Side(rows.filter(pa.array(right)), sets), False
 
 
 def _flag(percent: int):
-    """Task for a block pair of a group: the members that could link to another one."""
-
-    def run(key, frame):
-        import pandas as pd
-
-        left, right, same = _sides(frame)
-        rows = left.iloc[:0]
-        if len(left) and len(right):
-            shared = overlaps(list(left["tokens"]), list(right["tokens"]))
-            n, m = left["n"].to_numpy()[:, None].astype(np.int64), right["n"].to_numpy()[None, :].astype(np.int64)
-            need = -(-(n + m) * percent // (100 + percent))
-            rest = np.maximum(n - left["prefix"].to_numpy()[:, None], m - right["prefix"].to_numpy()[None, :])
-            asked = np.minimum(left["extra"].to_numpy()[:, None], right["extra"].to_numpy()[None, :])
-            could = (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (shared >= asked) & (shared + rest >= need)
-            if same:
-                np.fill_diagonal(could, False)
-            picked = [left.iloc[np.flatnonzero(could.any(axis=1))]] + ([] if same else [right.iloc[np.flatnonzero(could.any(axis=0))]])
-            rows = pd.concat(picked)
-        return rows[["fp", "n"]]
+    """Task for a block pair of a group: the members that could link to another one, of another component where roots are given."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        left, right, same = _sides(rows, "tokens")
+        n, m = left.n[:, None], right.n[None, :]
+        could = np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+        if "root_fp" in left.columns:
+            could &= (left.columns["root_fp"][:, None] != right.columns["root_fp"]) | (left.columns["root_n"][:, None] != right.columns["root_n"])
+        if same:
+            np.fill_diagonal(could, False)
+        if could.any():
+            shared = overlaps(left.values, left.sizes, right.values, right.sizes)
+            rest = np.maximum(n - left.columns["prefix"][:, None], m - right.columns["prefix"][None, :])
+            asked = np.minimum(left.columns["extra"][:, None], right.columns["extra"][None, :])
+            could &= (shared >= asked) & (shared + rest >= -(-(n + m) * percent // (100 + percent)))
+        fp, size = (np.concatenate((left.columns[x][could.any(axis=1)], right.columns[x][could.any(axis=0)])) for x in ("fp", "n"))
+        hub = [pa.repeat(rows.column(name)[0], len(fp)) for name in ("hub_fp", "hub_n")]
+        return pa.table([*hub, pa.array(fp), pa.array(size)], names=["hub_fp", "hub_n", "fp", "n"])
 
     return run
 
@@ -284,35 +295,36 @@ def _flag(percent: int):
 def _join_blocks(percent: int):
     """Task for a block pair of a group: links that join what nothing joined before, as a forest."""
 
-    def run(key, frame):
-        import pandas as pd
-
-        left, right, same = _sides(frame)
-        links = []
-        if len(left) and len(right):
-            shared = overlaps(list(left["sh"]), list(right["sh"]))
-            n, m = left["n"].to_numpy()[:, None].astype(np.int64), right["n"].to_numpy()[None, :].astype(np.int64)
-            linked = 100 * shared >= percent * (n + m - shared)
-            roots_l, roots_r = (list(zip(x["root_fp"], x["root_n"])) for x in (left, right))
-            keys_l, keys_r = (list(zip(x["fp"], x["n"])) for x in (left, right))
-            parent: dict = {}
-
-            def find(x):
-                while parent.setdefault(x, x) != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            for i, j in zip(*np.nonzero(linked)):
-                a, b = find(roots_l[i]), find(roots_r[j])
-                if a != b:
-                    parent[a] = b
-                    links.append((*keys_l[i], *keys_r[j]))
-        out = pd.DataFrame(links, columns=["fp_a", "n_a", "fp_b", "n_b"], dtype="int64")
-        return out.astype({"n_a": "int32", "n_b": "int32"})
+    def run(rows: pa.Table) -> pa.Table:
+        left, right, _ = _sides(rows, "sh")
+        shared = overlaps(left.values, left.sizes, right.values, right.sizes)
+        linked = 100 * shared >= percent * (left.n[:, None] + right.n[None, :] - shared)
+        linked &= (left.columns["root_fp"][:, None] != right.columns["root_fp"]) | (left.columns["root_n"][:, None] != right.columns["root_n"])
+        parent: dict = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        roots = [list(zip(x.columns["root_fp"].tolist(), x.columns["root_n"].tolist())) for x in (left, right)]
+        at: tuple[list[int], list[int]] = ([], [])
+        for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
+            a, b = find(roots[0][i]), find(roots[1][j])
+            if a != b:
+                parent[a] = b
+                at[0].append(i)
+                at[1].append(j)
+        columns = [pa.array(x.columns[name][np.array(k, np.int64)]) for x, k in ((left, at[0]), (right, at[1])) for name in ("fp", "n")]
+        return pa.table(columns, names=["fp_a", "n_a", "fp_b", "n_b"])
 
     return run
 
 
+def _key(fp: str, n: str):
+    return F.struct(F.col(fp).alias("fp"), F.col(n).alias("n"))
+
+
 def _block_pairs(members: DataFrame, mains: str, rests: str) -> DataFrame:
     """Deal members (with `main` and `slot`) to the pairs of blocks they take part in.
 
@@ -431,26 +443,27 @@ def near_duplicates(
         root,
     )
 
-    def in_groups(members: DataFrame, name: str) -> DataFrame:
-        """Members with the block counts of their group, of groups with more than two members."""
-        size = members.groupBy("hub").agg(F.count("*").alias("members"), F.count(F.when(F.col("main"), 1)).alias("of_main")).where("members > 2 AND members > of_main")
+    def in_groups(members: DataFrame, name: str, least: int) -> DataFrame:
+        """Members dealt to block pairs, of groups with so many members that are not all of the main component."""
+        size = members.groupBy("hub").agg(F.count("*").alias("members"), F.count(F.when(F.col("main"), 1)).alias("of_main"))
         size = stored(
-            size.select("hub", F.ceil(F.col("of_main") / block).cast("int").alias("mains"), F.ceil((F.col("members") - F.col("of_main")) / block).cast("int").alias("rests")),
+            size.where(f"members >= {least} AND members > of_main").select(
+                "hub", F.ceil(F.col("of_main") / block).cast("int").alias("mains"), F.ceil((F.col("members") - F.col("of_main")) / block).cast("int").alias("rests")
+            ),
             name,
             root,
         )
         dealt = members.join(size, "hub").withColumn("slot", F.pmod(F.xxhash64("key", F.lit(7)), F.when(F.col("main"), F.col("mains")).otherwise(F.col("rests"))).cast("int"))
-        return _block_pairs(dealt, "mains", "rests")
-
-    groups = in_groups(joined.withColumn("main", F.lit(False)), "groups")
-    flagged = (
-        groups.select("hub", "i", "j", "side", "key.fp", "key.n", "extra", "prefix", "tokens")
-        .groupBy("hub", "i", "j")
-        .applyInPandas(_flag(percent), "fp bigint, n int")
-        .distinct()
-        .select(F.struct("fp", "n").alias("key"))
-    )
-    flagged = stored(flagged, "flagged", root)
+        keys = ["hub.fp AS hub_fp", "hub.n AS hub_n", "i", "j", "side", "key.fp", "key.n"]
+        others = [c for c in members.columns if c not in ("hub", "key", "main", "root")]
+        return _block_pairs(dealt, "mains", "rests").selectExpr(*keys, *others, *(["root.fp AS root_fp", "root.n AS root_n"] if "root" in members.columns else []))
+
+    def flags(members: DataFrame, name: str) -> DataFrame:
+        found = in_groups(members, f"{name}-groups", 3).groupBy("hub_fp", "hub_n", "i", "j").applyInArrow(_flag(percent), "hub_fp bigint, hub_n int, fp bigint, n int")
+        return found.select(_key("hub_fp", "hub_n").alias("hub"), _key("fp", "n").alias("key"))
+
+    # A group of two is its hub and one more, which the stars have compared.
+    flagged = stored(flags(joined.withColumn("main", F.lit(False)), "all").select("key").distinct(), "flagged", root)
     needed = flagged.union(stars.select("key")).union(stars.select("hub")).distinct()
     shingles = _needed_sets(docs, stored(needed, "needed", root), words, bitmap, root)
 
@@ -475,13 +488,13 @@ def near_duplicates(
         members.groupBy("hub").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("hub"), "open", root
     )
     members = stored(members.join(open_groups, "hub", "left_semi"), "open-members", root)
+    live = flags(members.select("hub", "key", "root", "main").join(sets.select("key", "tokens", "extra", "prefix"), "key"), "open").distinct()
+    live = stored(members.select("hub", "key", "root", "main").join(live, ["hub", "key"], "left_semi"), "live", root)
     second = (
-        in_groups(members, "open-groups")
-        .join(shingles, "key")
-        .select("hub", "i", "j", "side", "key.fp", "key.n", F.col("root.fp").alias("root_fp"), F.col("root.n").alias("root_n"), "sh")
-        .groupBy("hub", "i", "j")
-        .applyInPandas(_join_blocks(percent), "fp_a bigint, n_a int, fp_b bigint, n_b int")
-        .select(F.struct(F.col("fp_a").alias("fp"), F.col("n_a").alias("n")).alias("a"), F.struct(F.col("fp_b").alias("fp"), F.col("n_b").alias("n")).alias("b"))
+        in_groups(live.join(shingles, "key"), "live-groups", 2)
+        .groupBy("hub_fp", "hub_n", "i", "j")
+        .applyInArrow(_join_blocks(percent), "fp_a bigint, n_a int, fp_b bigint, n_b int")
+        .select(_key("fp_a", "n_a").alias("a"), _key("fp_b", "n_b").alias("b"))
     )
     links = stored(first.union(second), "links", root)
     final = connected_components(links)
