@@ -406,9 +406,51 @@ def near_duplicates(
     Texts are read three times and never shuffled.  What is broadcast has the fixed sizes `sketch`
     (counters) and `bitmap` (bits).  Sets are told apart by a 64-bit hash together with their size.
     """
+    found = classes(docs, id_column, text_column, words, percent, block, sketch, bitmap)
+    return found.select(
+        "doc_id",
+        F.col("key.n").cast("bigint").alias("n_shingles"),
+        F.when(F.col("key.n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs`, one of each class of near duplicates: that of the smallest id, null ids last.
+
+    Rows without words are alike to nothing and all stay.  Columns are as they were.
+    """
+    found = classes(docs, id_column, text_column, words, percent)
+    first = found.where("key.n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"))
+    first = stored(first.select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key")), "first-of-class")
+    text_at = docs.columns.index(text_column)
+
+    def keyed(batches):
+        for batch in batches:
+            sets = [(fingerprint(x), len(x)) for x in shingle_sets(batch.column(text_at), words)]
+            key = pa.StructArray.from_arrays([pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int32())], names=["fp", "n"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, "_own"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    rows = docs.mapInArrow(keyed, f"{schema}, _own {KEY}")
+    own = F.col(f"`{id_column}`").cast("bigint")
+    kept = rows.where("_own.n > 0").join(first, own.eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
+    return kept.dropDuplicates([id_column, "_own"]).unionByName(rows.where("_own.n = 0")).drop("_own")
+
+
+def classes(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    words: int = WORDS,
+    percent: int = PERCENT,
+    block: int = BLOCK,
+    sketch: int = SKETCH,
+    bitmap: int = BITMAP,
+) -> DataFrame:
+    """(doc_id, key, root, component_id) for every row: its set, and the class and smallest id of what it links to."""
     spark = docs.sparkSession
     root = workspace(spark)
-    docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
+    docs = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
 
     counted = stored(docs.mapInArrow(_counted(words, sketch), "doc_id bigint, fp bigint, n int, bucket int, count bigint"), "counted", root)
     rows = counted.where("bucket IS NULL").select("doc_id", F.struct("fp", "n").alias("key"))
@@ -499,13 +541,9 @@ def near_duplicates(
     links = stored(first.union(second), "links", root)
     final = connected_components(links)
 
-    classes = rows.where("key.n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(final.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    classes = stored(classes, "classes", root)
-    names = stored(classes.groupBy("root").agg(F.min("least").alias("component_id")), "names", root)
-    named = stored(classes.join(names, "root").select("key", "component_id"), "named", root)
-    return rows.join(named, "key", "left").select(
-        "doc_id",
-        F.col("key.n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("key.n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    members = rows.where("key.n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
+    members = members.join(final.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    members = stored(members, "classes", root)
+    names = stored(members.groupBy("root").agg(F.min("least").alias("component_id")), "names", root)
+    named = stored(members.join(names, "root").select("key", "root", "component_id"), "named", root)
+    return rows.join(named, "key", "left").select("doc_id", "key", "root", "component_id")

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import languages, toxicity
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -20,11 +21,24 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Severity of every document."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Class of near duplicates of every document."""
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = table(spark, folder, "documents")
+    model = languages.learn(docs.where(~languages.held_out()))
+    return languages.predict(docs, model, keep=["doc_id"]).select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of sequences of 2048 ids, with a digest of each piece."""
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True)
@@ -32,7 +46,9 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op7_language_id": op7_language_id,
     "op9_packing": op9_packing,
 }
 

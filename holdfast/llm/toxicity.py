@@ -27,8 +27,11 @@ FEATURES = 4096
 BEGINNINGS = (5, 6, 7, 8)
 MIN_COUNT = 3
 GRADES = 4
+Z_FEATURE = 3.0
+Z_SIGN = 4.0
+SIGN_SHARE = 0.8
 ROUNDS = 400
-RIDGE = 2e-4
+RIDGE = 1e-3
 THRESHOLD = 0.5
 
 LETTER = np.zeros(256, bool)
@@ -171,9 +174,9 @@ def fit(
     odds = np.log((hits + 0.5) / (bad - hits + 0.5)) - np.log((seen - hits + 0.5) / (clean - seen + hits + 0.5))
     weight = odds / np.sqrt(1 / (hits + 0.5) + 1 / (seen - hits + 0.5))
     order = np.lexsort((counts["bucket"], -np.abs(weight)))[:FEATURES]
-    order = order[np.abs(weight[order]) > 2]
+    order = order[np.abs(weight[order]) > Z_FEATURE]
     chosen = counts["bucket"].to_numpy(np.int64)[order]
-    signs = (weight[order] > 2) & (odds[order] > 2)
+    signs = (weight[order] > Z_SIGN) & (hits[order] >= SIGN_SHARE * seen[order])
     model = Model(buckets, chosen, np.zeros(len(chosen)), signs, 0.0, np.zeros(1))
     encoded = _scan(sample.select("id", "text", "toxic"), model, None).toPandas()
     sizes = encoded["features"].map(len).to_numpy(np.int64) if len(encoded) else np.zeros(0, np.int64)
