@@ -2,23 +2,66 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from holdfast.llm import languages, line_dedup, near_duplicates, packing, toxicity
 from holdfast.llm.arrays import stored
-from holdfast.llm.near_duplicates import near_duplicates
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` with its columns of these names called otherwise, and how to call them back."""
+    clash = {name: f"_aside_{name}" for name in docs.columns if name in names}
+    return docs.withColumnsRenamed(clash), {after: before for before, after in clash.items()}
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose severity grade is 0; the model learns from the labels of `docs`."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_no_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language that holds a good share of their words; learned from all of `docs`."""
+    aside, back = _aside(docs, ("lang_pred", "score", "languages"))
+    found = languages.predict(aside, languages.learn(docs)).where(~languages.rejected())
+    return found.select(*aside.columns).withColumnsRenamed(back)
+
+
+def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines they share; n_chars follows the text."""
+    aside, back = _aside(docs, ("n_lines", "n_dropped"))
+    found = line_dedup.dedup_lines(aside).select(*aside.columns).withColumnsRenamed(back)
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return near_duplicates.one_of_each(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("n-gram Jaccard join", one_of_each)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language ID", drop_no_language),
+    ("line dedup", drop_shared_lines),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("packing", pack),
+]
+# Learned models decide the first two stages and a tokenizer the last, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on `documents`; each result is written and read again, the last one is returned."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for place, (name, stage) in enumerate(STAGES):
+    for place, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place + 1 < len(STAGES):
             docs = stored(docs, f"stage-{place}")
