@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, toxicity
+from . import languages, norm_topk, permutation_index, toxicity
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -39,17 +39,31 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return languages.predict(docs, model, keep=["doc_id"]).select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "languages")
 
 
+def op8_permutation_index(spark: SparkSession, folder: str) -> DataFrame:
+    """20 nearest vectors of every 20th."""
+    vectors = table(spark, folder, "embeddings")
+    return permutation_index.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of sequences of 2048 ids, with a digest of each piece."""
     return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True)
 
 
+def op10_norm_bucketed_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """5 largest integer inner products of every 50th vector."""
+    vectors = table(spark, folder, "embeddings")
+    return norm_topk.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_language_id": op7_language_id,
+    "op8_permutation_index": op8_permutation_index,
     "op9_packing": op9_packing,
+    "op10_norm_bucketed_topk": op10_norm_bucketed_topk,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -93,4 +107,14 @@ ORACLE_SQL = {
         SELECT w.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(o.doc_id) AS component_id
         FROM reach JOIN words w ON w.r = reach.x JOIN words o ON o.r = reach.y LEFT JOIN sizes ON sizes.r = w.r
         GROUP BY w.r, w.doc_id""",
+    "op10_norm_bucketed_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        )
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 5""",
 }
