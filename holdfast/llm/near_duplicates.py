@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ from .components import connected_components
 
 WORDS = 5
 PERCENT = 75
-SKETCH = 1 << 18
+SKETCH = 1 << 22
+SKETCH_BLOCK = 1 << 14
 BITMAP = 1 << 23
 EXTRA = (1, 2, 3, 4, 6, 8)
 BLOCK = 256
@@ -76,7 +78,7 @@ def _counted(words: int, sketch: int):
     """Task: (doc_id, fp, n) of every document, then this task's share of the sketch."""
 
     def run(batches):
-        counts, seen = np.zeros(sketch, np.int64), set()
+        counts, seen = np.zeros(sketch, np.uint32), set()
         for batch in batches:
             fps, sizes = [], []
             for shingles in shingle_sets(batch.column(1), words):
@@ -88,19 +90,46 @@ def _counted(words: int, sketch: int):
                     np.add.at(counts, (shingles & np.uint64(sketch - 1)).astype(np.int64), 1)
             n = len(fps)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
-                names=["doc_id", "fp", "n", "bucket", "count"],
+                [batch.column(0), pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                names=["doc_id", "fp", "n", "part", "counts"],
             )
-        used = np.flatnonzero(counts)
-        n = len(used)
+        parts = np.flatnonzero(counts.reshape(-1, SKETCH_BLOCK).any(axis=1))
+        n = len(parts)
+        packed = [_pack(counts[k * SKETCH_BLOCK : (k + 1) * SKETCH_BLOCK]) for k in parts.tolist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(used.astype(np.int32)), pa.array(counts[used])],
-            names=["doc_id", "fp", "n", "bucket", "count"],
+            [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(parts.astype(np.int32)), pa.array(packed, pa.binary())],
+            names=["doc_id", "fp", "n", "part", "counts"],
         )
 
     return run
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint32)
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    """One part of the sketch as the sum of several tasks' counts."""
+    total = np.zeros(SKETCH_BLOCK, np.uint32)
+    for packed in rows.column("counts"):
+        total += _unpack(packed.as_py())
+    return pa.table({"part": rows.column("part")[:1], "counts": pa.array([_pack(total)], pa.binary())})
+
+
+def _sketch(counted: DataFrame, sketch: int) -> np.ndarray:
+    """The sums of all tasks' counts, added up in two steps; of fixed size."""
+    parts = counted.where("part IS NOT NULL").select("part", "counts", F.pmod(F.xxhash64("counts"), F.lit(32)).alias("turn"))
+    parts = parts.groupBy("part", "turn").applyInArrow(_added, "part int, counts binary").groupBy("part").applyInArrow(_added, "part int, counts binary")
+    out = np.zeros(sketch, np.uint32)
+    for row in parts.collect():
+        out[row["part"] * SKETCH_BLOCK : (row["part"] + 1) * SKETCH_BLOCK] = _unpack(bytes(row["counts"]))
+    return out
+
+
 def least_overlap(n: int, percent: int) -> int:
     """The fewest shingles a set of n shares with any set that is similar enough."""
     return -(-n * percent // 100)
@@ -404,7 +433,7 @@ def near_duplicates(
     * Only the two named columns are read; others may have any name.
 
     Texts are read three times and never shuffled.  What is broadcast has the fixed sizes `sketch`
-    (counters) and `bitmap` (bits).  Sets are told apart by a 64-bit hash together with their size.
+    (counters, a multiple of 2^14) and `bitmap` (bits).  Sets are told apart by a 64-bit hash together with their size.
     """
     found = classes(docs, id_column, text_column, words, percent, block, sketch, bitmap)
     return found.select(
@@ -452,11 +481,9 @@ def classes(
     root = workspace(spark)
     docs = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
 
-    counted = stored(docs.mapInArrow(_counted(words, sketch), "doc_id bigint, fp bigint, n int, bucket int, count bigint"), "counted", root)
-    rows = counted.where("bucket IS NULL").select("doc_id", F.struct("fp", "n").alias("key"))
-    sums = counted.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("count").alias("count")).toPandas()
-    counts = np.zeros(sketch, np.int64)
-    counts[sums["bucket"].to_numpy(np.int64)] = sums["count"].to_numpy(np.int64)
+    counted = stored(docs.mapInArrow(_counted(words, sketch), "doc_id bigint, fp bigint, n int, part int, counts binary"), "counted", root)
+    rows = counted.where("part IS NULL").select("doc_id", F.struct("fp", "n").alias("key"))
+    counts = _sketch(counted, sketch)
 
     posted = docs.mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, doc_id bigint, fp bigint, n int, extra int")
     met = (
