@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, norm_topk, permutation_index, toxicity
+from . import languages, norm_topk, permutation_index, toxicity, url_rules
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -32,6 +32,11 @@ def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return url_rules.judge(table(spark, folder, "pages"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from those not held out."""
     docs = table(spark, folder, "documents")
@@ -60,6 +65,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_url_filters": op6_url_filters,
     "op7_language_id": op7_language_id,
     "op8_permutation_index": op8_permutation_index,
     "op9_packing": op9_packing,
@@ -117,4 +123,50 @@ ORACLE_SQL = {
         )
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5""",
+    "op6_url_filters": r"""
+        WITH cut AS (
+            SELECT row_number() OVER () AS r, page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END, '') AS rest FROM pages
+        ), split AS (
+            SELECT r, page_id, rest,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM cut
+        ), given(name, v, h, p) AS (
+            VALUES ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'), ('example.org/en/1', 'block', 'example.org', '/en/1'),
+                   ('com/fr/', 'allow', 'com', '/fr/'), ('com/de/', 'block', 'com', '/de/')
+        ), ruled AS (
+            SELECT r, arg_max(name, length(name)) AS rule, arg_max(v, length(name)) AS v
+            FROM split JOIN given ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r
+        ), tokens AS MATERIALIZED (
+            SELECT DISTINCT r, t FROM (
+                SELECT r, 'h:' || regexp_replace(x, '[0-9]+', '#', 'g') AS t FROM (SELECT r, unnest(string_split(host, '.')) AS x FROM split) WHERE x <> ''
+                UNION ALL
+                SELECT r, 'p:' || regexp_replace(x, '[0-9]+', '#', 'g') FROM (SELECT r, unnest(string_split(path, '/')) AS x FROM split) WHERE x <> ''
+                UNION ALL
+                SELECT r, 'q:' || regexp_replace(x, '[0-9]+', '#', 'g') FROM (
+                    SELECT r, string_split(unnest(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&')), '=')[1] AS x FROM split) WHERE x <> '')
+        ), sets AS MATERIALIZED (
+            SELECT r, t AS a, NULL AS b, NULL AS c, t AS name, 1 AS n FROM tokens
+            UNION ALL
+            SELECT r, x.t, y.t, NULL, x.t || ' ' || y.t, 2 FROM tokens x JOIN tokens y USING (r) WHERE x.t < y.t
+            UNION ALL
+            SELECT r, x.t, y.t, z.t, x.t || ' ' || y.t || ' ' || z.t, 3 FROM tokens x JOIN tokens y USING (r) JOIN tokens z USING (r) WHERE x.t < y.t AND y.t < z.t
+        ), seen AS (
+            SELECT name, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, any_value(n) AS n, count(*) AS k FROM sets JOIN ruled USING (r) GROUP BY name
+        ), both_seen AS (
+            SELECT name, v, count(*) AS k FROM sets JOIN ruled USING (r) GROUP BY name, v
+        ), mined AS MATERIALIZED (
+            SELECT name, a, b, c, n, v, CAST(both_seen.k AS DOUBLE) / seen.k AS confidence, both_seen.k AS support
+            FROM seen JOIN both_seen USING (name)
+            WHERE both_seen.k >= ceil(0.002 * (SELECT count(*) FROM ruled)) AND CAST(both_seen.k AS DOUBLE) / seen.k >= 0.8
+        ), kept AS (
+            SELECT * FROM mined l WHERE NOT EXISTS (
+                SELECT 1 FROM mined s WHERE s.v = l.v AND s.n < l.n AND s.confidence >= l.confidence
+                    AND s.a IN (l.a, l.b, l.c) AND (s.b IS NULL OR s.b IN (l.a, l.b, l.c)))
+        ), best AS (
+            SELECT r, max({'confidence': confidence, 'support': support, 'n': kept.n, 'name': name, 'v': kept.v}) AS m FROM sets JOIN kept USING (name) GROUP BY r
+        )
+        SELECT page_id, host, path, rule, coalesce(ruled.v, m.v, 'allow') AS verdict,
+               CASE WHEN rule IS NULL THEN m.name END AS mined, CASE WHEN rule IS NULL THEN m.confidence END AS confidence
+        FROM split LEFT JOIN ruled USING (r) LEFT JOIN best USING (r)""",
 }
