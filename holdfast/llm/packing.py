@@ -28,10 +28,33 @@ END_ID = 1
 SENTENCE_PENALTY = 8
 INNER_PENALTY = 64
 BLOCK_TOKENS = 4 << 20
-KEPT_WORDS = 1 << 20
+KEPT_WORDS = 3 << 19
 ENDS = (b".", b"!", b"?", "。".encode(), "！".encode(), "？".encode())
 
 
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = True
+MARK = np.zeros(256, bool)
+MARK[33:48] = MARK[58:65] = MARK[91:97] = MARK[123:127] = True
+MARK[39] = False
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
+
+
+def fewer_forms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same texts in fewer different words: A-Z as a-z, and a blank between a letter or digit and a mark.
+
+    For tokenizers that lower-case and never join the two.  Left as it is: whatever holds a combining
+    mark, which may compose with small letters only, or the beginning of a special token.
+    """
+    raw = data.tobytes()
+    if b"<|" in raw or b"\xcc" in raw or b"\xcd" in raw:
+        return data, offsets
+    at = np.flatnonzero(ALNUM[data[:-1]] & MARK[data[1:]]) + 1
+    at = at[~np.isin(at, offsets)]
+    return np.insert(FOLD[data], at, 32), offsets + np.searchsorted(at, offsets)
+
+
 class WordIds(dict):
     """Ids of words between ASCII blanks, each word tokenised once.
 
@@ -195,6 +218,7 @@ def pack(
     length: int = LENGTH,
     end_id: int = END_ID,
     digest: bool = False,
+    lower_case: bool = True,
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, length, doc_tokens, sequence_id, offset, and ids.
@@ -203,7 +227,8 @@ def pack(
     only separate), without added special tokens, then `end_id`.  Each id lies in one piece: `start`
     ids of its document come before it, and it begins at `offset` of its sequence.  Sequences hold
     at most `length` ids and keep the stored order of `docs`; read them from a table, so that a task
-    that runs again sees the same rows.  `digest` gives the CRC-32 of the ids as little-endian
+    that runs again sees the same rows.  `lower_case`: the tokenizer lower-cases and splits letters and
+    digits from marks, so forms of a word are tokenised once.  `digest` gives the CRC-32 of the ids as little-endian
     32-bit numbers (ids_crc32) in place of the ids.
 
     * Null or empty text: `end_id` alone.  Null doc_id: packed like others.  Repeated rows are
@@ -233,7 +258,10 @@ def pack(
             data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_pylist()
             for low, high in slices(offsets):
-                words = [data[offsets[k] : offsets[k + 1]].tobytes().split() for k in range(low, high)]
+                own, at = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+                if lower_case:
+                    own, at = fewer_forms(own, at)
+                words = [own[a:b].tobytes().split() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 ids, counts, marks = coder.encode([w for own in words for w in own])
                 after = np.cumsum(counts)
                 word = token = 0
