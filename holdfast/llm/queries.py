@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, norm_topk, permutation_index, toxicity, url_rules
+from . import languages, licenses, norm_topk, permutation_index, toxicity, url_rules
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices of every document."""
+    return licenses.find_licenses(table(spark, folder, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines dropped from every document, and a digest of what is kept."""
     return dedup_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -62,6 +67,7 @@ def op10_norm_bucketed_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scans": op1_license_scans,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
