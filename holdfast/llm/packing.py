@@ -80,11 +80,17 @@ class WordIds(dict):
         self.new.append(word)
         return place
 
+    def code(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has."""
+        coded = self.tokenizer.encode([w.decode("utf-8", "replace") for w in words], is_pretokenized=True, add_special_tokens=False)
+        return np.array(coded.ids, np.uint32), np.bincount(np.array(coded.word_ids, np.int64), minlength=len(words))
+
+    def marks(self, words: list[bytes]) -> list[bool]:
+        return [w.endswith(ENDS) for w in words]
+
     def _learn(self) -> None:
         first, last = len(self) - len(self.new), len(self)
-        coded = self.tokenizer.encode([w.decode("utf-8", "replace") for w in self.new], is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(coded.ids, np.uint32)
-        counts = np.bincount(np.array(coded.word_ids, np.int64), minlength=last - first)
+        ids, counts = self.code(self.new)
         if last >= len(self.begins):
             self.begins = np.concatenate((self.begins, np.zeros(max(last, len(self.begins)), np.int64)))
             self.ends_sentence = np.concatenate((self.ends_sentence, np.zeros(max(last, len(self.ends_sentence)), bool)))
@@ -93,7 +99,7 @@ class WordIds(dict):
             self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint32)))
         self.ids[at : at + len(ids)] = ids
         self.begins[first + 1 : last + 1] = at + np.cumsum(counts)
-        self.ends_sentence[first:last] = [w.endswith(ENDS) for w in self.new]
+        self.ends_sentence[first:last] = self.marks(self.new)
         self.new = []
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, licenses, norm_topk, permutation_index, toxicity, url_rules
+from . import languages, licenses, norm_topk, permutation_index, pieces, toxicity, url_rules
 from .line_dedup import dedup_lines
 from .near_duplicates import near_duplicates
 from .packing import pack
@@ -21,6 +21,13 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.find_licenses(table(spark, folder, "documents"))
 
 
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text as pieces and back: number and hash of the ids, digest of the text that they decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines dropped from every document, and a digest of what is kept."""
     return dedup_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -68,6 +75,7 @@ def op10_norm_bucketed_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scans": op1_license_scans,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
