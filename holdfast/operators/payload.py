@@ -43,65 +43,17 @@ def flatten_trades(raw: DataFrame) -> DataFrame:
     )
 
 
-def _nested(groups: DataFrame) -> DataFrame:
-    """Rows of group columns plus a `trades` array, as landed trade rows."""
-    return groups.select(
-        "transaction_date",
-        transaction_key(F.col("transaction_date"), F.col("customer_id")).alias("transaction_id"),
-        F.to_variant_object(F.struct(*GROUP, "trades")).alias("transaction_payload"),
-    )
-
-
-def build_payload(trades: DataFrame, max_trades: int = 10_000) -> DataFrame:
+def build_payload(trades: DataFrame) -> DataFrame:
     """One payload per customer, day, account and category, holding all its trades.
 
-    A payload is one row, so a group must fit one task.  Groups above `max_trades`
-    are therefore spread over several payloads of about that size, all with the same
-    group columns; flattening gives the same trades either way.
-
-    A hash of the group stands for it in counts and joins.  Counting combines before
-    the shuffle and moves two numbers per group.  Groups whose hashes
-    collide are at worst split for nothing.  While no group is too large, the second
-    branch is shut by a subquery that runs first, and nothing is shuffled for it.
+    A payload is one JSON value by definition, so the trades of a group meet in one row.
     """
-    keyed = trades.select(F.xxhash64(*GROUP).alias("group_hash"), *GROUP, *TRADE)
-    large = (
-        keyed.groupBy("group_hash")
-        .agg(F.count("*").alias("in_group"))
-        .where(F.col("in_group") > max_trades)
-    )
-
-    # Grouping by the hash as well keeps the partitioning of the join.
-    payloads = _nested(
-        keyed.join(large, "group_hash", "left_anti")
-        .groupBy("group_hash", *GROUP)
+    return (
+        trades.groupBy(*GROUP)
         .agg(F.array_sort(F.collect_list(F.struct(*TRADE))).alias("trades"))
-    )
-
-    # Equal trades are counted first, so copies of one row cannot gather in one task.
-    any_large = large.agg(F.count("*") > 0).scalar()
-    chunks = (
-        keyed.where(any_large)
-        .groupBy("group_hash", *GROUP, *TRADE)
-        .agg(F.count("*").alias("copies"))
-        .join(large, "group_hash")
-        .withColumn(
-            "chunk", F.explode(F.sequence(F.lit(0), ((F.col("copies") - 1) / max_trades).cast("int")))
+        .select(
+            "transaction_date",
+            transaction_key(F.col("transaction_date"), F.col("customer_id")).alias("transaction_id"),
+            F.to_variant_object(F.struct(*GROUP, "trades")).alias("transaction_payload"),
         )
     )
-    parts = chunks.select(
-        *GROUP,
-        F.struct(*TRADE).alias("trade"),
-        F.least(F.lit(max_trades), F.col("copies") - F.col("chunk") * max_trades)
-        .cast("int")
-        .alias("repeat"),
-        F.pmod(
-            F.xxhash64(*TRADE, "chunk"), F.ceil(F.col("in_group") / max_trades).cast("bigint")
-        ).alias("part"),
-    )
-    spread = (
-        parts.groupBy(*GROUP, "part")
-        .agg(F.collect_list(F.array_repeat("trade", F.col("repeat"))).alias("runs"))
-        .withColumn("trades", F.array_sort(F.flatten("runs")))
-    )
-    return payloads.unionByName(_nested(spread))

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import merge_positions
 from ..operators.payload import build_payload
-from ..session import workspace
-from ..sources.files import table, write_table
+from ..sources.files import table
 from ..types import POSITIONS
 from .cash import cash_detail, daily_cash, snapshot_dates
 from .trades import enrich_trades
@@ -57,8 +56,7 @@ def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
     )
-    # Two fact tables: joined by shuffle at any size, never by broadcast.
-    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def trades_flat(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,9 +92,8 @@ def payload_input(trades: DataFrame) -> DataFrame:
 
 
 def trades_raw(spark: SparkSession, folder: str) -> DataFrame:
-    """Trades as landed: day, id and JSON payload, made from a stored transaction table."""
-    transactions = payload_input(trades_flat(spark, folder))
-    return build_payload(write_table(transactions, f"{workspace(spark)}/transactions"))
+    """Trades as landed: day, id and JSON payload."""
+    return build_payload(payload_input(trades_flat(spark, folder)))
 
 
 def cash_deposits(spark: SparkSession, folder: str) -> DataFrame:
@@ -156,9 +153,13 @@ def positions(spark: SparkSession, folder: str) -> DataFrame:
     return merge_positions(no_positions(spark), brand_trades(spark, folder), AS_OF)
 
 
-def closing_dates(trades: DataFrame, cash: DataFrame) -> DataFrame:
-    """The last day of each calendar year on which anything was traded or paid in."""
-    days = snapshot_dates(trades, cash).select(F.col("snapshot_date").cast("date"))
+def feed_days(trades: DataFrame, cash: DataFrame) -> DataFrame:
+    """Every day on which anything was traded or paid in."""
+    return snapshot_dates(trades, cash).select(F.col("snapshot_date").cast("date")).distinct()
+
+
+def year_ends(days: DataFrame) -> DataFrame:
+    """The last of the given days in each calendar year, for yearly statements."""
     return (
         days.groupBy(F.year("snapshot_date").alias("year"))
         .agg(F.max("snapshot_date").alias("snapshot_date"))

@@ -8,26 +8,61 @@ from ..functions import divide
 from ..operators.asof import asof_prices
 from ..operators.dates import each_date
 from ..operators.latest import latest_per_key, newest
+from ..session import workspace
 from ..sources.files import write_table
 
-def priced_positions(positions: DataFrame, dates: DataFrame, prices: DataFrame) -> DataFrame:
-    """Every position on every date, with the price then in force.
 
-    Dates meet tickers first, of which there are few, and the dated prices of a
-    ticker are gathered into one array, at most one entry per day.  Positions are
-    joined to that by ticker and then expanded, so the rows shuffled are positions,
-    not positions times dates.  Every ticker has its array; the left join only says
-    that positions are the side to stream, whose hot tickers can then be split.
+def price_curves(tickers: DataFrame, dates: DataFrame, prices: DataFrame) -> DataFrame:
+    """(ticker, curve): the prices in force on all dates, in the order of the dates.
+
+    There are few tickers; a curve has one entry per day asked for.
+    """
+    dated = asof_prices(each_date(tickers, dates).withColumnRenamed("snapshot_date", "as_of"), prices)
+    points = F.array_sort(F.collect_list(F.struct("as_of", "latest_price")))
+    return dated.groupBy("ticker").agg(points.alias("points")).select("ticker", F.col("points.latest_price").alias("curve"))
+
+
+def dated_positions(positions: DataFrame, dates: DataFrame, curves: DataFrame, flows: DataFrame) -> DataFrame:
+    """Every position on every date, with the price then in force and the account's cash of that day.
+
+    `flows` has customer_id, account_type, snapshot_date, daily_net_cash and cash_date.  Each account
+    gets an array with a slot per date (two where it has two cash rows on a day), each ticker its
+    curve; positions are joined to both and expanded last, so no row of dates x positions is shuffled.
+    With `curves` read from a table, the join by ticker is one of two plain shuffles, and adaptive
+    execution splits a hot ticker.
     """
-    asked = each_date(positions.select("ticker").distinct(), dates)
-    dated = asof_prices(asked.withColumnRenamed("snapshot_date", "as_of"), prices)
-    curve = dated.groupBy("ticker").agg(
-        F.collect_list(F.struct(F.col("as_of").alias("snapshot_date"), "latest_price")).alias("curve")
+    days = dates.agg(F.array_sort(F.collect_set("snapshot_date")).alias("days"))
+    all_days = days.scalar()
+    numbered = days.select(F.posexplode("days").alias("day", "snapshot_date"))
+    slot = F.struct("day", "daily_net_cash", "cash_date")
+    per_account = (
+        flows.join(numbered, "snapshot_date")
+        .groupBy("customer_id", "account_type")
+        .agg(F.collect_list(slot).alias("cash"))
     )
+    amount = flows.schema["daily_net_cash"].dataType
+    places = F.when(F.size("days") > 0, F.sequence(F.lit(0), F.size("days") - 1))
+    blank = F.transform(
+        F.array_except(places, F.coalesce(F.col("cash.day"), F.array().cast("array<int>"))),
+        lambda day: F.struct(
+            day.alias("day"), F.lit(None).cast(amount).alias("daily_net_cash"), F.lit(None).cast("timestamp_ntz").alias("cash_date")
+        ),
+    )
+    slots = F.when(F.col("cash").isNull(), blank).otherwise(F.concat("cash", blank))
     return (
-        positions.join(curve, "ticker", "left")
-        .withColumn("point", F.explode("curve"))
-        .select(*positions.columns, "point.snapshot_date", "point.latest_price")
+        positions.join(per_account, ["customer_id", "account_type"], "left")
+        .withColumn("days", all_days)
+        .withColumn("slots", slots)
+        .drop("cash")
+        .join(curves, "ticker")
+        .withColumn("slot", F.explode("slots"))
+        .select(
+            *positions.columns,
+            F.get("days", F.col("slot.day")).alias("snapshot_date"),
+            F.get("curve", F.col("slot.day")).alias("latest_price"),
+            "slot.daily_net_cash",
+            "slot.cash_date",
+        )
     )
 
 
@@ -78,10 +113,10 @@ def portfolio_snapshot(
     position leaves no row of its own; but two cash tickers on one day double the
     position's rows.
 
-    The outer join is taken apart.  Position rows need a left join to the cash of
-    the snapshot dates alone.  A cash row is left over unless its date is asked for
-    and its account holds anything, so that side is matched against accounts.
-    Neither runs the cash table against positions times dates.
+    The outer join is taken apart.  Positions carry their price curve and the cash of
+    their account as arrays and are expanded over the dates last.  A cash row is left
+    over unless its date is asked for and its account holds anything, so that side is
+    matched against accounts.  Price curves are stored on the way.
     """
     days = dates.select(F.col("snapshot_date").cast("date").alias("snapshot_date")).distinct()
     flows = cash.select(
@@ -92,14 +127,13 @@ def portfolio_snapshot(
         F.col("transaction_date").cast("date").alias("snapshot_date"),
     )
 
+    spark = positions.sparkSession
+    curves = write_table(
+        price_curves(positions.select("ticker").distinct(), days, prices), f"{workspace(spark)}/curves"
+    )
     securities = (
-        priced_positions(positions, days, prices)
+        dated_positions(positions, days, curves, flows)
         .withColumnRenamed("ticker", "held_ticker")
-        .join(
-            flows.join(days, "snapshot_date", "left_semi"),
-            ["snapshot_date", "customer_id", "account_type"],
-            "left",
-        )
         .where(F.coalesce("current_shares", "daily_net_cash", F.lit(0)) > 0)
         .select(*_columns())
     )
@@ -132,6 +166,38 @@ def portfolio_snapshot(
     return securities.unionByName(cash_rows)
 
 
+def snapshot_totals(dates: DataFrame, positions: DataFrame, prices: DataFrame) -> DataFrame:
+    """Value, cost and gain per date, account and ticker, of all positions.
+
+    Shares and cost are summed before the dates come in, so what is made has a row per date,
+    account type and ticker, however many customers there are.  Sums are exact: a total is the sum
+    of whole shares times a price with two digits.
+    """
+    days = dates.select(F.col("snapshot_date").cast("date").alias("snapshot_date")).distinct()
+    held = (
+        positions.where(F.col("current_shares") > 0)
+        .groupBy("account_type", "ticker")
+        .agg(
+            F.count("*").alias("positions"),
+            F.sum("current_shares").cast(types.SHARE).alias("shares"),
+            F.sum("total_cost_basis").cast(types.COST).alias("cost_basis"),
+        )
+    )
+    asked = each_date(held.select("ticker").distinct(), days).withColumnRenamed("snapshot_date", "as_of")
+    dated = asof_prices(asked, prices).withColumnRenamed("as_of", "snapshot_date")
+    value = F.round(F.col("shares") * F.coalesce("latest_price", F.lit(0).cast(types.PRICE)), 2).cast(types.COST)
+    return held.join(dated, "ticker").select(
+        "snapshot_date",
+        "account_type",
+        "ticker",
+        "positions",
+        "shares",
+        "cost_basis",
+        value.alias("market_value"),
+        (value - F.col("cost_basis")).cast(types.COST).alias("unrealized_gain_loss"),
+    )
+
+
 def write_snapshot(snapshot: DataFrame, path: str) -> DataFrame:
     """Store snapshots by date; a date that is made again replaces its old rows."""
     return write_table(snapshot, path, "overwrite", ("snapshot_date",))

@@ -95,7 +95,7 @@ def left_join_left_pred(spark: SparkSession, folder: str) -> DataFrame:
 
 def cross_dates(spark: SparkSession, folder: str) -> DataFrame:
     trades = A.brand_trades(spark, folder)
-    dates = A.closing_dates(trades, A.cash_deposits(spark, folder))
+    dates = A.feed_days(trades, A.cash_deposits(spark, folder))
     return plain(O.each_date(table(spark, folder, "part").select("p_brand").distinct(), dates))
 
 

@@ -12,7 +12,6 @@ from ..plans import customers as K
 from ..plans import holdings as H
 from ..plans import trades as P
 from ..session import workspace
-from ..sources.files import table
 from ..types import PAYLOAD
 from .common import plain, stored
 
@@ -87,17 +86,20 @@ def _snapshot_inputs(spark: SparkSession, folder: str, root: str) -> tuple[DataF
     return positions, cash
 
 
-def _closing(spark: SparkSession, folder: str, cash: DataFrame) -> DataFrame:
-    orders = table(spark, folder, "orders").select(
-        F.col("o_orderdate").cast("date").alias("transaction_date")
-    )
-    return A.closing_dates(orders, cash)
+def _feed_days(spark: SparkSession, folder: str) -> DataFrame:
+    return A.feed_days(A.brand_trades(spark, folder), A.cash_deposits(spark, folder))
+
+
+def snapshot_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Value, cost and gain on every day of both feeds, per account type and ticker."""
+    dates, prices = _feed_days(spark, folder), A.brand_prices(spark, folder)
+    return plain(H.snapshot_totals(dates, A.positions(spark, folder), prices))
 
 
 def portfolio_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """Year-end statements of all accounts."""
+    """Year-end statements of all accounts; `snapshot_totals` has all days."""
     positions, cash = _snapshot_inputs(spark, folder, workspace(spark))
-    dates = _closing(spark, folder, cash)
+    dates = A.year_ends(_feed_days(spark, folder))
     return plain(
         H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
     )
@@ -107,7 +109,7 @@ def current_holdings(spark: SparkSession, folder: str) -> DataFrame:
     """Holdings after the year-end snapshots have been stored."""
     root = workspace(spark)
     positions, cash = _snapshot_inputs(spark, folder, root)
-    dates = _closing(spark, folder, cash)
+    dates = A.year_ends(_feed_days(spark, folder))
     snapshot = H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
     history = H.write_snapshot(snapshot, f"{root}/history")
     return plain(H.current_holdings(history, cash))
@@ -149,6 +151,7 @@ QUERIES = {
     "cash_detail": cash_detail,
     "daily_cash": daily_cash,
     "merge_positions": merge_positions,
+    "snapshot_totals": snapshot_totals,
     "portfolio_snapshot": portfolio_snapshot,
     "current_holdings": current_holdings,
     "customer_overview": customer_overview,

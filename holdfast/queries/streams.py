@@ -16,7 +16,7 @@ from ..plans import cash as C
 from ..plans import holdings as H
 from ..plans.trades import flattened
 from ..session import workspace
-from ..sources.files import CSV_WRITE_OPTIONS, parse_payload
+from ..sources.files import CSV_WRITE_OPTIONS, parse_payload, write_table
 from ..streaming import (
     BatchFolders,
     BatchSums,
@@ -26,9 +26,12 @@ from ..streaming import (
     consume,
     csv_feed,
     daily_cash_step,
+    has_data,
+    newest_totals,
     positions_step,
     run_steps,
     snapshot_step,
+    totals_step,
     touched_dates,
     with_change_metadata,
 )
@@ -37,6 +40,7 @@ from ..types import (
     DAILY_CASH,
     POSITION_KEY,
     POSITIONS,
+    SNAPSHOT_TOTALS,
     SECURITY_TRADES_CSV,
     TRADES_FLAT,
 )
@@ -143,7 +147,40 @@ def merge_positions_stream(spark: SparkSession, folder: str) -> DataFrame:
     return plain(target.read().drop("last_updated"))
 
 
+def portfolio_snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of every day that a batch of trades touches, made after its positions; two drops."""
+    root = workspace(spark)
+    positions = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY)
+    prices = write_table(A.brand_prices(spark, folder), f"{root}/prices")
+    history = BatchFolders(spark, f"{root}/totals", SNAPSHOT_TOTALS)
+    steps = run_steps(positions_step(positions, A.AS_OF), totals_step(history, positions, prices))
+    trades = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames())
+    early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
+    for drop in (trades.where(early), trades.where(~early)):
+        drop.write.mode("append").parquet(f"{root}/trades")
+        feed = change_feed(spark, f"{root}/trades", TRADES_FLAT)
+        consume(feed, f"{root}/checkpoint", steps).awaitTermination()
+    return plain(newest_totals(history).select(*SNAPSHOT_TOTALS.fieldNames()))
+
+
+def feed_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a consumer has rows to take: before its first run, after it, after a drop, after that run."""
+    root = workspace(spark)
+    said: list[tuple[int, bool, int]] = []
+    seen = BatchFolders(spark, f"{root}/seen", CASH_DEPOSITS)
+    for drop in _deposit_drops(spark, folder):
+        drop.write.mode("append").parquet(f"{root}/deposits")
+        feed = change_feed(spark, f"{root}/deposits", CASH_DEPOSITS)
+        for _ in range(2):
+            waiting = has_data(feed, f"{root}/checkpoint")
+            if waiting:
+                consume(feed, f"{root}/checkpoint", lambda batch, n: seen.write(batch, n)).awaitTermination()
+            said.append((len(said), waiting, seen.read().count()))
+    return spark.createDataFrame(said, "step bigint, has_data boolean, taken bigint")
+
+
 def _newest_day(batch: DataFrame) -> DataFrame:
+    """The daily run's choice: statements of the newest day alone; totals take all touched days."""
     return touched_dates(batch).agg(F.max("snapshot_date").alias("snapshot_date"))
 
 
@@ -214,5 +251,7 @@ QUERIES = {
     "stream_metadata": stream_metadata,
     "daily_cash_stream": daily_cash_stream,
     "merge_positions_stream": merge_positions_stream,
+    "portfolio_snapshot_stream": portfolio_snapshot_stream,
+    "feed_gate": feed_gate,
     "holdings_end_to_end": holdings_end_to_end,
 }

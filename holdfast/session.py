@@ -32,3 +32,37 @@ def workspace(spark: SparkSession) -> str:
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path, in any store that Spark reads; none if it is missing."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(found.getPath().getName() for found in system.listStatus(place) if found.isDirectory())
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table write to this folder has been completed."""
+    system, place = _file_system(spark, f"{path}/_SUCCESS")
+    return system.exists(place)
+
+
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a small folder, such as a checkpoint; a missing one leaves the target missing."""
+    system, place = _file_system(spark, source)
+    if system.exists(place):
+        other, goal = _file_system(spark, target)
+        files = spark._jvm.org.apache.hadoop.fs.FileUtil
+        files.copy(system, place, other, goal, False, spark._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)

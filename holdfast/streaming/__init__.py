@@ -1,7 +1,15 @@
 """Append-only feeds, incremental tables and the steps between them."""
 
-from .feeds import auto_ingest, change_feed, consume, csv_feed, with_change_metadata
-from .steps import daily_cash_step, positions_step, run_steps, snapshot_step, touched_dates
+from .feeds import auto_ingest, change_feed, consume, csv_feed, has_data, with_change_metadata
+from .steps import (
+    daily_cash_step,
+    newest_totals,
+    positions_step,
+    run_steps,
+    snapshot_step,
+    totals_step,
+    touched_dates,
+)
 from .tables import BatchFolders, BatchSums, ChangeTable
 
 __all__ = [
@@ -13,9 +21,12 @@ __all__ = [
     "consume",
     "csv_feed",
     "daily_cash_step",
+    "has_data",
+    "newest_totals",
     "positions_step",
     "run_steps",
     "snapshot_step",
+    "totals_step",
     "touched_dates",
     "with_change_metadata",
 ]

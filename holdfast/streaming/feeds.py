@@ -9,33 +9,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
+from ..session import copy_folder, workspace
 from ..sources.files import CSV_OPTIONS
 
-FILES_PER_BATCH = 10_000
+
+def _limited(spark: SparkSession, files_per_batch: int | None) -> DataStreamReader:
+    reader = spark.readStream
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
 def change_feed(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Rows appended to a Parquet table, initial rows included."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    )
+    """Rows appended to a Parquet table, initial rows included.
+
+    A run takes all that waits as one batch, unless the caller limits the files per batch.  Where
+    results depend on how rows are cut into batches, as a cost basis does, leave it unlimited.
+    """
+    return _limited(spark, files_per_batch).schema(schema).parquet(path)
 
 
 def csv_feed(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Rows of CSV files as they land, also in sub-folders per day."""
-    return (
-        spark.readStream.schema(schema)
-        .options(**CSV_OPTIONS)
-        .option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
-    )
+    """Rows of CSV files as they land, also in sub-folders per day; batches as in `change_feed`."""
+    reader = _limited(spark, files_per_batch).schema(schema).options(**CSV_OPTIONS)
+    return reader.option("recursiveFileLookup", True).csv(path)
+
+
+def has_data(feed: DataFrame, checkpoint: str) -> bool:
+    """Whether a consumer with this checkpoint has rows to take; it takes none.
+
+    A run on a copy of the checkpoint looks for a first row in each batch that it would get.
+    """
+    probe = f"{workspace(feed.sparkSession)}/probe"
+    copy_folder(feed.sparkSession, checkpoint, probe)
+    found: list[bool] = []
+    consume(feed, probe, lambda batch, batch_id: found.append(not batch.isEmpty())).awaitTermination()
+    return any(found)
 
 
 def with_change_metadata(feed: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import changed_positions
 from ..plans.cash import daily_cash
-from ..plans.holdings import portfolio_snapshot, write_snapshot
-from .tables import BatchSums, ChangeTable
+from ..plans.holdings import portfolio_snapshot, snapshot_totals, write_snapshot
+from .tables import BatchFolders, BatchSums, ChangeTable
 
 Step = Callable[[DataFrame, int], None]
 SPILLING = StorageLevel.MEMORY_AND_DISK
@@ -31,10 +31,16 @@ def run_steps(*steps: Step) -> Step:
 
 
 def daily_cash_step(
-    target: BatchSums, source: str, as_cash: Callable[[DataFrame], DataFrame]
+    target: BatchSums, source: str, as_cash: Callable[[DataFrame], DataFrame], compact_every: int = 50
 ) -> Step:
     """Add a batch to the daily sums, after `as_cash` has made cash movements of it."""
-    return lambda batch, batch_id: target.add(daily_cash(as_cash(batch)), batch_id, source)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        target.add(daily_cash(as_cash(batch)), batch_id, source)
+        if (batch_id + 1) % compact_every == 0:
+            target.compact(batch_id, source)
+
+    return run
 
 
 def positions_step(target: ChangeTable, as_of: dt.datetime, compact_every: int = 50) -> Step:
@@ -61,15 +67,37 @@ def snapshot_step(
     prices: DataFrame,
     dates: Callable[[DataFrame], DataFrame] = touched_dates,
 ) -> Step:
-    """Snapshot the days of a batch; goes after the step that updates the positions."""
+    """Snapshot the days of a batch, or those that `dates` picks; goes after the step that updates the positions.
+
+    Only the cash of these days takes part, and cash without a position is kept under its day, so
+    a stored day is whole and is replaced as a whole.  One query at a time may write a history.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Both are read several times over, and each read adds up batches.
-        held, flows = positions.read().persist(SPILLING), cash.read().persist(SPILLING)
+        held, days = positions.read().persist(SPILLING), dates(batch).persist(SPILLING)
+        on_days = F.col("transaction_date").cast("date") == F.col("d.snapshot_date")
+        flows = cash.read().join(days.alias("d"), on_days, "left_semi").persist(SPILLING)
         try:
-            write_snapshot(portfolio_snapshot(dates(batch), held, prices, flows), history)
+            write_snapshot(portfolio_snapshot(days, held, prices, flows, date_cash=True), history)
         finally:
-            held.unpersist()
-            flows.unpersist()
+            for frame in (held, days, flows):
+                frame.unpersist()
+
+    return run
+
+
+def totals_step(history: BatchFolders, positions: ChangeTable, prices: DataFrame, source: str = "feed") -> Step:
+    """Totals of every day of a batch; goes after the step that updates the positions."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        history.write(snapshot_totals(touched_dates(batch), positions.read(), prices), batch_id, source)
 
     return run
+
+
+def newest_totals(history: BatchFolders) -> DataFrame:
+    """Of every day the totals of the last batch that bore on it."""
+    rows = history.read()
+    last = rows.groupBy("snapshot_date").agg(F.max("batch_id").alias("batch_id"))
+    return rows.join(last, ["snapshot_date", "batch_id"]).drop("batch_id", "source")

@@ -2,16 +2,19 @@
 
 Every micro-batch writes a folder of its own, named by the batch id, and never
 touches another one.  A replayed batch overwrites its folder with the same rows, and
-a lost executor only costs the tasks it ran.
+a lost executor only costs the tasks it ran.  Now and then a full copy is written;
+reads open the newest copy and the folders after it, found by their names.
 """
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import folder_names, is_written
+
 
 @dataclass(frozen=True)
 class BatchFolders:
@@ -27,7 +30,17 @@ class BatchFolders:
     def write(self, df: DataFrame, batch_id: int, source: str = "feed") -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/source={source}/batch_id={batch_id}")
 
-    def read(self) -> DataFrame:
+    def sources(self) -> list[str]:
+        return [name.removeprefix("source=") for name in folder_names(self.spark, self.path)]
+
+    def batches(self, source: str = "feed") -> list[int]:
+        """Ids of the batches written in full, ascending; reads names only."""
+        folder = f"{self.path}/source={source}"
+        names = (name for name in folder_names(self.spark, folder) if is_written(self.spark, f"{folder}/{name}"))
+        return sorted(int(name.removeprefix("batch_id=")) for name in names)
+
+    def read(self, picked: Iterable[tuple[str, int]] | None = None) -> DataFrame:
+        """All batches, or those given as (source, batch id); no other folder is opened."""
         layout = T.StructType(
             [
                 *self.schema.fields,
@@ -35,17 +48,21 @@ class BatchFolders:
                 T.StructField("batch_id", T.LongType()),
             ]
         )
-        try:
-            return self.spark.read.schema(layout).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if picked is None:
+            picked = [(source, batch_id) for source in self.sources() for batch_id in self.batches(source)]
+        paths = [f"{self.path}/source={source}/batch_id={batch_id}" for source, batch_id in picked]
+        if not paths:
             return self.spark.createDataFrame([], layout)
+        return self.spark.read.schema(layout).option("basePath", self.path).parquet(*paths)
 
 
 @dataclass(frozen=True)
 class BatchSums:
-    """A sum per key, refreshed by adding each batch's own partial sums."""
+    """A sum per key, refreshed by adding each batch's own partial sums.
+
+    `compact` writes the sums of one source up to a batch as a copy; older batches of
+    that source are no longer read.
+    """
 
     spark: SparkSession
     path: str
@@ -54,15 +71,36 @@ class BatchSums:
     value: str
 
     def _folders(self) -> BatchFolders:
-        return BatchFolders(self.spark, self.path, self.schema)
+        return BatchFolders(self.spark, f"{self.path}/batches", self.schema)
+
+    def _copies(self) -> BatchFolders:
+        return BatchFolders(self.spark, f"{self.path}/copies", self.schema)
 
     def add(self, partial: DataFrame, batch_id: int, source: str = "feed") -> None:
         self._folders().write(partial.select(*self.schema.fieldNames()), batch_id, source)
 
-    def read(self) -> DataFrame:
+    def _rows(self, sources: list[str], limit: int) -> DataFrame:
+        """Newest copies below `limit` and the batches after them."""
+        folders, copies = self._folders(), self._copies()
+        batches, bases = [], []
+        for source in sources:
+            base = max((n for n in copies.batches(source) if n < limit), default=-1)
+            bases += [(source, base)] if base >= 0 else []
+            batches += [(source, n) for n in folders.batches(source) if base < n < limit]
+        return folders.read(batches).unionByName(copies.read(bases))
+
+    def _sums(self, rows: DataFrame) -> DataFrame:
         kind = self.schema[self.value].dataType
-        total = F.sum(self.value).cast(kind).alias(self.value)
-        return self._folders().read().groupBy(*self.keys).agg(total)
+        return rows.groupBy(*self.keys).agg(F.sum(self.value).cast(kind).alias(self.value))
+
+    def read(self) -> DataFrame:
+        return self._sums(self._rows(self._folders().sources(), 2**62))
+
+    def compact(self, batch_id: int, source: str = "feed") -> None:
+        """Write one source's sums, up to and with `batch_id`, as a copy."""
+        # A copy of this id from an earlier try is not read, so a replay writes the same rows.
+        rows = self._rows([source], batch_id).unionByName(self._folders().read([(source, batch_id)]))
+        self._copies().write(self._sums(rows).select(*self.schema.fieldNames()), batch_id, source)
 
 
 @dataclass(frozen=True)
@@ -86,12 +124,6 @@ class ChangeTable:
     def _copies(self) -> BatchFolders:
         return BatchFolders(self.spark, f"{self.path}/copies", self.schema)
 
-    def _newest_copy(self, before: int) -> int:
-        """Id of the last full copy; reads folder names only."""
-        copies = self._copies().read().where(F.col("batch_id") < before)
-        ids = copies.agg(F.max("batch_id")).first()[0]
-        return -1 if ids is None else ids
-
     def read(self, before: int | None = None, only: DataFrame | None = None) -> DataFrame:
         """The table as it was before a batch, or now.
 
@@ -100,13 +132,11 @@ class ChangeTable:
         at the scan when the keys are few enough to broadcast.
         """
         limit = 2**62 if before is None else before
-        base = self._newest_copy(limit)
+        base = max((n for n in self._copies().batches() if n < limit), default=-1)
         columns = self.schema.fieldNames()
-        rows = self._changes().read().where(
-            (F.col("batch_id") < limit) & (F.col("batch_id") > base)
-        )
+        rows = self._changes().read([("feed", n) for n in self._changes().batches() if base < n < limit])
         if base >= 0:
-            copy = self._copies().read().where(F.col("batch_id") == base)
+            copy = self._copies().read([("feed", base)])
             rows = rows.unionByName(copy.withColumn("deleted", F.lit(False)))
         if only is not None:
             rows = rows.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi")

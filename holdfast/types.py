@@ -79,6 +79,17 @@ POSITIONS = schema(
     last_updated=TIMESTAMP,
 )
 
+SNAPSHOT_TOTALS = schema(
+    snapshot_date=DATE,
+    account_type=TEXT,
+    ticker=TEXT,
+    positions=LONG,
+    shares=SHARE,
+    cost_basis=COST,
+    market_value=COST,
+    unrealized_gain_loss=COST,
+)
+
 RETIREMENT_CONTRIBUTIONS = schema(
     transaction_date=TIMESTAMP,
     share_amount=AMOUNT,

@@ -67,3 +67,58 @@ def test_role_decides_the_plan(spark):
 def test_classification_reads_once(spark):
     text = plan(O.classify_columns(A.customers(spark, FOLDER)))
     assert text.count("customer.parquet") == 1
+
+
+def test_nothing_above_the_dates_is_shuffled(spark):
+    positions, cash = A.positions(spark, FOLDER), A.daily(spark, FOLDER)
+    days = A.year_ends(A.feed_days(A.brand_trades(spark, FOLDER), A.cash_deposits(spark, FOLDER)))
+    flows = cash.select(
+        "customer_id", "account_type", "daily_net_cash", F.col("transaction_date").alias("cash_date"),
+        F.col("transaction_date").cast("date").alias("snapshot_date"),
+    )
+    curves = H.price_curves(positions.select("ticker").distinct(), days, A.brand_prices(spark, FOLDER))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(H.dated_positions(positions, days, curves, flows))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in text[: text.index("Generate explode(slots")]
+
+
+def test_a_hot_ticker_is_split(spark, tmp_path):
+    wide = "x" * 200
+    held = spark.range(60_000).select(
+        F.col("id").alias("customer_id"), F.lit(wide).alias("account_type"),
+        F.when(F.col("id") % 10 < 8, "HOT").otherwise(F.concat(F.lit("T"), F.col("id") % 50)).alias("ticker"),
+        F.lit(1).cast("decimal(18,4)").alias("current_shares"),
+    ).repartition(16)
+    days = spark.createDataFrame([("2024-01-01",), ("2024-01-02",)], "d string").select(F.col("d").cast("date").alias("snapshot_date"))
+    flows = spark.createDataFrame(
+        [], "customer_id bigint, account_type string, daily_net_cash decimal(18,2), cash_date timestamp_ntz, snapshot_date date"
+    )
+    path = str(tmp_path / "curves")
+    prices = spark.createDataFrame([], "ticker string, price_date date, close_price decimal(10,2)")
+    H.price_curves(held.select("ticker").distinct(), days, prices).write.parquet(path)
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {key: spark.conf.get(key) for key in low}
+    for key, value in low.items():
+        spark.conf.set(key, value)
+    try:
+        found = H.dated_positions(held, days, spark.read.parquet(path), flows)
+        rows = found.collect()
+        text = plan(found)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(rows) == 120_000
+    assert "skew=true" in text
+
+
+def test_a_day_filter_needs_no_sort_of_the_lines(spark):
+    assert "SortMergeJoin" not in plan(entry.queries()["filter_eq"](spark, FOLDER))

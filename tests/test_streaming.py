@@ -11,6 +11,7 @@ from holdfast.plans import cash as C
 from holdfast.plans import holdings as H
 from holdfast.plans.trades import enrich_trades
 from holdfast.streaming import (
+    BatchFolders,
     BatchSums,
     ChangeTable,
     auto_ingest,
@@ -18,12 +19,15 @@ from holdfast.streaming import (
     consume,
     csv_feed,
     daily_cash_step,
+    has_data,
+    newest_totals,
     positions_step,
     run_steps,
     snapshot_step,
+    totals_step,
     with_change_metadata,
 )
-from holdfast.types import CASH_DEPOSITS, DAILY_CASH, POSITION_KEY, POSITIONS, TRADES_FLAT
+from holdfast.types import CASH_DEPOSITS, DAILY_CASH, POSITION_KEY, POSITIONS, SNAPSHOT_TOTALS, TRADES_FLAT
 
 NOW = dt.datetime(2024, 1, 1)
 
@@ -186,7 +190,7 @@ def test_snapshots_follow_positions(spark, tmp_path, rows):
         [
             (first, 1, "A", Decimal("10.0000"), Decimal("30.00")),
             (second, 1, "A", Decimal("12.0000"), Decimal("48.00")),
-            (None, 9, "CASH", Decimal("7.0000"), Decimal("7.00")),
+            (second, 9, "CASH", Decimal("7.0000"), Decimal("7.00")),
         ],
         key=repr,
     )
@@ -194,3 +198,74 @@ def test_snapshots_follow_positions(spark, tmp_path, rows):
     assert rows(current, "customer_id", "ticker", "quantity") == [
         (1, "A", Decimal("12.0000")), (9, "CASH", Decimal("7.0000")),
     ]
+
+
+def folders_read(df):
+    return {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+
+
+def test_tables_do_not_age(spark, tmp_path):
+    sums = BatchSums(spark, str(tmp_path / "daily"), DAILY_CASH, C.DAILY_KEY, "daily_net_cash")
+    held = ChangeTable(spark, str(tmp_path / "positions"), POSITIONS, POSITION_KEY)
+    cash_step = daily_cash_step(sums, "deposits", C.deposit_cash, compact_every=4)
+    trade_step = positions_step(held, NOW, compact_every=4)
+    for batch_id in range(20):
+        for _ in range(2 if batch_id % 7 == 3 else 1):  # some batches are replayed, with their copies
+            cash_step(deposits(spark, (1, 1, 5), (2, 1, 1)), batch_id)
+            trade_step(trades(spark, (1, "A", "Buy", 1, 10, 1)), batch_id)
+        assert len(folders_read(sums.read())) <= 4
+        assert len(folders_read(held.read())) <= 4
+        assert sums.read().where("customer_id = 1").first().daily_net_cash == 5 * (batch_id + 1)
+        assert held.read().first().current_shares == batch_id + 1
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    folders = BatchFolders(spark, str(tmp_path / "t"), DAILY_CASH)
+    assert folders.read().count() == 0
+    folders.write(C.daily_cash(C.deposit_cash(deposits(spark, (1, 1, 5)))), 0)
+    (tmp_path / "t" / "source=feed" / "batch_id=1").mkdir()
+    assert folders.batches() == [0] and folders.read().count() == 1
+
+
+def test_gate_takes_nothing(spark, tmp_path):
+    root, seen = str(tmp_path), []
+    drop(deposits(spark, (1, 1, 1)), f"{root}/deposits")
+    feed = change_feed(spark, f"{root}/deposits", CASH_DEPOSITS)
+
+    def run():
+        consume(feed, f"{root}/cp", lambda batch, batch_id: seen.append(batch.count())).awaitTermination()
+
+    assert has_data(feed, f"{root}/cp") and has_data(feed, f"{root}/cp")
+    run()
+    assert not has_data(feed, f"{root}/cp")
+    drop(deposits(spark, (1, 1, 1), (2, 1, 1)), f"{root}/deposits")
+    assert has_data(feed, f"{root}/cp")
+    run()
+    assert seen == [1, 2]
+
+
+def test_all_waiting_files_are_one_batch(spark, tmp_path):
+    root, seen = str(tmp_path), []
+    for _ in range(12):
+        drop(deposits(spark, (1, 1, 1)), f"{root}/deposits")
+    for name, limit in (("all", None), ("few", 5)):
+        feed = change_feed(spark, f"{root}/deposits", CASH_DEPOSITS, limit)
+        consume(feed, f"{root}/{name}", lambda batch, batch_id: seen.append(batch.count())).awaitTermination()
+    assert seen == [12, 5, 5, 2]
+
+
+def test_totals_of_touched_days_follow_positions(spark, tmp_path, rows):
+    root = str(tmp_path)
+    held = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY)
+    history = BatchFolders(spark, f"{root}/totals", SNAPSHOT_TOTALS)
+    prices = spark.createDataFrame([("A", dt.date(2024, 1, 1), Decimal(3))], "ticker string, price_date date, close_price decimal(10,2)")
+    steps = run_steps(positions_step(held, NOW), totals_step(history, held, prices))
+    steps(trades(spark, (1, "A", "Buy", 10, 100, 1), (2, "A", "Buy", 1, 9, 2)), 0)
+    for _ in range(2):
+        steps(trades(spark, (1, "A", "Buy", 5, 50, 2), (1, "B", "Buy", 1, 4, 2)), 1)
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    assert rows(newest_totals(history), "snapshot_date", "ticker", "positions", "shares", "market_value", "unrealized_gain_loss") == [
+        (first, "A", 2, Decimal("11.0000"), Decimal("33.00"), Decimal("-76.00")),
+        (second, "A", 2, Decimal("16.0000"), Decimal("48.00"), Decimal("-111.00")),
+        (second, "B", 1, Decimal("1.0000"), Decimal("0.00"), Decimal("-4.00")),
+    ]

@@ -91,22 +91,20 @@ def trade_rows(spark, groups):
     return out
 
 
-def test_large_groups_are_split_and_nothing_is_lost(spark, rows):
-    trades = trade_rows(spark, [(1, 3, 1), (2, 500, 1), (3, 1, 400), (None, 60, 2)])
+def test_one_payload_per_group_of_any_size(spark, rows):
+    trades = trade_rows(spark, [(1, 3, 1), (2, 30_000, 1), (3, 1, 400), (None, 60, 2)])
     whole = build_payload(trades)
-    split = build_payload(trades, max_trades=10)
-    columns = ("customer_id", "ticker", "shares", "trade_action")
-    assert rows(flatten_trades(split), *columns) == rows(flatten_trades(whole), *columns)
     assert whole.count() == 4
+    columns = ("customer_id", "ticker", "shares")
+    expected = trades.withColumn("shares", F.col("shares").cast("int"))
+    assert rows(flatten_trades(whole), *columns) == rows(expected, *columns)
 
-    sizes = flatten_trades(
-        split.withColumn("transaction_id", F.monotonically_increasing_id().cast("string"))
-    ).groupBy("customer_id", "transaction_id").count()
-    assert sizes.where("customer_id = 1").count() == 1
-    assert sizes.where("customer_id = 2").count() >= 40
-    assert sizes.where("customer_id = 3").count() >= 15
-    # Parts are filled by hash: about `max_trades` each, never near the whole group.
-    assert sizes.agg(F.max("count")).first()[0] < 60
+
+def test_payloads_take_one_scan_and_one_shuffle(spark, tmp_path):
+    path = str(tmp_path / "trades")
+    trade_rows(spark, [(1, 3, 1)]).write.parquet(path)
+    text = build_payload(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "Join" not in text
 
 
 def test_payload_keeps_group_columns(spark):
