@@ -7,6 +7,7 @@ batch holds; only a single text longer than the slice makes a larger one.
 from __future__ import annotations
 
 import sys
+import threading
 import types
 from collections.abc import Callable, Iterator
 
@@ -121,9 +122,16 @@ def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def per_process(key: object, make: Callable[[], object]) -> object:
-    """`make()`, kept for later tasks of the same Python worker."""
+def per_process(key: object, make: Callable[[], object], idle: float = 15.0) -> object:
+    """`make()`, kept for later tasks of the same Python worker until it was not asked for some seconds."""
     kept = sys.modules.setdefault("holdfast_kept", types.ModuleType("holdfast_kept")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    value, timer = kept.pop(key, (None, None))
+    if timer:
+        timer.cancel()
+    if value is None:
+        value = make()
+    timer = threading.Timer(idle, kept.pop, (key, None))
+    timer.daemon = True
+    kept[key] = value, timer
+    timer.start()
+    return value

@@ -27,8 +27,8 @@ LENGTH = 2048
 END_ID = 1
 SENTENCE_PENALTY = 8
 INNER_PENALTY = 64
-BLOCK_TOKENS = 4 << 20
-KEPT_WORDS = 3 << 19
+BLOCK_TOKENS = 1 << 20
+KEPT_WORDS = 1 << 19
 ENDS = (b".", b"!", b"?", "。".encode(), "！".encode(), "？".encode())
 
 
@@ -59,7 +59,7 @@ class WordIds(dict):
     """Ids of words between ASCII blanks, each word tokenised once.
 
     For tokenizers to which blanks are nothing but breaks, the ids of a text are those of its
-    words in a row.  At most `most` words are kept; then it starts anew.
+    words in a row.  Beyond `most` words, those that came once are forgotten.
     """
 
     def __init__(self, path: str, most: int = KEPT_WORDS) -> None:
@@ -74,6 +74,23 @@ class WordIds(dict):
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begins = np.zeros(1 << 12, np.int64)
         self.ends_sentence = np.zeros(1 << 12, bool)
+        self.uses = np.zeros(1 << 12, np.int64)
+
+    def shrink(self) -> None:
+        """Forget words that came once since the last time, or all if the others are too many."""
+        keep = np.flatnonzero(self.uses[: len(self)] > 1)
+        if len(keep) > self.most // 2:
+            self.restart()
+            return
+        words = list(self)
+        begins, counts = self.begins[keep], self.begins[keep + 1] - self.begins[keep]
+        self.clear()
+        self.update((words[k], place) for place, k in enumerate(keep.tolist()))
+        ids = self.ids[ragged(begins, counts)]
+        self.ids[: len(ids)] = ids
+        self.begins[: len(keep) + 1] = np.r_[0, np.cumsum(counts)]
+        self.ends_sentence[: len(keep)] = self.ends_sentence[keep]
+        self.uses[:] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = place = len(self)
@@ -94,6 +111,7 @@ class WordIds(dict):
         if last >= len(self.begins):
             self.begins = np.concatenate((self.begins, np.zeros(max(last, len(self.begins)), np.int64)))
             self.ends_sentence = np.concatenate((self.ends_sentence, np.zeros(max(last, len(self.ends_sentence)), bool)))
+            self.uses = np.concatenate((self.uses, np.zeros(max(last, len(self.uses)), np.int64)))
         at = self.begins[first]
         if at + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint32)))
@@ -105,10 +123,11 @@ class WordIds(dict):
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, number of ids by word, whether a sentence ends by word)."""
         if len(self) > self.most:
-            self.restart()
+            self.shrink()
         places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.new:
             self._learn()
+        self.uses[: len(self)] += np.bincount(places, minlength=len(self))
         begins, counts = self.begins[places], self.begins[places + 1] - self.begins[places]
         return self.ids[ragged(begins, counts)], counts, self.ends_sentence[places]
 
@@ -244,7 +263,6 @@ def pack(
     last = "ids_crc32" if digest else "ids"
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        coder: WordIds = per_process((WordIds, tokenizer), lambda: WordIds(tokenizer))
         sequence = TaskContext.get().partitionId() << 32
         block = Block()
 
@@ -261,6 +279,7 @@ def pack(
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns.values()), ids], names=[*columns, last])
 
         for batch in batches:
+            coder: WordIds = per_process((WordIds, tokenizer), lambda: WordIds(tokenizer))
             data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_pylist()
             for low, high in slices(offsets):

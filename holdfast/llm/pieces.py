@@ -34,7 +34,7 @@ SPACE = "▁"
 CHUNK = 1 << 15
 UNKNOWN_PENALTY = 10.0
 NONE = float("-inf")
-KEPT = 1 << 20
+KEPT = 1 << 19
 
 
 class Pieces(WordIds):
@@ -67,6 +67,11 @@ class Pieces(WordIds):
         super().restart()
         self.word_scores = np.zeros(1 << 12)
 
+    def shrink(self) -> None:
+        scores = self.word_scores[np.flatnonzero(self.uses[: len(self)] > 1)]
+        super().shrink()
+        self.word_scores[: len(self)] = scores[: len(self)]
+
     def forward(self, text: str, length: int, entry: list[float]) -> tuple[list[float], list[int]]:
         """(best score, where its last piece begins) at every place up to length + longest - 1.
 
@@ -219,8 +224,8 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
     giant = F.coalesce(F.length("text") > chunk, F.lit(False))
 
     def small(batches) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(model)
         for batch in batches:
+            pieces = _pieces(model)
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 texts = part.column(1).to_pylist()
@@ -238,9 +243,9 @@ def _encode_giant(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     root = workspace(docs.sparkSession)
 
     def chunked(batches):
-        pieces = _pieces(model)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
+            pieces = _pieces(model)
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 whole = pieces.model.normalize(text.as_py())
                 # The last chunk may be longer, so that every chunk is longer than any piece.
@@ -257,8 +262,8 @@ def _encode_giant(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     texts = chunks.select("row", "chunk", "length", "text").repartition("row", "chunk")
 
     def matrices(batches):
-        pieces = _pieces(model)
         for batch in batches:
+            pieces = _pieces(model)
             found = [pieces.matrix(t.as_py(), n).tobytes() for t, n in zip(batch.column(3), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["row", "chunk", "matrix"])
 
@@ -276,8 +281,8 @@ def _encode_giant(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     entries = stored(scores.groupBy("row").applyInArrow(scanned, "row bigint, chunk int, entry array<double>"), "entries", root)
 
     def origins(batches):
-        pieces = _pieces(model)
         for batch in batches:
+            pieces = _pieces(model)
             found = [pieces.origins(t.as_py(), n, e) for t, n, e in zip(batch.column(3), batch.column(2).to_pylist(), batch.column(4).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["row", "chunk", "origins"])
 
@@ -293,8 +298,8 @@ def _encode_giant(docs: DataFrame, model: str, chunk: int) -> DataFrame:
     states = stored(came.groupBy("row").applyInArrow(composed, "row bigint, chunk int, first int, last int"), "states", root)
 
     def traced(batches):
-        pieces = _pieces(model)
         for batch in batches:
+            pieces = _pieces(model)
             found = [pieces.ids_of(t.as_py()[a : n + b]) for t, n, a, b in zip(batch.column(4), *(batch.column(k).to_pylist() for k in (3, 5, 6)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], _id_list(found)], names=["row", "doc_id", "chunk", "ids"])
 
@@ -313,9 +318,10 @@ def decode(encoded: DataFrame, model: str, ids_column: str = "ids", text_column:
     at = keep.index(ids_column)
 
     def run(batches):
-        pieces = _pieces(model)
         for batch in batches:
-            texts = [None if ids is None else pieces.model.decode(ids) if ids else "" for ids in batch.column(at).to_pylist()]
+            pieces = _pieces(model)
+            # One row at a time: lists of numbers are much larger than arrays of them.
+            texts = [pieces.model.decode(ids.as_py()) if ids.is_valid and len(ids) else "" if ids.is_valid else None for ids in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, text_column])
 
     schema = "".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}, " for c in keep)
