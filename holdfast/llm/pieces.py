@@ -52,6 +52,8 @@ class Pieces(WordIds):
         self.scores = {model.id_to_piece(i): model.get_score(i) for i in normal}
         self.numbers = {model.id_to_piece(i): i for i in normal}
         self.longest = max(map(len, self.scores), default=1)
+        # Every beginning of a piece, with its score if it is one, so that a search ends where no piece goes on.
+        self.beginnings: dict[str, float | None] = {piece[:n]: None for piece in self.scores for n in range(1, len(piece))} | self.scores
         self.unknown = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes = self.bytes if model.is_byte(self.bytes[0]) else []
@@ -83,20 +85,23 @@ class Pieces(WordIds):
         for place, score in enumerate(entry):
             if score > NONE:
                 best[place], back[place] = score, -1
-        scores, longest, total = self.scores, self.longest, len(text)
+        look, total, unknown = self.beginnings.get, len(text), self.unknown
         for start in range(length):
             here = best[start]
             if here == NONE:
                 continue
-            single = False
-            for end in range(start + 1, min(start + longest, total) + 1):
-                score = scores.get(text[start:end])
-                if score is not None:
-                    single = single or end == start + 1
-                    if here + score > best[end]:
-                        best[end], back[end] = here + score, start
-            if not single and here + self.unknown > best[start + 1]:
-                best[start + 1], back[start + 1] = here + self.unknown, start
+            end = start + 1
+            score = look(text[start:end], False)
+            if score is None or score is False:  # no piece of this one character
+                if here + unknown > best[end]:
+                    best[end], back[end] = here + unknown, start
+            while score is not False:
+                if score is not None and here + score > best[end]:
+                    best[end], back[end] = here + score, start
+                end += 1
+                if end > total:
+                    break
+                score = look(text[start:end], False)
         return best, back
 
     def segmented(self, word: str) -> tuple[list[int], float]:
