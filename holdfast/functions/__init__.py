@@ -1,6 +1,6 @@
-"""Column helpers.  Each returns one Column built from Spark functions."""
+"""Column helpers, built from Spark functions."""
 
-from .casts import divide, fits, to_int
+from .casts import divide, fits, stamped, to_int
 from .text import mask_social, transaction_key
 
-__all__ = ["divide", "fits", "mask_social", "to_int", "transaction_key"]
+__all__ = ["divide", "fits", "mask_social", "stamped", "to_int", "transaction_key"]

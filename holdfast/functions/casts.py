@@ -1,6 +1,8 @@
-"""Numeric casts and arithmetic with warehouse rounding."""
+"""Numeric casts and arithmetic with warehouse rounding, and time stamps given by the caller."""
 
-from pyspark.sql import Column
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,3 +24,11 @@ def divide(top: Column, bottom: Column, scale: int) -> Column:
     here and not left to Spark's own rule.
     """
     return F.round(F.try_divide(top, bottom), scale)
+
+
+def stamped(df: DataFrame, name: str, at: dt.datetime) -> DataFrame:
+    """`df` with a column that says when it was processed or refreshed; the caller gives the time.
+
+    A fixed time, not the clock, so that a step that runs again writes the same rows.
+    """
+    return df.withColumn(name, F.lit(at).cast("timestamp_ntz"))

@@ -18,8 +18,9 @@ START = dt.date(1995, 1, 1)
 SCHEMA_CUT = dt.datetime(1998, 1, 1)
 
 
-def _write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)
+def _write_csv(df: DataFrame, path: str, mode: str = "errorifexists", max_rows: int = 0) -> None:
+    """`max_rows`: most rows of a file, 0 for no limit."""
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).option("maxRecordsPerFile", max_rows).csv(path)
 
 
 def scan_typed(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,7 +31,8 @@ def scan_typed(spark: SparkSession, folder: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     documents = S.table(spark, folder, "documents")
     path = f"{workspace(spark)}/documents"
-    _write_csv(documents, path)
+    # A file with line breaks inside quotes is one task, so files are kept small.
+    _write_csv(documents, path, max_rows=20_000)
     return S.scan_csv(spark, path, documents.schema, multiline=True)
 
 
@@ -119,9 +121,20 @@ def load_positional(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    older, _ = _contribution_folders(spark, folder)
+    """Landed files per layout; how many files there are is up to the writer, folders are one per account type."""
+    landing = workspace(spark)
+    rows = A.contributions(spark, folder)
+    is_old = F.col("transaction_date") < F.lit(SCHEMA_CUT)
+    for name, part in (("original_schema", rows.where(is_old)), ("new_schema", rows.where(~is_old))):
+        S.write_table(part, f"{landing}/{name}", partition_by=("account_type_name",))
     patterns = {"new_schema": "%new_schema%", "original_schema": "%original_schema%"}
-    return S.file_inventory(spark, older.rsplit("/", 1)[0], patterns)
+    found = S.file_inventory(spark, landing, patterns).where("schema_type IS NOT NULL")
+    return found.select(
+        "schema_type",
+        (F.col("total_bytes") > 0).alias("has_bytes"),
+        (F.col("num_of_files") >= F.col("num_of_folders")).alias("has_files"),
+        F.col("num_of_folders").alias("account_types"),
+    )
 
 
 def auto_ingest_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,6 +198,55 @@ def ledger_mark(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def unload_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Pending days unloaded, marked and read back, from a ledger with the days before the cut.
+
+    One row per feed and day: rows in the feed, rows read back, status before and after, and whether
+    the cursor stood on the day.
+    """
+    raw = A.trades_raw(spark, folder)
+    feeds = {
+        "trades": raw.withColumn("transaction_payload", F.to_json("transaction_payload")),
+        "deposits": A.cash_deposits(spark, folder),
+    }
+    cuts = {"trades": A.BATCH_CUT, "deposits": dt.date(2024, 1, 16)}
+    root, out = workspace(spark), []
+    empty = spark.createDataFrame([], LEDGER)
+    for name, rows in feeds.items():
+        rows = S.write_table(rows, f"{root}/{name}")
+        known = S.pending_days(rows, empty)
+        ledger = S.mark_done(empty, known.where(F.col("transaction_date") < F.lit(cuts[name])), A.AS_OF)
+        ledger = S.write_table(ledger, f"{root}/{name}-ledger")
+        pending = S.pending_days(rows, ledger)
+        cursor = S.next_day(rows, ledger).withColumn("is_next", F.lit(True))
+        due = rows.withColumn("_day", F.col("transaction_date").cast("date")).join(
+            pending.select(F.col("transaction_date").alias("_day")), "_day", "left_semi"
+        )
+        S.unload_by_date(due.drop("_day"), f"{root}/{name}-unloaded")
+        back = S.scan_csv(spark, f"{root}/{name}-unloaded", rows.schema).select(*rows.columns)
+        unloaded = S.pending_days(back, empty).withColumnRenamed("records", "unloaded")
+        after = S.mark_done(ledger, pending, A.AS_OF)
+        before, then = (
+            frame.select("transaction_date", F.col("unload_status").alias(column))
+            for frame, column in ((ledger, "status_before"), (after, "status_after"))
+        )
+        report = known
+        for frame in (before, then, unloaded, cursor):
+            report = report.join(frame, "transaction_date", "left")
+        out.append(
+            report.select(
+                F.lit(name).alias("feed"),
+                "transaction_date",
+                "records",
+                F.coalesce("unloaded", F.lit(0)).alias("unloaded"),
+                F.coalesce("status_before", F.lit("PENDING")).alias("status_before"),
+                F.coalesce("status_after", F.lit("PENDING")).alias("status_after"),
+                F.coalesce("is_next", F.lit(False)).alias("is_next"),
+            )
+        )
+    return plain(out[0].unionByName(out[1]))
+
+
 def add_columns(spark: SparkSession, folder: str) -> DataFrame:
     widened = S.add_columns(
         A.cash_deposits(spark, folder), {"unload_status": "string", "unload_time": "timestamp_ntz"}
@@ -207,5 +269,6 @@ QUERIES = {
     "unload_status": unload_status,
     "load_calendar": load_calendar,
     "ledger_mark": ledger_mark,
+    "unload_cycle": unload_cycle,
     "add_columns": add_columns,
 }

@@ -11,7 +11,7 @@ from ..operators.governance import match_ratios
 from ..plans import adapters as A
 from ..plans.customers import customer_overview
 from ..sources.files import table
-from .common import plain
+from .common import plain, stored
 
 # The roles of the policies, and one that no policy names.
 ROLES = (
@@ -38,7 +38,8 @@ CUSTOMER_TAGS = {
 
 
 def _per_role(df: DataFrame, view: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """What each role sees, one below the other."""
+    """What each role sees, one below the other, of one stored table."""
+    df = stored(df.sparkSession, df, "people")
     seen = [view(df, role).withColumn("role", F.lit(role)) for role in ROLES]
     return reduce(DataFrame.unionByName, seen)
 

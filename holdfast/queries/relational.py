@@ -13,7 +13,7 @@ from ..plans import holdings as H
 from ..plans import trades as P
 from ..plans.customers import customer_overview as overview
 from ..sources.files import table
-from .common import plain
+from .common import plain, stored
 
 
 def limit_preview(spark: SparkSession, folder: str) -> DataFrame:
@@ -137,7 +137,8 @@ def anti_missing_cash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return plain(O.newest(A.brand_trades(spark, folder), "transaction_date"))
+    """Trades of the newest day; the joined trades are stored, as they are read for the day and for its rows."""
+    return plain(O.newest(stored(spark, A.brand_trades(spark, folder), "trades"), "transaction_date"))
 
 
 def rows_per_day(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,7 +238,7 @@ def scalars_date(spark: SparkSession, folder: str) -> DataFrame:
         orders.select(
             "o_orderkey",
             F.date_add(day, 1).alias("next_day"),
-            F.expr("timestampadd(HOUR, -1, o_orderdate)").alias("hour_before"),
+            F.date_format(F.expr("timestampadd(HOUR, -1, o_orderdate)"), "yyyy-MM-dd HH:mm:ss").alias("hour_before"),
             F.coalesce(
                 fits(F.regexp_extract("o_orderpriority", r"^\d", 0), "bigint"), F.lit(-1)
             ).alias("priority"),

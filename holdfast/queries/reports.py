@@ -1,11 +1,13 @@
 """The composite business queries."""
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as O
+from ..functions import stamped
 from ..plans import adapters as A
 from ..plans import cash as C
 from ..plans import customers as K
@@ -115,6 +117,30 @@ def current_holdings(spark: SparkSession, folder: str) -> DataFrame:
     return plain(H.current_holdings(history, cash))
 
 
+def processed_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of trades, cash, history and current holdings, by the time they say they were made."""
+    root = workspace(spark)
+    positions, cash = _snapshot_inputs(spark, folder, root)
+    dates = A.year_ends(_feed_days(spark, folder))
+    snapshot = H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
+    history = H.write_snapshot(stamped(snapshot, "processed_timestamp", A.AS_OF), f"{root}/history")
+    made = {
+        "trades": stamped(A.brand_trades(spark, folder), "processed_timestamp", A.AS_OF),
+        "cash": stamped(A.detail(spark, folder), "processed_timestamp", A.AS_OF),
+        "history": history,
+        "current": stamped(H.current_holdings(history, cash), "last_refreshed", A.AS_OF),
+    }
+    counts = [
+        frame.groupBy(
+            F.date_format("last_refreshed" if name == "current" else "processed_timestamp", "yyyy-MM-dd HH:mm:ss").alias("processed_at")
+        )
+        .agg(F.count("*").alias("rows"))
+        .select(F.lit(name).alias("table_name"), "processed_at", "rows")
+        for name, frame in made.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def customer_overview(spark: SparkSession, folder: str) -> DataFrame:
     return plain(
         K.customer_overview(
@@ -152,6 +178,7 @@ QUERIES = {
     "daily_cash": daily_cash,
     "merge_positions": merge_positions,
     "snapshot_totals": snapshot_totals,
+    "processed_times": processed_times,
     "portfolio_snapshot": portfolio_snapshot,
     "current_holdings": current_holdings,
     "customer_overview": customer_overview,

@@ -95,13 +95,19 @@ def stream_fanout(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    """Deposits with the kind of change and a row id; the ids depend on file names."""
+    """Deposits with the kind of change, and whether their row ids are digests and told apart.
+
+    The ids themselves depend on file names.
+    """
     root = workspace(spark)
     A.cash_deposits(spark, folder).write.parquet(f"{root}/deposits")
     columns = CASH_DEPOSITS.fieldNames()
     feed = with_change_metadata(change_feed(spark, f"{root}/deposits", CASH_DEPOSITS), columns)
     auto_ingest(feed, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
-    return plain(spark.read.parquet(f"{root}/changes"))
+    changes = spark.read.parquet(f"{root}/changes")
+    ids = changes.groupBy("metadata_row_id").agg((F.count("*") == 1).alias("id_is_unique"))
+    digest = F.col("metadata_row_id").rlike("^[0-9a-f]{32}$").alias("id_is_digest")
+    return plain(changes.join(ids, "metadata_row_id").select(*columns, "metadata_action", "id_is_unique", digest))
 
 
 def daily_cash_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,7 +73,7 @@ def scan_json_payload_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, path: str, prefixes: Mapping[str, str]) -> DataFrame:
-    """Files and bytes per group, where a group is a LIKE pattern on the path.
+    """Files, folders and bytes per group, where a group is a LIKE pattern on the path.
 
     The file listing is a Spark scan that never opens the files.
     """
@@ -88,7 +88,11 @@ def file_inventory(spark: SparkSession, path: str, prefixes: Mapping[str, str])
         group = F.when(F.col("path").like(pattern), name).otherwise(group)
     return (
         files.groupBy(group.alias("schema_type"))
-        .agg(F.sum("length").alias("total_bytes"), F.count("path").alias("num_of_files"))
+        .agg(
+            F.sum("length").alias("total_bytes"),
+            F.count("path").alias("num_of_files"),
+            F.countDistinct(F.regexp_replace("path", "/[^/]*$", "")).alias("num_of_folders"),
+        )
     )
 
 
