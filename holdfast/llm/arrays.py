@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from ..session import workspace
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

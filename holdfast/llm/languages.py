@@ -134,15 +134,20 @@ def mixtures(data: np.ndarray, offsets: np.ndarray, model: Languages, rounds: in
     used, first, number = np.unique(text, return_index=True, return_inverse=True)
     words = np.diff(np.r_[first, len(text)])
     everything = np.ones((len(used), len(model.names)))
-    shares, _ = _em(likelihood, number, first, everything, rounds)
+    shares, together = _em(likelihood, number, first, everything, rounds)
     order = np.argsort(np.argsort(-shares, axis=1, kind="stable"), axis=1, kind="stable")
-    best_value = np.full(len(used), -np.inf)
-    best = np.zeros_like(shares)
-    for size in range(1, min(most, len(model.names)) + 1):
-        own, value = _em(likelihood, number, first, (order < size).astype(float), rounds if size > 1 else 1)
-        value = value - penalty * size * np.log(words + 1)
-        better = value > best_value
-        best[better], best_value[better] = own[better], value[better]
+    price = penalty * np.log(words + 1)
+    best, alone = _em(likelihood, number, first, (order < 1).astype(float), 1)
+    # Several languages can pay only where all of them together gain more than the price of one.
+    mixed = np.flatnonzero(together - alone > price)
+    if len(mixed):
+        rows = np.isin(number, mixed)
+        likelihood, first = likelihood[rows], np.r_[0, np.cumsum(words[mixed])[:-1]]
+        number, price, value = np.repeat(np.arange(len(mixed)), words[mixed]), price[mixed], alone[mixed] - price[mixed]
+        for size in range(2, min(most, len(model.names)) + 1):
+            own, gain = _em(likelihood, number, first, (order[mixed] < size).astype(float), rounds)
+            better = gain - size * price > value
+            best[mixed[better]], value[better] = own[better], (gain - size * price)[better]
     out[used] = best
     return out
 
