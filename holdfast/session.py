@@ -24,14 +24,19 @@ def workspace(spark: SparkSession) -> str:
 
     On a cluster it lies under `spark.checkpoint.dir`, which all executors see.
     Only a local master, where driver and executors share one disk, may fall
-    back to the system's temporary folder.
+    back to the system's temporary folder.  It goes when the driver's JVM ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/holdfast-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        path = f"{shared.rstrip('/')}/holdfast-{uuid.uuid4().hex}"
+    elif spark.conf.get("spark.master", "").startswith("local"):
+        path = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    system, place = _file_system(spark, path)
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return path
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -60,9 +65,3 @@ def copy_folder(spark: SparkSession, source: str, target: str) -> None:
         other, goal = _file_system(spark, target)
         files = spark._jvm.org.apache.hadoop.fs.FileUtil
         files.copy(system, place, other, goal, False, spark._jsc.hadoopConfiguration())
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this library wrote."""
-    system, place = _file_system(spark, path)
-    system.delete(place, True)
