@@ -18,6 +18,7 @@ chunk: words between them are segmented once and kept.  A matrix is then an oute
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ from .arrays import per_process, stored
 from .packing import WordIds
 
 SPACE = "▁"
+ALNUM = string.ascii_letters + string.digits
 CHUNK = 1 << 15
 UNKNOWN_PENALTY = 10.0
 NONE = float("-inf")
@@ -60,8 +62,14 @@ class Pieces(WordIds):
         # No piece crosses the place before a space mark, or a character that no piece has.
         self.space_begins = not any(SPACE in piece.lstrip(SPACE) for piece in self.scores)
         alone = "".join(re.escape(c) for c in "\n\r\t" if not any(c in piece for piece in self.scores))
-        alone_or = f"[{alone}]|" if alone else ""
-        self.words = re.compile(f"{alone_or}{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" if self.space_begins else f"{alone_or}" + (f"[^{alone}]+" if alone else r"[\s\S]+"))
+        # Nor the place between a letter or digit and a mark that no piece has after one.
+        inner = {piece[n : n + 2] for piece in self.scores for n in range(len(piece) - 1)}
+        marks = "".join(re.escape(c) for c in string.punctuation if not any(a + c in inner for a in ALNUM))
+        none = f"{SPACE}{alone}" if self.space_begins else alone
+        other, begin = f"[^{none}]" if none else r"[\s\S]", f"{SPACE}+|" if self.space_begins else ""
+        plain = f"[^{none}{marks}]*+" if none or marks else f"{other}*+"
+        more = plain + (f"(?:(?<![A-Za-z0-9])[{marks}]{plain})*+" if marks else "")
+        self.words = re.compile((f"[{alone}]|" if alone else "") + f"(?:{begin}{other}){more}")
         self.alone = set(c for c in "\n\r\t" if alone and re.fullmatch(f"[{alone}]", c))
         self.restart()
 
@@ -105,23 +113,38 @@ class Pieces(WordIds):
         return best, back
 
     def segmented(self, word: str) -> tuple[list[int], float]:
-        number = self.numbers.get(word)
-        best, back = self.forward(word, len(word), [0.0])
-        if number is not None and back[len(word)] == 0:
-            return [number], best[len(word)]
-        parts, end = [], len(word)
+        """Ids and score of a word.  The same steps as `forward` from one state, as most words come here."""
+        look, unknown, total = self.beginnings.get, self.unknown, len(word)
+        best, back = [0.0] + [NONE] * total, [0] * (total + 1)
+        for start in range(total):
+            here, end = best[start], start + 1
+            score = look(word[start:end], False)
+            if (score is None or score is False) and here + unknown > best[end]:
+                best[end], back[end] = here + unknown, start
+            while score is not False:
+                if score is not None and here + score > best[end]:
+                    best[end], back[end] = here + score, start
+                if end == total:
+                    break
+                end += 1
+                score = look(word[start:end], False)
+        parts, end = [], total
         while end:
             parts.append(word[back[end] : end])
             end = back[end]
-        ids: list[int] = []
-        for part in reversed(parts):
+        parts.reverse()
+        ids: list[int | None] = list(map(self.numbers.get, parts))
+        if None not in ids:
+            return ids, best[total]
+        ids = []
+        for part in parts:
             if part in self.numbers:
                 ids.append(self.numbers[part])
             elif self.bytes:
                 ids += [self.bytes[b] for b in part.encode("utf-8", "replace")]
             elif not ids or ids[-1] != self.model.unk_id():
                 ids.append(self.model.unk_id())
-        return ids, best[len(word)]
+        return ids, best[total]
 
     def code(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [self.segmented(word) for word in words]
@@ -145,6 +168,7 @@ class Pieces(WordIds):
 
     def is_cut(self, text: str, place: int) -> bool:
         """Whether no piece can cross this place inside the text."""
+        # The marks that `words` splits off as well are left out: fewer cuts are still right.
         before, after = text[place - 1], text[place]
         return before in self.alone or after in self.alone or (self.space_begins and after == SPACE and before != SPACE)
 
@@ -208,14 +232,25 @@ def _pieces(path: str) -> Pieces:
     return per_process((Pieces, path), lambda: Pieces(path))
 
 
+def _decoded(pieces: Pieces, lists: pa.ListArray) -> list[str | None]:
+    """Texts of lists of ids, one list at a time: Python numbers are much larger than arrays of them."""
+    values, ends, known = lists.values.to_numpy(), lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
+    return [
+        pieces.model.decode(values[a:b].tolist()) if b > a and ok else "" if ok else None
+        for a, b, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), known.tolist())
+    ]
+
+
 def _id_list(parts: list[np.ndarray]) -> pa.Array:
     sizes = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)))
 
 
 
-def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, ids): the segmentation of greatest total score of every text, by the model file `model`.
+def encode(
+    docs: DataFrame, model: str, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK, with_text: bool = False
+) -> DataFrame:
+    """(doc_id, ids), and `with_text` also the text that the ids decode to: the segmentation of greatest total score of every text, by the model file `model`.
 
     Texts are normalised as the file says.  Characters of no piece count as 10 below the worst piece
     and become byte pieces, or the unknown id where the file has none.  Of segmentations of equal score
@@ -238,10 +273,12 @@ def encode(docs: DataFrame, model: str, id_column: str = "doc_id", text_column:
                 ids, counts, _ = pieces.encode([w for own in words for w in own])
                 ends = np.r_[0, np.cumsum(counts)][np.cumsum([0, *map(len, words)])]
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=pa.array([t is None for t in texts]))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
+                back = [pa.array(_decoded(pieces, lists), pa.string())] if with_text else []
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, *back], names=["doc_id", "ids", "text"][: 2 + with_text])
 
-    done = rows.where(~giant).mapInArrow(small, "doc_id bigint, ids array<int>")
-    return done.unionByName(_encode_giant(rows.where(giant), model, chunk))
+    done = rows.where(~giant).mapInArrow(small, "doc_id bigint, ids array<int>" + ", text string" * with_text)
+    whole = _encode_giant(rows.where(giant), model, chunk)
+    return done.unionByName(decode(whole, model) if with_text else whole)
 
 
 def _encode_giant(docs: DataFrame, model: str, chunk: int) -> DataFrame:
@@ -325,9 +362,8 @@ def decode(encoded: DataFrame, model: str, ids_column: str = "ids", text_column:
     def run(batches):
         for batch in batches:
             pieces = _pieces(model)
-            # One row at a time: lists of numbers are much larger than arrays of them.
-            texts = [pieces.model.decode(ids.as_py()) if ids.is_valid and len(ids) else "" if ids.is_valid else None for ids in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*keep, text_column])
+            texts = pa.array(_decoded(pieces, batch.column(at)), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*keep, text_column])
 
     schema = "".join(f"`{c}` {encoded.schema[c].dataType.simpleString()}, " for c in keep)
     return encoded.select(*(F.col(f"`{c}`") for c in keep)).mapInArrow(run, f"{schema}`{text_column}` string")

@@ -24,7 +24,7 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every text as pieces and back: number and hash of the ids, digest of the text that they decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    found = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    found = pieces.encode(table(spark, folder, "documents"), model, with_text=True)
     return found.select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
