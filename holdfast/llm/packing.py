@@ -28,7 +28,8 @@ END_ID = 1
 SENTENCE_PENALTY = 8
 INNER_PENALTY = 64
 BLOCK_TOKENS = 1 << 20
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 3 << 18
+SLICE = 1 << 20
 ENDS = (b".", b"!", b"?", "。".encode(), "！".encode(), "？".encode())
 
 
@@ -59,7 +60,7 @@ class WordIds(dict):
     """Ids of words between ASCII blanks, each word tokenised once.
 
     For tokenizers to which blanks are nothing but breaks, the ids of a text are those of its
-    words in a row.  Beyond `most` words, those that came once are forgotten.
+    words in a row.  Beyond `most` words, those that came in one slice are forgotten.
     """
 
     def __init__(self, path: str, most: int = KEPT_WORDS) -> None:
@@ -74,10 +75,10 @@ class WordIds(dict):
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begins = np.zeros(1 << 12, np.int64)
         self.ends_sentence = np.zeros(1 << 12, bool)
-        self.uses = np.zeros(1 << 12, np.int64)
+        self.uses = np.zeros(1 << 12, np.int32)
 
     def shrink(self) -> None:
-        """Forget words that came once since the last time, or all if the others are too many."""
+        """Forget words that came in one slice only since the last time, or all if the others are too many."""
         keep = np.flatnonzero(self.uses[: len(self)] > 1)
         if len(keep) > self.most // 2:
             self.restart()
@@ -111,7 +112,7 @@ class WordIds(dict):
         if last >= len(self.begins):
             self.begins = np.concatenate((self.begins, np.zeros(max(last, len(self.begins)), np.int64)))
             self.ends_sentence = np.concatenate((self.ends_sentence, np.zeros(max(last, len(self.ends_sentence)), bool)))
-            self.uses = np.concatenate((self.uses, np.zeros(max(last, len(self.uses)), np.int64)))
+            self.uses = np.concatenate((self.uses, np.zeros(max(last, len(self.uses)), np.int32)))
         at = self.begins[first]
         if at + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint32)))
@@ -127,7 +128,7 @@ class WordIds(dict):
         places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self.new:
             self._learn()
-        self.uses[: len(self)] += np.bincount(places, minlength=len(self))
+        self.uses[places] += 1
         begins, counts = self.begins[places], self.begins[places + 1] - self.begins[places]
         return self.ids[ragged(begins, counts)], counts, self.ends_sentence[places]
 
@@ -282,7 +283,7 @@ def pack(
             coder: WordIds = per_process((WordIds, tokenizer), lambda: WordIds(tokenizer))
             data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_pylist()
-            for low, high in slices(offsets):
+            for low, high in slices(offsets, SLICE):
                 own, at = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 if lower_case:
                     own, at = fewer_forms(own, at)
