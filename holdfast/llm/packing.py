@@ -153,12 +153,15 @@ def choose_cuts(places: np.ndarray, penalties: np.ndarray, length: int) -> list[
     `length` apart.  Ties go to the earlier predecessor in the queue.
     """
     shortcuts: dict[int, list[int]] = {}
+    number = np.full(int(places[-1]) + 1, -1, np.int32)
+    number[places] = np.arange(len(places), dtype=np.int32)
     power = 1
     while power < length:
-        wanted = places - power
-        at = np.minimum(np.searchsorted(places, wanted), len(places) - 1)
-        for j in np.flatnonzero(places[at] == wanted).tolist():
-            shortcuts.setdefault(j, []).append(int(at[j]))
+        begin = int(np.searchsorted(places, power))
+        sources = number[places[begin:] - power]
+        hits = np.flatnonzero(sources >= 0)
+        for j, i in zip((hits + begin).tolist(), sources[hits].tolist()):
+            shortcuts.setdefault(j, []).append(i)
         power *= 2
     spots, costs = places.tolist(), penalties.tolist()
     best, sums, back = [0], [spots[0]], [0]
