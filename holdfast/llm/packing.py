@@ -28,7 +28,8 @@ END_ID = 1
 SENTENCE_PENALTY = 8
 INNER_PENALTY = 64
 BLOCK_TOKENS = 1 << 20
-KEPT_WORDS = 3 << 18
+KEPT_WORDS = 5 << 17
+CODED_WORDS = 4096
 SLICE = 1 << 20
 ENDS = (b".", b"!", b"?", "。".encode(), "！".encode(), "？".encode())
 
@@ -99,9 +100,14 @@ class WordIds(dict):
         return place
 
     def code(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in a row, and how many each has."""
-        coded = self.tokenizer.encode([w.decode("utf-8", "replace") for w in words], is_pretokenized=True, add_special_tokens=False)
-        return np.array(coded.ids, np.uint32), np.bincount(np.array(coded.word_ids, np.int64), minlength=len(words))
+        """Ids of all words in a row, and how many each has.  Few words at a time, as an encoding is large."""
+        ids, counts = [], []
+        for low in range(0, len(words), CODED_WORDS):
+            part = [w.decode("utf-8", "replace") for w in words[low : low + CODED_WORDS]]
+            coded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(coded.ids, np.uint32))
+            counts.append(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(part)))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def marks(self, words: list[bytes]) -> list[bool]:
         return [w.endswith(ENDS) for w in words]
