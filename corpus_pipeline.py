@@ -43,8 +43,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of sequences of 2048 ids; with fewer words kept, as executors still hold memory of the stages before."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), kept_words=1 << 18, slice_bytes=1 << 18)
 
 
 STAGES = [

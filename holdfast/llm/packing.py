@@ -28,7 +28,7 @@ END_ID = 1
 SENTENCE_PENALTY = 8
 INNER_PENALTY = 64
 BLOCK_TOKENS = 1 << 20
-KEPT_WORDS = 5 << 17
+KEPT_WORDS = 3 << 18
 CODED_WORDS = 4096
 SLICE = 1 << 20
 ENDS = (b".", b"!", b"?", "。".encode(), "！".encode(), "？".encode())
@@ -255,6 +255,8 @@ def pack(
     digest: bool = False,
     lower_case: bool = True,
     block_tokens: int = BLOCK_TOKENS,
+    kept_words: int = KEPT_WORDS,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """Pieces of packed sequences: doc_id, start, length, doc_tokens, sequence_id, offset, and ids.
 
@@ -263,7 +265,8 @@ def pack(
     ids of its document come before it, and it begins at `offset` of its sequence.  Sequences hold
     at most `length` ids and keep the stored order of `docs`; read them from a table, so that a task
     that runs again sees the same rows.  `lower_case`: the tokenizer lower-cases and splits letters and
-    digits from marks, so forms of a word are tokenised once.  `digest` gives the CRC-32 of the ids as little-endian
+    digits from marks, so forms of a word are tokenised once.  `kept_words` and `slice_bytes` trade a
+    worker's memory for time and change no result.  `digest` gives the CRC-32 of the ids as little-endian
     32-bit numbers (ids_crc32) in place of the ids.
 
     * Null or empty text: `end_id` alone.  Null doc_id: packed like others.  Repeated rows are
@@ -289,10 +292,10 @@ def pack(
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns.values()), ids], names=[*columns, last])
 
         for batch in batches:
-            coder: WordIds = per_process((WordIds, tokenizer), lambda: WordIds(tokenizer))
+            coder: WordIds = per_process((WordIds, tokenizer, kept_words), lambda: WordIds(tokenizer, kept_words))
             data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_pylist()
-            for low, high in slices(offsets, SLICE):
+            for low, high in slices(offsets, slice_bytes):
                 own, at = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
                 if lower_case:
                     own, at = fewer_forms(own, at)
