@@ -68,13 +68,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about `most` bytes together, one text at least."""
+    """Ranges of texts of about `most` bytes together, one text at least.
+
+    At the end Arrow gives unused memory back, as a worker lives on beside those of later stages.
+    """
     first, n = 0, len(offsets) - 1
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1
         last = min(max(last, first + 1), n)
         yield first, last
         first = last
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,6 +126,11 @@ def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _forget(kept: dict, key: object) -> None:
+    kept.pop(key, None)
+    pa.default_memory_pool().release_unused()
+
+
 def per_process(key: object, make: Callable[[], object], idle: float = 15.0) -> object:
     """`make()`, kept for later tasks of the same Python worker until it was not asked for some seconds."""
     kept = sys.modules.setdefault("holdfast_kept", types.ModuleType("holdfast_kept")).__dict__
@@ -130,7 +139,7 @@ def per_process(key: object, make: Callable[[], object], idle: float = 15.0) ->
         timer.cancel()
     if value is None:
         value = make()
-    timer = threading.Timer(idle, kept.pop, (key, None))
+    timer = threading.Timer(idle, _forget, (kept, key))
     timer.daemon = True
     kept[key] = value, timer
     timer.start()
