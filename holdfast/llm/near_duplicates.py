@@ -512,11 +512,16 @@ def classes(
         root,
     )
 
-    def in_groups(members: DataFrame, name: str, least: int) -> DataFrame:
-        """Members dealt to block pairs, of groups with so many members that are not all of the main component."""
-        size = members.groupBy("hub").agg(F.count("*").alias("members"), F.count(F.when(F.col("main"), 1)).alias("of_main"))
+    def in_groups(members: DataFrame, name: str) -> DataFrame:
+        """Members dealt to block pairs, of groups that are not all of the main component.
+
+        The stars have compared the hub with every member, so two others are asked for, whether the hub is among `members` or not.
+        """
+        size = members.groupBy("hub").agg(
+            F.count("*").alias("members"), F.count(F.when(F.col("main"), 1)).alias("of_main"), F.count(F.when(F.col("key") != F.col("hub"), 1)).alias("others")
+        )
         size = stored(
-            size.where(f"members >= {least} AND members > of_main").select(
+            size.where("others >= 2 AND members > of_main").select(
                 "hub", F.ceil(F.col("of_main") / block).cast("int").alias("mains"), F.ceil((F.col("members") - F.col("of_main")) / block).cast("int").alias("rests")
             ),
             name,
@@ -528,10 +533,9 @@ def classes(
         return _block_pairs(dealt, "mains", "rests").selectExpr(*keys, *others, *(["root.fp AS root_fp", "root.n AS root_n"] if "root" in members.columns else []))
 
     def flags(members: DataFrame, name: str) -> DataFrame:
-        found = in_groups(members, f"{name}-groups", 3).groupBy("hub_fp", "hub_n", "i", "j").applyInArrow(_flag(percent), "hub_fp bigint, hub_n int, fp bigint, n int")
+        found = in_groups(members, f"{name}-groups").groupBy("hub_fp", "hub_n", "i", "j").applyInArrow(_flag(percent), "hub_fp bigint, hub_n int, fp bigint, n int")
         return found.select(_key("hub_fp", "hub_n").alias("hub"), _key("fp", "n").alias("key"))
 
-    # A group of two is its hub and one more, which the stars have compared.
     flagged = stored(flags(joined.withColumn("main", F.lit(False)), "all").select("key").distinct(), "flagged", root)
     needed = flagged.union(stars.select("key")).union(stars.select("hub")).distinct()
     shingles = _needed_sets(docs, stored(needed, "needed", root), words, bitmap, root)
@@ -560,7 +564,7 @@ def classes(
     live = flags(members.select("hub", "key", "root", "main").join(sets.select("key", "tokens", "extra", "prefix"), "key"), "open").distinct()
     live = stored(members.select("hub", "key", "root", "main").join(live, ["hub", "key"], "left_semi"), "live", root)
     second = (
-        in_groups(live.join(shingles, "key"), "live-groups", 2)
+        in_groups(live.join(shingles, "key"), "live-groups")
         .groupBy("hub_fp", "hub_n", "i", "j")
         .applyInArrow(_join_blocks(percent), "fp_a bigint, n_a int, fp_b bigint, n_b int")
         .select(_key("fp_a", "n_a").alias("a"), _key("fp_b", "n_b").alias("b"))

@@ -77,6 +77,16 @@ def test_equals_brute_force(frame, prose):
     assert len({row[2] for row in got}) > 20
 
 
+def test_two_copies_whose_hub_is_like_neither(frame, prose):
+    base, common = prose(100).split(), prose(60)
+    first, second = (base[:place] + ["changed"] + base[place + 1 :] for place in (30, 70))
+    # The long document comes first and holds all that the copies share; its other words are common, so its prefix is of theirs.
+    rows = [(1, f"{' '.join(base)} {common}"), (2, " ".join(first)), (3, " ".join(second))] + [(key, f"{prose(80)} {common} {prose(80)}") for key in range(10, 20)]
+    got = collected(near_duplicates(frame(rows)))
+    assert got == sorted(brute_force(rows), key=order)
+    assert [row[2] for row in got[:3]] == [1, 2, 2]
+
+
 def test_empty_and_extra_columns(spark, frame):
     assert near_duplicates(frame([]), sketch=1 << 14).collect() == []
     rows = [(1, "one two three four five six", 1, "x"), (2, "One two THREE four five six", 2, None)]
