@@ -2,16 +2,19 @@
 
 1. Cues (words that every template has one of) mark candidate places; a text without a cue never
    leaves the JVM.  A block is a window around cues, wide enough for the longest template.
-2. Each block is compressed with Zstandard alone and with every template as raw dictionary.  What a
-   template saves, as a share of its own compressed size, says how much of it the block repeats;
-   templates are ranked by it.
-3. The best are confirmed by exact wording: the template's longest common run of words with the block
+2. A template is tried where the block has enough of its words, in any order, to be a notice; the
+   block may hold every template.
+3. Each block is compressed with Zstandard alone and with these templates as raw dictionary.  What a
+   template saves, as a share of its own compressed size, is its gain.  It says how much of it the block
+   repeats that nothing else in the block does: beside alike notices it may be 0 or less, so it drops none.
+4. All are confirmed by exact wording: the template's longest common run of words with the block
    anchors it, and the words missing, added or changed around the anchor are counted.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -77,8 +80,6 @@ TEMPLATES = (
 CUES = ("licen", "copyright", "rights reserved", "public domain", "permission")
 
 LEVEL = 9
-MOST_RANKED = 8
-LEAST_GAIN = 0.1
 COVERAGE = 0.85
 WINDOW = 4096
 WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
@@ -89,6 +90,7 @@ class Template:
     name: str
     number: int
     words: list[str]
+    counts: Counter[str]
     compressor: zstandard.ZstdCompressor
     own_size: int
 
@@ -102,7 +104,7 @@ def prepare(templates: tuple[tuple[str, str], ...]) -> list[Template]:
         raw = zstandard.ZstdCompressionDict(body, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         with_dictionary = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_checksum=False, write_dict_id=False)
         saved = len(plain.compress(body)) - len(with_dictionary.compress(body))
-        out.append(Template(name, number, words, with_dictionary, max(1, saved)))
+        out.append(Template(name, number, words, Counter(words), with_dictionary, max(1, saved)))
     return out
 
 
@@ -156,13 +158,14 @@ def scan_text(text: str, templates: list[Template], cues: re.Pattern, plain: zst
     for low, high in blocks(text, cues, reach):
         spans = [(m.start() + low, m.end() + low) for m in WORD.finditer(text[low:high])]
         words = [text[a:b].lower() for a, b in spans]
+        counts = Counter(words)
+        held = [t for t in templates if (t.counts & counts).total() >= COVERAGE * len(t.words)]
+        if not held:
+            continue
         body = " ".join(words).encode("utf-8", "replace")
         alone = len(plain.compress(body))
-        gains = sorted(((alone - len(t.compressor.compress(body))) / t.own_size, -t.number) for t in templates)[::-1]
-        best = [(gain, templates[-number]) for gain, number in gains if gain >= LEAST_GAIN]
-        # Beyond the best few, templates that save as much as these may be parts of the same wording.
-        edge = best[MOST_RANKED - 1][0] if len(best) >= MOST_RANKED else LEAST_GAIN
-        for gain, template in (x for x in best if x[0] >= edge):
+        for template in held:
+            gain = (alone - len(template.compressor.compress(body))) / template.own_size
             for first, last, matched, missing, added in differences(template.words, words):
                 row = {"license": template.name, "template": template.number, "begin": spans[first][0], "end": spans[last - 1][1]}
                 row |= {"matched_words": matched, "missing_words": missing, "added_words": added, "gain": round(gain, 6)}

@@ -31,6 +31,14 @@ def test_notices_are_found_in_any_layout(frame, prose):
     assert len([g for g in got if g[0] == 11]) == 400
 
 
+def test_all_templates_side_by_side(frame):
+    texts = [text for _, text in TEMPLATES]
+    rows = [(1, "\n\n".join(texts)), (2, "\n\n".join(texts[::-1])), (3, "\n".join(text for text in texts if len(text) < 130))]
+    got = sorted((r["doc_id"], r["template"], r["missing_words"], r["added_words"]) for r in find_licenses(frame(rows)).collect())
+    short = [number for number, text in enumerate(texts) if len(text) < 130]
+    assert got == [(key, number, 0, 0) for key in (1, 2) for number in range(len(texts))] + [(3, number, 0, 0) for number in short]
+
+
 def test_places_are_exact(frame):
     text = "é words before. Released under the MIT License. After"
     row = find_licenses(frame([(1, text)])).first()
