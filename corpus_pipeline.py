@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_no_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language that holds a good share of their words; learned from all of `docs`."""
+    """Documents with a language, or several; learned from all of `docs`."""
     aside, back = _aside(docs, ("lang_pred", "score", "languages"))
     found = languages.predict(aside, languages.learn(docs)).where(~languages.rejected())
     return found.select(*aside.columns).withColumnsRenamed(back)

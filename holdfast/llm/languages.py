@@ -26,7 +26,6 @@ ROUNDS = 12
 MOST_LANGUAGES = 4
 PENALTY = 3.0
 UNKNOWN = "und"
-LEAST_SHARE = 0.4
 
 MAYBE_LETTER = re.compile(r"[^\W\d_]")
 FOLD = np.arange(256, dtype=np.uint64)
@@ -206,6 +205,6 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def rejected(least_share: float = LEAST_SHARE) -> Column:
-    """No language at all, or none with so large a share of the words."""
-    return (F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_share)
+def rejected() -> Column:
+    """No language at all; a mixture is kept however its words are shared out."""
+    return F.col("lang_pred") == UNKNOWN

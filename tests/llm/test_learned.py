@@ -102,6 +102,22 @@ def test_languages_of_odd_rows(frame, four):
     assert languages.predict(frame([]), four).collect() == []
 
 
+def synthetic(dice, lang, count=300):
+    """Words of letters that no other language has."""
+    letters = "abcdefghijklmnopqrstuvwx"[4 * lang : 4 * lang + 4]
+    return " ".join("".join(dice.choice(list(letters), 6)) for _ in range(count))
+
+
+def test_even_mixtures_stay_in_the_pipeline(spark, frame):
+    import corpus_pipeline
+
+    dice = np.random.default_rng(5)
+    rows = [(lang, synthetic(dice, lang), f"l{lang}") for lang in range(3)]
+    rows += [(10, " ".join(synthetic(dice, lang) for lang in range(3)), None), (11, "123 !! 456", None), (12, None, None)]
+    kept = corpus_pipeline.drop_no_language(spark, frame(rows, "doc_id bigint, text string, lang string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 10]
+
+
 def test_no_language_learned(frame):
     none = languages.learn(frame([("x", None), (None, "y")], "lang string, text string"))
     assert none.names == []
