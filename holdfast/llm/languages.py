@@ -23,7 +23,6 @@ BUCKETS = 1 << 16
 GRAM = 4
 SMOOTHING = 0.5
 ROUNDS = 12
-MOST_LANGUAGES = 4
 PENALTY = 3.0
 UNKNOWN = "und"
 
@@ -120,7 +119,7 @@ def _em(likelihood: np.ndarray, text: np.ndarray, first: np.ndarray, allowed: np
     return shares, np.add.reduceat(total, first)
 
 
-def mixtures(data: np.ndarray, offsets: np.ndarray, model: Languages, rounds: int, most: int, penalty: float) -> np.ndarray:
+def mixtures(data: np.ndarray, offsets: np.ndarray, model: Languages, rounds: int, penalty: float) -> np.ndarray:
     """Language proportions of every text of a slice, 0 outside its chosen set; all 0 without a word."""
     out = np.zeros((len(offsets) - 1, len(model.names)))
     starts, ends, text = _in_words(data, offsets)
@@ -143,7 +142,10 @@ def mixtures(data: np.ndarray, offsets: np.ndarray, model: Languages, rounds: in
         rows = np.isin(number, mixed)
         likelihood, first = likelihood[rows], np.r_[0, np.cumsum(words[mixed])[:-1]]
         number, price, value = np.repeat(np.arange(len(mixed)), words[mixed]), price[mixed], alone[mixed] - price[mixed]
-        for size in range(2, min(most, len(model.names)) + 1):
+        for size in range(2, len(model.names) + 1):
+            # No gain is above 0, as the greatest likelihood of a word is 1.
+            if (-size * price <= value).all():
+                break
             own, gain = _em(likelihood, number, first, (order[mixed] < size).astype(float), rounds)
             better = gain - size * price > value
             best[mixed[better]], value[better] = own[better], (gain - size * price)[better]
@@ -157,7 +159,6 @@ def predict(
     text_column: str = "text",
     keep: list[str] | None = None,
     rounds: int = ROUNDS,
-    most: int = MOST_LANGUAGES,
     penalty: float = PENALTY,
 ) -> DataFrame:
     """The columns `keep` (default: all), then lang_pred, score, and the chosen languages with their proportions.
@@ -178,7 +179,7 @@ def predict(
             names, scores, sets = [], [], []
             for low, high in slices(offsets, 4 * SLICE_BYTES // max(4, len(model.names))):
                 begin, end = offsets[low], offsets[high]
-                shares = mixtures(data[begin:end], offsets[low : high + 1] - begin, model, rounds, most, penalty) if model.names else None
+                shares = mixtures(data[begin:end], offsets[low : high + 1] - begin, model, rounds, penalty) if model.names else None
                 for k in range(high - low):
                     own = shares[k] if shares is not None and has_letter(texts[low + k]) else None
                     if own is None or not own.any():

@@ -118,6 +118,14 @@ def test_even_mixtures_stay_in_the_pipeline(spark, frame):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 10]
 
 
+def test_mixture_of_six_languages(frame):
+    dice = np.random.default_rng(6)
+    model = languages.learn(frame([(synthetic(dice, lang), f"l{lang}") for lang in range(6)], "text string, lang string"))
+    row = languages.predict(frame([(" ".join(synthetic(dice, lang) for lang in range(6)),)], "text string"), model).first()
+    assert [x["lang"] for x in row["languages"]] == [f"l{lang}" for lang in range(6)]
+    assert all(abs(x["share"] - 1 / 6) < 0.01 for x in row["languages"])
+
+
 def test_no_language_learned(frame):
     none = languages.learn(frame([("x", None), (None, "y")], "lang string, text string"))
     assert none.names == []
