@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import languages, licenses, norm_topk, permutation_index, pieces, toxicity, url_rules
+from . import languages, licenses, norm_topk, permutation_index, pieces, spelling, toxicity, url_rules, whitening
 from .line_dedup import dedup_lines
+from .minmax import near_copies
 from .near_duplicates import near_duplicates
 from .packing import pack
 
@@ -73,6 +74,21 @@ def op10_norm_bucketed_topk(spark: SparkSession, folder: str) -> DataFrame:
     return norm_topk.search(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their more frequent spellings; one run in 97 loses a code point first."""
+    return spelling.variant_groups(spelling.count_words(table(spark, folder, "documents"), damage=97))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """32 whitened components of every vector."""
+    return whitening.by_component(whitening.whiten(table(spark, folder, "embeddings")))
+
+
+def op13_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of near copies of every document, and whether it is the one kept."""
+    return near_copies(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_sentencepiece": op2_sentencepiece,
@@ -84,29 +100,18 @@ QUERIES = {
     "op8_permutation_index": op8_permutation_index,
     "op9_packing": op9_packing,
     "op10_norm_bucketed_topk": op10_norm_bucketed_topk,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 BLANKS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
-ORACLE_SQL = {
-    "op3_line_dedup": f"""
-        WITH lines AS MATERIALIZED (
-            SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
-            FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
-        ), keyed AS MATERIALIZED (
-            SELECT r, doc_id, line, place,
-                   translate(trim(line, {BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
-        ), shared AS (
-            SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
-        ), judged AS (
-            SELECT keyed.*, shared.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM keyed LEFT JOIN shared USING (k)
-        )
-        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
-        FROM judged GROUP BY r, doc_id""",
-    "op5_ngram_jaccard_join": rf"""
+def _linked_sql(percent: int) -> str:
+    """Shingle sets of all documents, compared through every shingle they share."""
+    return rf"""
         WITH RECURSIVE words AS (
             SELECT row_number() OVER () AS r, doc_id,
                    list_filter(string_split_regex(coalesce({LOWER}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
@@ -120,13 +125,32 @@ ORACLE_SQL = {
         ), shared AS (
             SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY ALL
         ), links AS MATERIALIZED (
-            SELECT x, y FROM shared JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+            SELECT x, y FROM shared JOIN sizes p ON p.r = x JOIN sizes q ON q.r = y WHERE 100 * c >= {percent} * (p.n + q.n - c)
         ), reach AS (
             SELECT r AS x, r AS y FROM words UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
         )
         SELECT w.doc_id, coalesce(any_value(sizes.n), 0) AS n_shingles, min(o.doc_id) AS component_id
         FROM reach JOIN words w ON w.r = reach.x JOIN words o ON o.r = reach.y LEFT JOIN sizes ON sizes.r = w.r
-        GROUP BY w.r, w.doc_id""",
+        GROUP BY w.r, w.doc_id"""
+
+
+ORACLE_SQL = {
+    "op3_line_dedup": f"""
+        WITH lines AS MATERIALIZED (
+            SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
+            FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+        ), keyed AS MATERIALIZED (
+            SELECT r, doc_id, line, place,
+                   translate(trim(line, {BLANKS}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+        ), shared AS (
+            SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+        ), judged AS (
+            SELECT keyed.*, shared.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM keyed LEFT JOIN shared USING (k)
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY r, doc_id""",
+    "op5_ngram_jaccard_join": _linked_sql(75),
     "op10_norm_bucketed_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
@@ -183,4 +207,46 @@ ORACLE_SQL = {
         SELECT page_id, host, path, rule, coalesce(ruled.v, m.v, 'allow') AS verdict,
                CASE WHEN rule IS NULL THEN m.name END AS mined, CASE WHEN rule IS NULL THEN m.confidence END AS confidence
         FROM split LEFT JOIN ruled USING (r) LEFT JOIN best USING (r)""",
+    "op11_spelling_variants": r"""
+        WITH RECURSIVE checks(b, k, c) AS (
+            SELECT range, 0, range FROM range(256)
+            UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM checks WHERE k < 8
+        ), bytes_checked AS MATERIALIZED (SELECT b, c FROM checks WHERE k = 8
+        ), found AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+            FROM documents
+        ), runs AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, run, c, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes
+            FROM (SELECT doc_id, run, count(*) AS c FROM found GROUP BY ALL)
+        ), states(r, k, c) AS (
+            SELECT r, 0, CAST(4294967295 AS BIGINT) FROM runs
+            UNION ALL
+            SELECT states.r, k + 1, xor(states.c >> 8, t.c) FROM states JOIN runs ON runs.r = states.r
+            JOIN bytes_checked t ON t.b = xor(states.c & 255, CAST('0x' || substr(bytes, 2 * k + 1, 2) AS BIGINT)) WHERE 2 * k < length(bytes)
+        ), hashed AS (
+            SELECT run, runs.c AS c, xor(states.c, 4294967295) AS h FROM states JOIN runs USING (r) WHERE 2 * k = length(bytes)
+        ), words AS MATERIALIZED (
+            SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (
+                SELECT c, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+            WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+        ), less AS MATERIALIZED (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+        ), near AS (
+            SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT less.word, words.word, words.n FROM less JOIN words ON words.word = less.rest
+            UNION SELECT words.word, less.word, less.n FROM less JOIN words ON words.word = less.rest
+        ), judged AS (
+            SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word
+        ), formed AS MATERIALIZED (
+            SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * words.n THEN most END AS form_n,
+                   CASE WHEN most >= 2 * words.n THEN (SELECT min(other) FROM near WHERE near.word = words.word AND near.n = most) END AS form
+            FROM words LEFT JOIN judged USING (word)
+        ), chain(word, reached) AS (
+            SELECT word, word FROM formed
+            UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.reached WHERE formed.form IS NOT NULL
+        ), ends AS (
+            SELECT chain.word, reached FROM chain JOIN formed ON formed.word = reached WHERE formed.form IS NULL
+        )
+        SELECT word, form, reached AS root, n, n_near, form_n FROM formed JOIN ends USING (word)""",
+    "op13_minhash_near_dedup": f"SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({_linked_sql(85)}) linked",
 }

@@ -21,6 +21,6 @@ def test_against_sql(spark, connection, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in llm.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(llm.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(llm.ORACLE_SQL) <= set(entry.oracle_sql())
