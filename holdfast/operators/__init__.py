@@ -1,12 +1,14 @@
 """Operators that Spark has no single call for, composed from those it has."""
 
-from .asof import asof_prices
+from .asof import asof_instants, asof_prices
 from .dates import each_date, weekly_schedule
 from .governance import (
+    Governed,
     Principal,
     apply_masks,
     as_principal,
     classify_columns,
+    govern,
     mask_date,
     mask_number,
     mask_ssn,
@@ -16,18 +18,21 @@ from .governance import (
 )
 from .latest import latest_per_key, newest
 from .merge import changed_positions, merge_positions, trade_summary
-from .payload import build_payload, flatten_trades
+from .payload import build_payload, flatten_trades, payload_paths
 
 __all__ = [
+    "Governed",
     "Principal",
     "apply_masks",
     "as_principal",
+    "asof_instants",
     "asof_prices",
     "build_payload",
     "changed_positions",
     "classify_columns",
     "each_date",
     "flatten_trades",
+    "govern",
     "latest_per_key",
     "mask_date",
     "mask_number",
@@ -35,6 +40,7 @@ __all__ = [
     "mask_text",
     "merge_positions",
     "newest",
+    "payload_paths",
     "row_access",
     "tag_columns",
     "trade_summary",

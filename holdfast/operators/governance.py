@@ -282,3 +282,37 @@ def tag_columns(tables: Mapping[str, DataFrame], pattern: str = "PII%") -> DataF
         .select("object_name", "column_name", "tag_name", "tag_value")
         .orderBy("object_name", "column_name", "tag_name")
     )
+
+
+# ---------------------------------------------------------------- classification bound to masks
+
+
+@dataclass(frozen=True)
+class Governed:
+    """Tables whose masks follow from what their columns were found to hold.
+
+    `tags` has, per table, the tag of each tagged column.  It is found once, over whole tables, and
+    holds an entry per column, so a query's plan has one plain expression per column and no classification.
+    """
+
+    tables: Mapping[str, DataFrame]
+    tags: Mapping[str, Mapping[str, str]]
+
+    def as_seen_by(
+        self, name: str, principal: Principal, customer_advisor: DataFrame, advisor_users: DataFrame, key: str = "customer_id"
+    ) -> DataFrame:
+        """A table as somebody sees it: their rows, then the masks that the tags have for the columns' types."""
+        rows = row_access(self.tables[name], principal, customer_advisor, advisor_users, key)
+        return apply_masks(rows, self.tags.get(name, {}), principal.role)
+
+
+def govern(tables: Mapping[str, DataFrame], pattern: str = "PII%") -> Governed:
+    """Classify all columns, tag them, and bind the policies of the tags; no table has a list of its columns.
+
+    A column's category has one tag, so a column is bound to one policy.  Rows that come later are
+    masked by the tags found now; govern again when tables change their layout or their content.
+    """
+    tags: dict[str, dict[str, str]] = {name: {} for name in tables}
+    for row in tag_columns(tables, pattern).collect():
+        tags[row["object_name"]][row["column_name"]] = row["tag_name"]
+    return Governed(dict(tables), tags)

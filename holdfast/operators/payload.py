@@ -1,5 +1,7 @@
 """Nesting trades into JSON payloads, and unnesting them again."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,17 @@ def flatten_trades(raw: DataFrame) -> DataFrame:
     )
 
 
+def payload_paths(raw: DataFrame, paths: Mapping[str, tuple[str, str]], payload: str = "transaction_payload") -> DataFrame:
+    """Columns read from single paths of a payload: name -> (path, type), beside the other columns.
+
+    A missing path, or a value of another shape, is NULL.  Stored payloads are shredded: Parquet files hold
+    the fields that most values have as columns of their own, and a query that takes a payload apart only here reads
+    no more of them than it names.
+    """
+    fields = [F.try_variant_get(payload, path, kind).alias(name) for name, (path, kind) in paths.items()]
+    return raw.select(*(name for name in raw.columns if name != payload), *fields)
+
+
 def build_payload(trades: DataFrame) -> DataFrame:
     """One payload per customer, day, account and category, holding all its trades.
 

@@ -76,6 +76,13 @@ def brand_trades(spark: SparkSession, folder: str) -> DataFrame:
     return enrich_trades(_trades(lines, "c_mktsegment", "p_brand"))
 
 
+def newest_trade_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The last day on which an order has lines, as one row."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return orders.join(lines, "o_orderkey", "left_semi").agg(F.max("day").alias("day"))
+
+
 def payload_input(trades: DataFrame) -> DataFrame:
     """Trades in the layout that payloads are built from."""
     return trades.select(

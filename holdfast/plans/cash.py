@@ -26,6 +26,17 @@ def deposit_cash(deposits: DataFrame) -> DataFrame:
     )
 
 
+def trade_movements(trades: DataFrame) -> DataFrame:
+    """The cash effect of each single trade, with the key of daily cash; for sums that need no detail."""
+    return trades.select(
+        "customer_id",
+        F.col("transaction_date").cast("timestamp_ntz").alias("transaction_date"),
+        F.lit(CASH).alias("ticker"),
+        "account_type",
+        F.col("cash_flow_impact").cast(types.CASH).alias("amount"),
+    )
+
+
 def trade_cash(trades: DataFrame) -> DataFrame:
     """Cash effect of trades, one row per customer, day, transaction and account."""
     return (

@@ -23,6 +23,7 @@ def customer_overview(
         "retirement_year",
         F.col("assigned_fund_name").alias("retirement_fund"),
     )
+    # The stages and the years to the target that they begin at.
     years = F.col("years_to_fund_target")
     stage = (
         F.when(F.col("retired"), "Retired")

@@ -1,10 +1,12 @@
 """Portfolio snapshots and current holdings."""
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import types
-from ..functions import divide
+from ..functions import divide, stamped
 from ..operators.asof import asof_prices
 from ..operators.dates import each_date
 from ..operators.latest import latest_per_key, newest
@@ -66,7 +68,7 @@ def dated_positions(positions: DataFrame, dates: DataFrame, curves: DataFrame, f
     )
 
 
-def _columns() -> list[Column]:
+def snapshot_columns() -> list[Column]:
     """Snapshot columns over a row of position (may be NULL), price and cash."""
     held = F.col("held_ticker").isNotNull()
     shares, basis = F.col("current_shares"), F.col("total_cost_basis")
@@ -135,7 +137,7 @@ def portfolio_snapshot(
         dated_positions(positions, days, curves, flows)
         .withColumnRenamed("ticker", "held_ticker")
         .where(F.coalesce("current_shares", "daily_net_cash", F.lit(0)) > 0)
-        .select(*_columns())
+        .select(*snapshot_columns())
     )
 
     accounts = positions.select("customer_id", "account_type").distinct().alias("a")
@@ -161,7 +163,7 @@ def portfolio_snapshot(
                 "latest_price": F.lit(None).cast(types.PRICE),
             }
         )
-        .select(*_columns())
+        .select(*snapshot_columns())
     )
     return securities.unionByName(cash_rows)
 
@@ -198,9 +200,9 @@ def snapshot_totals(dates: DataFrame, positions: DataFrame, prices: DataFrame) -
     )
 
 
-def write_snapshot(snapshot: DataFrame, path: str) -> DataFrame:
-    """Store snapshots by date; a date that is made again replaces its old rows."""
-    return write_table(snapshot, path, "overwrite", ("snapshot_date",))
+def write_snapshot(snapshot: DataFrame, path: str, at: dt.datetime) -> DataFrame:
+    """Store snapshots by date, with the time they were made; a date that is made again replaces its old rows."""
+    return write_table(stamped(snapshot, "processed_timestamp", at), path, "overwrite", ("snapshot_date",))
 
 
 def latest_cash(cash: DataFrame) -> DataFrame:
@@ -230,8 +232,8 @@ def holdings_with_cash(history: DataFrame, cash: DataFrame) -> DataFrame:
     )
 
 
-def current_holdings(history: DataFrame, cash: DataFrame) -> DataFrame:
-    """Holdings of the newest snapshot, with newer cash where there is some."""
+def current_holdings(history: DataFrame, cash: DataFrame, at: dt.datetime) -> DataFrame:
+    """Holdings of the newest snapshot, with newer cash where there is some, refreshed at a given time."""
     top = history.agg(F.max("snapshot_date")).scalar()
     shown = newest(history, "snapshot_date")
     flows = latest_cash(cash)
@@ -288,4 +290,4 @@ def current_holdings(history: DataFrame, cash: DataFrame) -> DataFrame:
             F.col("transaction_date").cast("date").alias("last_transaction_date"),
         )
     )
-    return from_history.unionByName(from_cash)
+    return stamped(from_history.unionByName(from_cash), "last_refreshed", at)

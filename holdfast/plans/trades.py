@@ -9,6 +9,7 @@ from ..types import PRICE, TRADES_FLAT
 
 def enrich_trades(flat: DataFrame) -> DataFrame:
     """Signed shares and cash.  Everything that is not a 'Buy' counts as a sale here."""
+    # Fixed value: the word for a purchase.
     buy = F.col("trade_action") == "Buy"
     return flat.withColumns(
         {

@@ -10,11 +10,15 @@ from ..plans import adapters as A
 from ..plans.trades import flattened
 from ..session import workspace
 from ..sources.files import CSV_WRITE_OPTIONS
-from ..streaming import auto_ingest, csv_feed
+from ..streaming import auto_ingest, change_feed, consume, csv_feed, unload_ledger, unload_step
 from ..types import AMOUNT, CASH_DEPOSITS, LEDGER, LONG, RETIREMENT_CONTRIBUTIONS, TEXT, schema
 from .common import plain
 
 START = dt.date(1995, 1, 1)
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 SCHEMA_CUT = dt.datetime(1998, 1, 1)
 
 
@@ -63,22 +67,29 @@ def _contribution_folders(spark: SparkSession, folder: str) -> tuple[str, str]:
 
 
 def schema_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The two layouts that contributions landed in, from the footers of all their files, and the shape of all payloads."""
     older, newer = _contribution_folders(spark, folder)
-    columns = S.diff_reports(
-        S.schema_report(spark, "original_schema", older), S.schema_report(spark, "new_schema", newer)
-    )
+    columns = S.diff_reports(*(S.merged_report(S.schema_by_file(spark, path), path) for path in (older, newer)))
     payload = S.payload_shape(A.trades_raw(spark, folder), "transaction_payload", "trades")
-    digits = F.regexp_replace("type", r"DECIMAL\(\d+,\d+\)", "DECIMAL")
     return columns.unionByName(
         payload.select(
             "column_name",
             F.lit(None).cast("string").alias("old_type"),
-            digits.alias("new_type"),
+            F.col("type").alias("new_type"),
             F.lit("payload").alias("status"),
         )
     )
 
 
+def schema_by_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of every given table, from the footer of each of its files."""
+    found = None
+    for name in TABLES:
+        one = S.schema_by_file(spark, f"{folder}/{name}.parquet").select(F.lit(name).alias("table_name"), "column_name", "type", "nullable", "order_id")
+        found = one if found is None else found.union(one)
+    return plain(found.distinct())
+
+
 def create_inferred(spark: SparkSession, folder: str) -> DataFrame:
     older, _ = _contribution_folders(spark, folder)
     inferred = S.inferred_schema(spark, older)
@@ -247,6 +258,24 @@ def unload_cycle(spark: SparkSession, folder: str) -> DataFrame:
     return plain(out[0].unionByName(out[1]))
 
 
+def unload_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Deposits unloaded as they come, in two drops; the ledger's rows of each day beside those read back.
+
+    The second drop brings days again, which are then unloaded in two folders.
+    """
+    root = workspace(spark)
+    deposits = A.cash_deposits(spark, folder)
+    first = F.col("customer_id") % 2 == 0
+    ledger = unload_ledger(spark, f"{root}/ledger")
+    for drop in (deposits.where(first), deposits.where(~first)):
+        drop.write.mode("append").parquet(f"{root}/deposits")
+        feed = change_feed(spark, f"{root}/deposits", CASH_DEPOSITS)
+        consume(feed, f"{root}/checkpoint", unload_step(f"{root}/unloaded", ledger, A.AS_OF)).awaitTermination()
+    back = S.scan_csv(spark, f"{root}/unloaded", CASH_DEPOSITS).groupBy(F.col("transaction_date").cast("date").alias("transaction_date"))
+    back = back.agg(F.count("*").alias("unloaded"), F.countDistinct("batch_id").alias("folders"))
+    return plain(ledger.read().join(back, "transaction_date", "full"), times=("unload_time",))
+
+
 def add_columns(spark: SparkSession, folder: str) -> DataFrame:
     widened = S.add_columns(
         A.cash_deposits(spark, folder), {"unload_status": "string", "unload_time": "timestamp_ntz"}
@@ -259,6 +288,7 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_json_payload": csv_json_payload,
     "schema_report": schema_report,
+    "schema_by_file": schema_by_file,
     "create_inferred": create_inferred,
     "load_by_name": load_by_name,
     "schema_evolution": schema_evolution,
@@ -270,5 +300,6 @@ QUERIES = {
     "load_calendar": load_calendar,
     "ledger_mark": ledger_mark,
     "unload_cycle": unload_cycle,
+    "unload_stream": unload_stream,
     "add_columns": add_columns,
 }

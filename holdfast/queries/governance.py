@@ -136,6 +136,24 @@ def simulated_overview(spark: SparkSession, folder: str) -> DataFrame:
     return plain(O.as_principal(ADVISOR, query))
 
 
+def governed_overview(spark: SparkSession, folder: str) -> DataFrame:
+    """The overview as an advisor's login sees it in each role, by masks that classification found; no column is named for them."""
+    people = stored(spark, A.customers(spark, folder), "people")
+    governed = O.govern({"CUSTOMERS": people})
+    links, users = A.customer_advisor(spark, folder), A.advisor_users(spark, folder)
+
+    def query(who: O.Principal) -> DataFrame:
+        return customer_overview(
+            governed.as_seen_by("CUSTOMERS", who, links, users),
+            A.customer_portfolio(spark, folder),
+            A.portfolios(spark),
+            A.retirement_plans(spark, folder),
+        ).withColumn("role", F.lit(who.role))
+
+    seen = [O.as_principal(O.Principal(ADVISOR.user, role), query) for role in ROLES]
+    return plain(reduce(DataFrame.unionByName, seen), ("age",))
+
+
 def classify_columns(spark: SparkSession, folder: str) -> DataFrame:
     return O.classify_columns(A.customers(spark, folder))
 
@@ -158,6 +176,7 @@ QUERIES = {
     "masked_customers": masked_customers,
     "row_access": row_access,
     "simulated_overview": simulated_overview,
+    "governed_overview": governed_overview,
     "classify_columns": classify_columns,
     "text_categories": text_categories,
     "tag_columns": tag_columns,

@@ -104,6 +104,17 @@ def asof_price(spark: SparkSession, folder: str) -> DataFrame:
     return plain(O.asof_prices(asked, A.part_prices(spark, folder)))
 
 
+def asof_instant(spark: SparkSession, folder: str) -> DataFrame:
+    """For every other event, to the microsecond, the last purchase value of the same key; hours are the ranges."""
+    events = table(spark, folder, "events").withColumn("ticker", F.get_json_object("props", "$.k"))
+    bought = F.col("event_type") == "purchase"
+    prices = events.where(bought).select(
+        "ticker", F.col("ts").alias("price_time"), F.col("value").cast("decimal(10,2)").alias("close_price")
+    )
+    found = O.asof_instants(events.where(~bought).select("ticker", F.col("ts").alias("as_of")), prices, width=3600)
+    return plain(found.withColumn("as_of", F.date_format("as_of", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
 def full_outer_cash(spark: SparkSession, folder: str) -> DataFrame:
     """Cash from trades beside cash from deposits, per customer and account."""
     def totals(rows: DataFrame, name: str) -> DataFrame:
@@ -137,8 +148,9 @@ def anti_missing_cash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """Trades of the newest day; the joined trades are stored, as they are read for the day and for its rows."""
-    return plain(O.newest(stored(spark, A.brand_trades(spark, folder), "trades"), "transaction_date"))
+    """Trades of the newest day; the day comes from two columns, so that the filter goes to the orders before any join."""
+    on_day = F.col("transaction_date") == A.newest_trade_day(spark, folder).scalar()
+    return plain(A.brand_trades(spark, folder).where(on_day))
 
 
 def rows_per_day(spark: SparkSession, folder: str) -> DataFrame:
@@ -287,6 +299,7 @@ QUERIES = {
     "left_join_left_pred": left_join_left_pred,
     "cross_dates": cross_dates,
     "asof_price": asof_price,
+    "asof_instant": asof_instant,
     "full_outer_cash": full_outer_cash,
     "anti_missing_cash": anti_missing_cash,
     "latest_snapshot": latest_snapshot,

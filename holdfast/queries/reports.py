@@ -44,6 +44,22 @@ def build_payload(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def payload_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads per customer and account, by three paths of the stored, shredded payloads."""
+    raw = stored(spark, A.trades_raw(spark, folder), "payloads")
+    paths = {"customer_id": ("$.customer_id", "bigint"), "account_type": ("$.account_type", "string"), "ticker": ("$.trades[0].ticker", "string")}
+    return plain(
+        O.payload_paths(raw, paths)
+        .groupBy("customer_id", "account_type")
+        .agg(
+            F.count("*").alias("payloads"),
+            F.max("transaction_date").alias("last_day"),
+            F.min("ticker").alias("least_first"),
+            F.max("ticker").alias("greatest_first"),
+        )
+    )
+
+
 def flatten_trades(spark: SparkSession, folder: str) -> DataFrame:
     return plain(P.flattened(A.trades_raw(spark, folder)))
 
@@ -113,30 +129,37 @@ def current_holdings(spark: SparkSession, folder: str) -> DataFrame:
     positions, cash = _snapshot_inputs(spark, folder, root)
     dates = A.year_ends(_feed_days(spark, folder))
     snapshot = H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
-    history = H.write_snapshot(snapshot, f"{root}/history")
-    return plain(H.current_holdings(history, cash))
+    history = H.write_snapshot(snapshot, f"{root}/history", A.AS_OF)
+    return plain(H.current_holdings(history, cash, A.AS_OF), times=("last_refreshed",))
 
 
 def processed_times(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of trades, cash, history and current holdings, by the time they say they were made."""
-    root = workspace(spark)
-    positions, cash = _snapshot_inputs(spark, folder, root)
-    dates = A.year_ends(_feed_days(spark, folder))
+    """Rows of trades, cash, positions, history and current holdings, by the time that is stored with them.
+
+    Each table is made from stored ones and stamped as it is stored.
+    """
+    root, at = workspace(spark), "processed_timestamp"
+    trades = stored(spark, stamped(A.brand_trades(spark, folder), at, A.AS_OF), "trades", root)
+    detail = C.cash_detail(A.cash_deposits(spark, folder), trades)
+    detail = stored(spark, stamped(detail, at, A.AS_OF), "detail", root)
+    positions = stored(spark, O.merge_positions(A.no_positions(spark), trades, A.AS_OF), "positions", root)
+    cash = stored(spark, C.daily_cash(detail), "cash", root)
+    dates = A.year_ends(A.feed_days(trades, detail))
     snapshot = H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
-    history = H.write_snapshot(stamped(snapshot, "processed_timestamp", A.AS_OF), f"{root}/history")
+    history = H.write_snapshot(snapshot, f"{root}/history", A.AS_OF)
+    current = stored(spark, H.current_holdings(history, cash, A.AS_OF), "current", root)
     made = {
-        "trades": stamped(A.brand_trades(spark, folder), "processed_timestamp", A.AS_OF),
-        "cash": stamped(A.detail(spark, folder), "processed_timestamp", A.AS_OF),
-        "history": history,
-        "current": stamped(H.current_holdings(history, cash), "last_refreshed", A.AS_OF),
+        "trades": (trades, at),
+        "cash": (detail, at),
+        "positions": (positions, "last_updated"),
+        "history": (history, at),
+        "current": (current, "last_refreshed"),
     }
     counts = [
-        frame.groupBy(
-            F.date_format("last_refreshed" if name == "current" else "processed_timestamp", "yyyy-MM-dd HH:mm:ss").alias("processed_at")
-        )
+        frame.groupBy(F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
         .agg(F.count("*").alias("rows"))
         .select(F.lit(name).alias("table_name"), "processed_at", "rows")
-        for name, frame in made.items()
+        for name, (frame, column) in made.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -169,6 +192,7 @@ def weekly_schedule(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "build_payload": build_payload,
+    "payload_paths": payload_paths,
     "flatten_trades": flatten_trades,
     "position_summary": position_summary,
     "top_traders": top_traders,

@@ -6,6 +6,7 @@ feeds keep.
 """
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..operators import build_payload
 from ..plans import adapters as A
 from ..plans import cash as C
 from ..plans import holdings as H
+from ..plans import intervals as I
 from ..plans.trades import flattened
 from ..session import workspace
 from ..sources.files import CSV_WRITE_OPTIONS, parse_payload, write_table
@@ -21,32 +23,42 @@ from ..streaming import (
     BatchFolders,
     BatchSums,
     ChangeTable,
+    HoldingsHistory,
     auto_ingest,
     change_feed,
     consume,
     csv_feed,
     daily_cash_step,
     has_data,
+    history_step,
+    holdings_history,
     newest_totals,
+    part,
     positions_step,
     run_steps,
-    snapshot_step,
+    stateful_sums,
+    tagged_union,
     totals_step,
-    touched_dates,
+    totals_table,
     with_change_metadata,
 )
 from ..types import (
+    CASH,
     CASH_DEPOSITS,
     DAILY_CASH,
+    LONG,
     POSITION_KEY,
     POSITIONS,
-    SNAPSHOT_TOTALS,
     SECURITY_TRADES_CSV,
+    TEXT,
     TRADES_FLAT,
+    schema,
 )
 from .common import plain
 
 MID_MONTH = dt.datetime(2024, 1, 16)
+# Few, as the tables here are small; a bucket is to be a few files.
+BUCKETS = 8
 
 
 def _deposit_drops(spark: SparkSession, folder: str) -> list[DataFrame]:
@@ -140,7 +152,7 @@ def daily_cash_stream(spark: SparkSession, folder: str) -> DataFrame:
 def merge_positions_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Positions kept by a feed; the drops are cut at a fixed day, as is the batch form."""
     root = workspace(spark)
-    target = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY)
+    target = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY, BUCKETS)
     trades = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames())
     early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
     for drop in (trades.where(early), trades.where(~early)):
@@ -156,9 +168,9 @@ def merge_positions_stream(spark: SparkSession, folder: str) -> DataFrame:
 def portfolio_snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of every day that a batch of trades touches, made after its positions; two drops."""
     root = workspace(spark)
-    positions = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY)
+    positions = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY, BUCKETS)
     prices = write_table(A.brand_prices(spark, folder), f"{root}/prices")
-    history = BatchFolders(spark, f"{root}/totals", SNAPSHOT_TOTALS)
+    history = totals_table(spark, f"{root}/totals")
     steps = run_steps(positions_step(positions, A.AS_OF), totals_step(history, positions, prices))
     trades = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames())
     early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
@@ -166,7 +178,7 @@ def portfolio_snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
         drop.write.mode("append").parquet(f"{root}/trades")
         feed = change_feed(spark, f"{root}/trades", TRADES_FLAT)
         consume(feed, f"{root}/checkpoint", steps).awaitTermination()
-    return plain(newest_totals(history).select(*SNAPSHOT_TOTALS.fieldNames()))
+    return plain(newest_totals(history))
 
 
 def feed_gate(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,17 +197,114 @@ def feed_gate(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(said, "step bigint, has_data boolean, taken bigint")
 
 
-def _newest_day(batch: DataFrame) -> DataFrame:
-    """The daily run's choice: statements of the newest day alone; totals take all touched days."""
-    return touched_dates(batch).agg(F.max("snapshot_date").alias("snapshot_date"))
+def _history(spark: SparkSession, root: str) -> HoldingsHistory:
+    return holdings_history(spark, f"{root}/holdings", _daily(spark, f"{root}/daily"), BUCKETS)
+
+
+def _follow(spark: SparkSession, root: str, trades: str, deposits: str) -> HoldingsHistory:
+    """Run the one writer of a history over all that waits in both feeds."""
+    history = _history(spark, root)
+    feed = tagged_union(
+        trades=change_feed(spark, trades, TRADES_FLAT), deposits=change_feed(spark, deposits, CASH_DEPOSITS)
+    )
+    step = history_step(
+        history,
+        trades=lambda batch: part(batch, "trades"),
+        movements=lambda batch: C.cash_detail(part(batch, "deposits"), part(batch, "trades")),
+        as_of=A.AS_OF,
+    )
+    consume(feed, f"{root}/checkpoint/holdings", run_steps(step)).awaitTermination()
+    return history
+
+
+def _two_drops(spark: SparkSession, folder: str, root: str) -> HoldingsHistory:
+    """A history after two drops of both feeds."""
+    traded = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames())
+    early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
+    for trades, deposits in zip((traded.where(early), traded.where(~early)), _deposit_drops(spark, folder), strict=True):
+        trades.write.mode("append").parquet(f"{root}/trades")
+        deposits.write.mode("append").parquet(f"{root}/deposits")
+        history = _follow(spark, root, f"{root}/trades", f"{root}/deposits")
+    return history
+
+
+def holdings_interval(spark: SparkSession, folder: str) -> DataFrame:
+    """Every state of every position with the batches it held from and up to, kept over two drops of both feeds."""
+    history = _two_drops(spark, folder, workspace(spark))
+    return plain(history.intervals(), nullable_numbers=("valid_to",), times=("last_updated",))
+
+
+def holdings_on_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Holdings row by row on every day that a batch bore on, read from intervals, then summed per day, account type and kind."""
+    root = workspace(spark)
+    history = _two_drops(spark, folder, root)
+    prices = write_table(A.brand_prices(spark, folder), f"{root}/prices")
+    intervals = write_table(history.intervals(), f"{root}/intervals")
+    cash = write_table(history.cash.read(), f"{root}/cash")
+    rows = I.holdings_on_days(history.all_days(), intervals, prices, cash)
+    return plain(
+        rows.groupBy("snapshot_date", "account_type", "holding_type").agg(
+            F.count("*").alias("rows"),
+            *(F.sum(name).alias(name) for name in ("quantity", "cost_basis", "market_value")),
+            F.max("last_transaction_date").alias("last_transaction_date"),
+        )
+    )
+
+
+ACCOUNT_CASH = schema(customer_id=LONG, account_type=TEXT, net_cash=CASH)
+
+
+def aggregate_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of two batches did to two tables that update: the net cash per account, and the positions."""
+    root = workspace(spark)
+    history = _two_drops(spark, folder, root)
+    accounts = BatchSums(spark, f"{root}/accounts", ACCOUNT_CASH, ("customer_id", "account_type"), "net_cash")
+    # The daily sums are themselves a feed, whose batches are added up per account.
+    daily = history.cash
+    for batch_id in (0, 1):
+        changed = daily.changes({"feed": batch_id - 1}, {"feed": batch_id})
+        sign = F.when(F.col("metadata_image") == "after", F.col("daily_net_cash")).otherwise(-F.col("daily_net_cash"))
+        partial = changed.groupBy("customer_id", "account_type").agg(F.sum(sign).cast(CASH).alias("net_cash"))
+        accounts.add(partial, batch_id)
+    found = []
+    for batch_id in (0, 1):
+        cash = accounts.changes({"feed": batch_id - 1}, {"feed": batch_id})
+        held = history.positions.changes(batch_id - 1, batch_id)
+        found.append(
+            cash.select(
+                F.lit("account cash").alias("table_name"), "customer_id", "account_type", F.lit(None).cast("string").alias("ticker"),
+                F.col("net_cash").alias("value"), "metadata_action", "metadata_image", F.lit(batch_id).alias("batch_id"),
+            )
+        )
+        found.append(
+            held.select(
+                F.lit("positions"), *POSITION_KEY, F.col("current_shares").cast(CASH), "metadata_action", "metadata_image", F.lit(batch_id)
+            )
+        )
+    return plain(reduce(DataFrame.union, found))
+
+
+def daily_cash_stateful(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily net cash kept by the state store, in two drops with a restart between them."""
+    root = workspace(spark)
+    target = ChangeTable(spark, f"{root}/daily", DAILY_CASH, C.DAILY_KEY, BUCKETS)
+    traded = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames())
+    early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
+    for trades, deposits in zip((traded.where(early), traded.where(~early)), _deposit_drops(spark, folder), strict=True):
+        trades.write.mode("append").parquet(f"{root}/trades")
+        deposits.write.mode("append").parquet(f"{root}/deposits")
+        moved = C.deposit_cash(change_feed(spark, f"{root}/deposits", CASH_DEPOSITS)).select(*C.DAILY_KEY, "amount")
+        moved = moved.unionByName(C.trade_movements(change_feed(spark, f"{root}/trades", TRADES_FLAT)))
+        stateful_sums(moved, C.DAILY_KEY, "amount", target, f"{root}/checkpoint").awaitTermination()
+    return plain(target.read())
 
 
 def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """Landed files to current holdings.
 
-    Trades land as JSON in CSV and deposits as CSV.  They are ingested, trades are
-    flattened, daily cash and positions follow, the newest day of the trade batch is
-    snapshot after the positions, and that of the deposits after both.
+    Trades land as JSON in CSV and deposits as CSV.  They are ingested and trades are flattened.  One
+    query then reads both feeds, and each of its batches brings cash, positions, intervals and days up to
+    date together.  Any day can be read from that (`holdings_on_days`); here the newest is made a snapshot.
     """
     root = workspace(spark)
 
@@ -205,7 +314,7 @@ def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     text.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/landing/trades")
     deposits = A.cash_deposits(spark, folder)
     deposits.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/landing/deposits")
-    A.brand_prices(spark, folder).write.parquet(f"{root}/prices")
+    prices = write_table(A.brand_prices(spark, folder), f"{root}/prices")
 
     # Ingestion.
     ingests = [
@@ -229,26 +338,11 @@ def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
         f"{root}/checkpoint/trades",
     ).awaitTermination()
 
-    # Incremental tables.
-    daily = _daily(spark, f"{root}/daily")
-    positions = ChangeTable(spark, f"{root}/positions", POSITIONS, POSITION_KEY)
-    prices = spark.read.parquet(f"{root}/prices")
-    snapshot = snapshot_step(f"{root}/history", positions, daily, prices, _newest_day)
-    trade_steps = run_steps(
-        daily_cash_step(daily, "trades", C.trade_cash),
-        positions_step(positions, A.AS_OF),
-        snapshot,
-    )
-    deposit_steps = run_steps(daily_cash_step(daily, "deposits", C.deposit_cash), snapshot)
-    for name, layout, steps in (
-        ("trades", TRADES_FLAT, trade_steps),
-        ("raw/deposits", CASH_DEPOSITS, deposit_steps),
-    ):
-        feed = change_feed(spark, f"{root}/{name}", layout)
-        consume(feed, f"{root}/checkpoint/steps_{name.replace('/', '_')}", steps).awaitTermination()
-
-    history = spark.read.parquet(f"{root}/history")
-    return plain(H.current_holdings(history, daily.read()))
+    history = _follow(spark, root, f"{root}/trades", f"{root}/raw/deposits")
+    cash = write_table(history.cash.read(), f"{root}/cash")
+    shown = I.holdings_on_days(I.newest_day(history.all_days()), history.intervals(), prices, cash)
+    shown = H.write_snapshot(shown, f"{root}/history", A.AS_OF)
+    return plain(H.current_holdings(shown, cash, A.AS_OF), times=("last_refreshed",))
 
 
 QUERIES = {
@@ -259,5 +353,9 @@ QUERIES = {
     "merge_positions_stream": merge_positions_stream,
     "portfolio_snapshot_stream": portfolio_snapshot_stream,
     "feed_gate": feed_gate,
+    "holdings_interval": holdings_interval,
+    "holdings_on_days": holdings_on_days,
+    "aggregate_changes": aggregate_changes,
+    "daily_cash_stateful": daily_cash_stateful,
     "holdings_end_to_end": holdings_end_to_end,
 }

@@ -11,7 +11,7 @@ from .files import (
     typed,
     write_table,
 )
-from .inference import diff_reports, inferred_schema, payload_shape, schema_report
+from .inference import diff_reports, inferred_schema, merged_report, payload_shape, schema_by_file, schema_report
 from .loading import evolve_append, load_by_name, load_positional
 from .unload import (
     load_calendar,
@@ -34,6 +34,7 @@ __all__ = [
     "load_calendar",
     "load_positional",
     "mark_done",
+    "merged_report",
     "next_day",
     "payload_shape",
     "pending_days",
@@ -41,6 +42,7 @@ __all__ = [
     "scan_csv",
     "scan_json_payload_csv",
     "scan_parquet",
+    "schema_by_file",
     "schema_report",
     "table",
     "typed",

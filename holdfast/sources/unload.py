@@ -16,20 +16,25 @@ FIRST_DAY = dt.date(2019, 1, 2)
 EMPTY_FEED = dt.date(1900, 1, 1)
 
 
-def unload_by_date(df: DataFrame, path: str, date: str = "transaction_date") -> None:
+def unload_by_date(df: DataFrame, path: str, date: str = "transaction_date", batch_id: int | None = None) -> None:
     """Quoted CSV, one folder per day; only the days present are overwritten.
 
     The day is kept inside the file too.  The rebalance gives a day one file as
-    long as it fits one task, and splits a larger day.
+    long as it fits one task, and splits a larger day.  With a batch id, the days lie in a folder of
+    the batch, which is overwritten as a whole; a day that comes in several batches lies in several.
     """
-    (
-        df.withColumn("unload_date", F.col(date).cast("date"))
-        .hint("rebalance", "unload_date")
-        .write.mode("overwrite")
-        .partitionBy("unload_date")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**CSV_WRITE_OPTIONS)
-        .csv(path)
+    writer = df.withColumn("unload_date", F.col(date).cast("date")).hint("rebalance", "unload_date").write.mode("overwrite")
+    writer = writer.partitionBy("unload_date").options(**CSV_WRITE_OPTIONS)
+    if batch_id is None:
+        writer.option("partitionOverwriteMode", "dynamic").csv(path)
+    else:
+        writer.option("partitionOverwriteMode", "static").csv(f"{path}/batch_id={batch_id}")
+
+
+def unloaded_days(df: DataFrame, at: dt.datetime, date: str = "transaction_date") -> DataFrame:
+    """Ledger rows of what is unloaded together: days, how many rows, and when."""
+    return _days(df, date).select(
+        "transaction_date", "records", F.lit("SUCCESS").alias("unload_status"), F.lit(at).cast("timestamp_ntz").alias("unload_time")
     )
 
 

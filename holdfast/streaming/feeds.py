@@ -5,14 +5,16 @@ consumer has its own checkpoint, so consumers never take rows from one another.
 """
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from ..session import copy_folder, workspace
 from ..sources.files import CSV_OPTIONS
+from .tables import ChangeTable
 
 
 def _limited(spark: SparkSession, files_per_batch: int | None) -> DataStreamReader:
@@ -39,6 +41,20 @@ def csv_feed(
     return reader.option("recursiveFileLookup", True).csv(path)
 
 
+def tagged_union(**feeds: DataFrame) -> DataFrame:
+    """Several feeds as one, so that a batch takes what waits in all of them at once.
+
+    `feed` names the feed a row came from, and a column of each feed's name holds its row, NULL in
+    the others' rows.  `part` takes a batch apart again.
+    """
+    def row(name: str, own: str) -> Column:
+        found = F.struct(*feeds[name].columns)
+        return (found if name == own else F.lit(None).cast(feeds[name].schema)).alias(name)
+
+    tagged = [feed.select(F.lit(own).alias("feed"), *(row(name, own) for name in feeds)) for own, feed in feeds.items()]
+    return reduce(DataFrame.unionAll, tagged)
+
+
 def has_data(feed: DataFrame, checkpoint: str) -> bool:
     """Whether a consumer with this checkpoint has rows to take; it takes none.
 
@@ -102,3 +118,28 @@ def consume(
         .trigger(**trigger)
         .start()
     )
+
+
+def stateful_sums(
+    rows: DataFrame, keys: tuple[str, ...], value: str, target: ChangeTable, checkpoint: str
+) -> StreamingQuery:
+    """Keep a table of sums per key by a streaming aggregate, whose state lives in Spark's state store.
+
+    A batch gives the new totals of the keys it touched, and writes them as changes of `target`,
+    under the name of the one column that is not a key.  Sums need no read of the table; the
+    state grows with the keys and is split over as many stores as there were shuffle partitions at the first start.
+    A replay finds the state of its batch and writes the same rows.
+    """
+    (total,) = [field for field in target.schema.fields if field.name not in keys]
+    sums = rows.groupBy(*keys).agg(F.sum(value).cast(total.dataType).alias(total.name))
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        target.apply(changed.withColumn("deleted", F.lit(False)), batch_id)
+
+    return (
+        sums.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

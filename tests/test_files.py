@@ -42,6 +42,7 @@ def test_csv_newline_inside_quotes(spark, tmp_path):
 
 def test_dimension_files(spark, tmp_path, rows):
     """A dimension of each kind, and the checks that hold between them."""
+    # The column headings of the files.
     classes = S.scan_csv(
         spark,
         write(
@@ -201,3 +202,45 @@ def test_add_columns(spark):
 def test_missing_folder_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException):
         S.scan_parquet(spark, str(tmp_path / "nothing"), {"a": "int"})
+
+
+def test_schemas_of_single_files(spark, tmp_path, rows):
+    """Spark's and other writers' files, among them one that differs, by footers alone."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1))], "n bigint, s string, at timestamp_ntz").coalesce(1).write.parquet(str(tmp_path / "t" / "one"))
+    other = pa.table({"n": pa.array([1], pa.int32()), "at": pa.array([0], pa.timestamp("us")), "odd": pa.array([1], pa.uint64())})
+    (tmp_path / "t" / "two").mkdir()
+    pq.write_table(other, tmp_path / "t" / "two" / "x.parquet")
+    (tmp_path / "t" / "two" / "notes.txt").write_text("no table")
+    found = S.schema_by_file(spark, str(tmp_path / "t"))
+    assert found.select("source").distinct().count() == 2
+    assert rows(found.where("source LIKE '%x.parquet'"), "column_name", "type", "nullable", "order_id") == [
+        ("at", "timestamp_ntz", True, 1), ("n", "int", True, 0), ("odd", "uint64", True, 2),
+    ]
+    merged = S.merged_report(found, "t")
+    assert rows(merged, "column_name", "type", "order_id") == [
+        ("at", "timestamp_ntz", 1), ("n", "bigint | int", 0), ("odd", "uint64", 2), ("s", "string", 1),
+    ]
+    old, new = (S.merged_report(found.where(F.col("source").like(f"%{name}%")), name) for name in ("one", "two"))
+    assert rows(S.diff_reports(old, new), "column_name", "status") == [("at", "same"), ("n", "changed"), ("odd", "added"), ("s", "removed")]
+
+
+def test_unloads_by_batch_can_be_replayed(spark, tmp_path, rows):
+    from holdfast.streaming import unload_ledger, unload_step
+
+    def batch(*days):
+        return spark.createDataFrame([(D[day], f"r{day}") for day in days], "transaction_date date, name string")
+
+    once, again = (str(tmp_path / name) for name in ("once", "again"))
+    for root, tries in ((once, 1), (again, 2)):
+        ledger = unload_ledger(spark, f"{root}/ledger")
+        step = unload_step(f"{root}/out", ledger, dt.datetime(2024, 2, 1), compact_every=2)
+        for batch_id, days in enumerate(([1, 1, 2], [2, 3], [], [1])):
+            for _ in range(tries):
+                step(batch(*days), batch_id)
+        assert rows(ledger.read(), "transaction_date", "records", "unload_status") == [(D[1], 3, "SUCCESS"), (D[2], 2, "SUCCESS"), (D[3], 1, "SUCCESS")]
+        back = S.scan_csv(spark, f"{root}/out", batch(1).schema)
+        assert rows(back, "transaction_date", "name") == sorted((D[d], f"r{d}") for d in (1, 1, 2, 2, 3, 1))
+        assert S.pending_days(batch(1, 2, 3, 4), ledger.read()).first().transaction_date == D[4]

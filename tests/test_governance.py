@@ -126,3 +126,25 @@ def test_tags(spark, rows):
         ("TWO", "birthdate", "PII_LOW", "date"),
     ]
     assert O.tag_columns({"ONE": one}, "PII_H%").count() == 1
+
+
+def test_masks_follow_from_what_columns_hold(spark, rows):
+    """No list of columns: an age, a name, a number that is no person's, and a table without personal data."""
+    people = spark.createDataFrame(
+        [(1, "Ann", "123-45-6789", 30, "x1"), (2, "Bob", "123-45-6780", 40, "x2")],
+        "customer_id bigint, first_name string, code string, age bigint, note string",
+    )
+    things = spark.createDataFrame([(1, "a1")], "customer_id bigint, label string")
+    governed = O.govern({"PEOPLE": people, "THINGS": things})
+    assert governed.tags == {"PEOPLE": {"first_name": "PII_MODERATE", "code": "PII_HIGH", "age": "PII_LOW"}, "THINGS": {}}
+    links = spark.createDataFrame([(1, 7)], "customer_id bigint, advisor_id bigint")
+    users = spark.createDataFrame([("ADV7", 7)], "username string, advisor_id bigint")
+
+    def seen(name, role):
+        return rows(governed.as_seen_by(name, O.Principal("ADV7", role), links, users))
+
+    hidden = "*** Redacted ***"
+    assert seen("PEOPLE", "CLIENT_ADVISOR_RL") == [(1, "Ann", "***-**-6789", 30, "x1")]
+    assert seen("PEOPLE", "DATA_STEWARD") == [(1, hidden, hidden, None, "x1"), (2, hidden, hidden, None, "x2")]
+    assert seen("PEOPLE", "BUSINESS_ANALYST_RL")[0] == (1, hidden, hidden, 30, "x1")
+    assert seen("THINGS", "DATA_STEWARD") == [(1, "a1")]

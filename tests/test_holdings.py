@@ -7,11 +7,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import asof_prices, each_date, weekly_schedule
+from holdfast.operators import asof_instants, asof_prices, each_date, weekly_schedule
 from holdfast.plans import cash as C
 from holdfast.plans import holdings as H
 from holdfast.types import DAILY_CASH, POSITIONS
 
+NOW = dt.datetime(2024, 1, 1)
 D = {n: dt.date(2024, 1, n) for n in range(1, 32)}
 PRICES = "ticker string, price_date date, close_price decimal(10,2)"
 
@@ -195,7 +196,7 @@ def test_current_holdings(spark, rows):
         spark, (1, "X", 1, 9, "CASH"), (1, "X", 3, -4, "CASH"), (2, "X", 5, 11, "CASH"),
         (3, "X", 1, 8, "CASH"), (4, "X", 6, 2, "B"), (4, "X", 6, 1, "A"),
     )
-    got = H.current_holdings(old.unionByName(new).unionByName(shown), flows)
+    got = H.current_holdings(old.unionByName(new).unionByName(shown), flows, NOW)
     assert rows(got, "customer_id", "ticker", "snapshot_date", "quantity", "last_transaction_date") == [
         (1, "A", D[2], Decimal("4.0000"), D[2]),
         (2, "A", D[2], Decimal("1.0000"), D[2]),
@@ -208,16 +209,18 @@ def test_current_holdings(spark, rows):
 def test_rewriting_a_snapshot_replaces_its_dates(spark, tmp_path):
     path = str(tmp_path / "history")
     first = history(spark, (1, "X", "A", 3, 30), (2, "X", "A", 3, 30))
-    H.write_snapshot(first.withColumn("snapshot_date", F.lit(D[1])), path)
-    H.write_snapshot(first, path)
-    stored = H.write_snapshot(history(spark, (1, "X", "A", 9, 30)), path)
+    H.write_snapshot(first.withColumn("snapshot_date", F.lit(D[1])), path, NOW)
+    H.write_snapshot(first, path, NOW)
+    stored = H.write_snapshot(history(spark, (1, "X", "A", 9, 30)), path, NOW + dt.timedelta(hours=1))
     counts = {row[0]: row[1] for row in stored.groupBy("snapshot_date").count().collect()}
     assert counts == {D[1]: 2, D[2]: 1}
+    made = {row.snapshot_date: row.processed_timestamp for row in stored.collect()}
+    assert made == {D[1]: NOW, D[2]: NOW + dt.timedelta(hours=1)}
 
 
 def test_newest_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "history")
-    H.write_snapshot(history(spark, (1, "X", "A", 3, 30)), path)
+    H.write_snapshot(history(spark, (1, "X", "A", 3, 30)), path, NOW)
     from holdfast.operators import newest
 
     plan = newest(spark.read.parquet(path), "snapshot_date")._jdf.queryExecution().toString()
@@ -234,6 +237,50 @@ def test_snapshot_dates_meet_as_timestamps(spark, rows):
     assert rows(got) == [(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 2),), (dt.datetime(2024, 1, 3, 4),)]
 
 
+def instants(spark, seed, tickers, count):
+    """Prices and probes within some days, many on the same second, and the answers of a scan through them."""
+    rng = random.Random(seed)
+
+    def at():
+        return dt.datetime(2024, 1, rng.randrange(1, 9), rng.randrange(24), rng.randrange(0, 60, 10), 0, rng.choice([0, 0, 5]))
+
+    found = [(rng.choice(tickers), at(), money(rng.randrange(1, 99)) if rng.random() < 0.9 else None) for _ in range(count)]
+    probes = [(rng.choice(tickers), at()) for _ in range(count)]
+    expected = {}
+    for ticker, when in set(probes):
+        closes = [(time, close) for name, time, close in found if name == ticker and time <= when]
+        last = max((time for time, _ in closes), default=None)
+        values = [close for time, close in closes if time == last and close is not None]
+        expected[ticker, when] = max(values) if values else None
+    frames = (
+        spark.createDataFrame(probes, "ticker string, as_of timestamp_ntz"),
+        spark.createDataFrame(found, "ticker string, price_time timestamp_ntz, close_price decimal(10,2)"),
+    )
+    return *frames, expected
+
+
+@pytest.mark.parametrize("width", [3600, 24 * 3600, 30 * 24 * 3600])
+def test_prices_at_instants(spark, width):
+    probes, found, expected = instants(spark, 4, ["hot"] * 20 + ["a", "b"], 400)
+    got = {(row.ticker, row.as_of): row.latest_price for row in asof_instants(probes, found, width).collect()}
+    assert got == expected
+    assert asof_instants(probes.limit(0), found).collect() == []
+
+
+def test_a_ticker_with_many_instants_is_several_tasks(spark):
+    """One ticker, eight days: its instants are dealt by ticker and range."""
+    probes, found, _ = instants(spark, 5, ["hot"], 3000)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        answered = asof_instants(probes, found, 3600)
+        plan = answered._jdf.queryExecution().executedPlan().toString()
+        tasks = answered.select(F.spark_partition_id().alias("task")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert "hashpartitioning(ticker" in plan and tasks > 4
+
+
 def test_weekly_schedule(spark):
     people = spark.createDataFrame(
         [(1, dt.date(2024, 1, 3), dt.date(2024, 1, 17), Decimal("52000.00")),

@@ -122,3 +122,23 @@ def test_a_hot_ticker_is_split(spark, tmp_path):
 
 def test_a_day_filter_needs_no_sort_of_the_lines(spark):
     assert "SortMergeJoin" not in plan(entry.queries()["filter_eq"](spark, FOLDER))
+
+
+def test_paths_of_stored_payloads_read_their_own_columns(spark, tmp_path):
+    """Payloads are stored shredded; a path read names its sub-columns, and no whole payload."""
+    path = str(tmp_path / "payloads")
+    A.trades_raw(spark, FOLDER).coalesce(1).write.parquet(path)
+    import pyarrow.parquet as pq
+
+    (stored,) = (tmp_path / "payloads").glob("*.parquet")
+    columns = pq.ParquetFile(stored).schema.to_arrow_schema().field("transaction_payload").type
+    shredded = columns.field("typed_value").type
+    assert {"customer_id", "account_type", "trades"} <= {shredded.field(k).name for k in range(shredded.num_fields)}
+    paths = {"customer_id": ("$.customer_id", "bigint"), "ticker": ("$.trades[0].ticker", "string")}
+    found = O.payload_paths(spark.read.parquet(path), paths)
+    assert "transaction_payload:struct<0:bigint,1:string>" in plan(found)
+    whole = F.try_variant_get("transaction_payload", "$", "struct<customer_id: bigint, trades: array<struct<ticker: string>>>")
+    expected = spark.read.parquet(path).select(whole.alias("p")).select("p.customer_id", F.get("p.trades", F.lit(0))["ticker"])
+    assert found.select("customer_id", "ticker").exceptAll(expected).isEmpty()
+    odd = spark.sql("SELECT 1 AS id, parse_json('{\"customer_id\": \"x\", \"trades\": 3}') AS transaction_payload")
+    assert [tuple(row) for row in O.payload_paths(odd, paths).collect()] == [(1, None, None)]

@@ -1,5 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -42,6 +46,13 @@ def test_comparison_sees_differences(spark, connection):
     assert differences(df.where("false"), connection, good + " LIMIT 0") == ["no rows"]
 
 
+def test_entry_without_a_library_of_the_training_operators():
+    """In a fresh interpreter that lacks it, all other queries are there."""
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; print(*sorted(e.queries()))"
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parent.parent)
+    assert said.stdout.split() == sorted(NAMES)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == [
         "customer_id", "ticker", "account_type", "net_shares", "total_bought_value",
