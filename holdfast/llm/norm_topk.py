@@ -90,50 +90,61 @@ def search(
     query_block: int = QUERY_BLOCK,
     seeds: int = SEEDS,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the `top` largest inner products of each query, itself left out.
+    """(query_id, rank, vec_id, score): the `top` largest inner products of each query, rows of its own id left out.
 
     Components x count as floor(scale * x).  Ties go to the smaller vec_id; fewer rows only if there
-    are fewer other vectors.  Exact while products stay below 2^53.  Rows that take no part: see
-    `usable_vectors`; zero vectors do take part, with score 0.  Empty tables: no rows.
+    are fewer other vectors of the query's length.  Exact while products stay below 2^53.
+
+    * Rows that take no part: see `usable_vectors`; zero vectors do take part, with score 0.
+    * Repeated ids are rows of their own; several queries of one id are answered as one.
+    * Vectors with different numbers of components are never compared.
+    * Empty tables: no rows.  Only the two named columns are read; others may have any name.
     """
     spark = vectors.sparkSession
     root = workspace(spark)
     kind = f"transform({{v}}, x -> floor({scale}D * CAST(x AS double)))"
-    size = F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + CAST(x AS double) * x))")
-    rows = usable_vectors(vectors, id_column, vector_column, kind, True).withColumn("length", size)
+    size, d = F.expr("sqrt(aggregate(v, 0D, (s, x) -> s + CAST(x AS double) * x))").alias("length"), F.size("v").alias("d")
+    rows = usable_vectors(vectors, id_column, vector_column, kind, True).select("*", d, size)
     rows = stored(rows.withColumn("bucket", F.when(F.col("length") > 0, F.floor(F.log("length") / F.log(F.lit(RATIO)))).otherwise(-1).cast("int")), "vectors", root)
-    asked = usable_vectors(queries, id_column, vector_column, kind, True).withColumn("length", size)
-    # One row per bucket: at most the number of geometric steps between doubles.
-    buckets = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.max("length").alias("longest")).orderBy("bucket").collect()
-    parts = {row["bucket"]: -(-row["n"] // block) for row in buckets}
-
-    longest = rows.orderBy(F.desc("length"), "id").limit(seeds).select("id", "v").toPandas()
-    seed_ids = longest["id"].to_numpy(np.int64)
-    seed_v = np.array(longest["v"].tolist(), np.float64)
-    held = spark.sparkContext.broadcast((seed_ids, seed_v))
+    asked = usable_vectors(queries, id_column, vector_column, kind, True).select("*", d, size)
+    # One row per number of components and bucket: at most the number of geometric steps between doubles for each.
+    buckets = rows.groupBy("d", "bucket").agg(F.count("*").alias("n"), F.max("length").alias("longest")).orderBy("d", "bucket").collect()
+    parts = {(row["d"], row["bucket"]): -(-row["n"] // block) for row in buckets}
+
+    seeded: dict[int, tuple[list[int], list[list[int]]]] = {}
+    for row in rows.orderBy(F.desc("length"), "id").limit(seeds).select("id", "v").collect():
+        own = seeded.setdefault(len(row["v"]), ([], []))
+        own[0].append(row["id"])
+        own[1].append(row["v"])
+    held = spark.sparkContext.broadcast({k: (np.array(ids, np.int64), np.array(v, np.float64)) for k, (ids, v) in seeded.items()})
 
     def bounded(batches):
-        seed_ids, seed_v = held.value
+        known = held.value
         for batch in batches:
             bounds = np.full(batch.num_rows, -np.inf)
-            if len(seed_ids) > top:
-                ids, q = batch.column(0).to_numpy(), matrix(batch.column(1))
-                for k in range(len(ids) if q.shape[1] == seed_v.shape[1] else 0):
-                    scores = (seed_v @ q[k])[seed_ids != ids[k]]
-                    bounds[k] = np.partition(scores, len(scores) - top)[len(scores) - top]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bounds)], names=["id", "v", "length", "bound"])
-
-    asked = stored(asked.select("id", "v", "length").mapInArrow(bounded, "id bigint, v array<bigint>, length double, bound double"), "queries", root)
+            for k, (query_id, query) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                query = query.values.to_numpy().astype(np.float64)
+                if len(query) in known:
+                    ids, v = known[len(query)]
+                    scores = (v @ query)[ids != query_id]
+                    if len(scores) >= top:
+                        bounds[k] = np.partition(scores, len(scores) - top)[len(scores) - top]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bounds)], names=["id", "v", "d", "length", "bound"])
+
+    asked = stored(asked.mapInArrow(bounded, "id bigint, v array<bigint>, d int, length double, bound double"), "queries", root)
     query_blocks = max(1, -(-asked.count() // query_block))
+    if not parts:
+        return asked.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("bigint").alias("score")).where("false")
 
-    part = F.element_at(F.create_map(*(F.lit(x) for pair in parts.items() for x in pair)), F.col("bucket")) if parts else F.lit(1)
+    part = F.element_at(F.create_map(*(F.lit(x) for (size, bucket), n in parts.items() for x in (f"{size} {bucket}", n))), F.concat_ws(" ", "d", "bucket"))
     left = rows.withColumn("i", F.pmod(F.xxhash64("id"), part).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    known = [F.struct(F.lit(row["bucket"]).alias("bucket"), F.lit(parts[row["bucket"]]).alias("parts"), F.lit(row["longest"]).alias("longest")) for row in buckets]
-    near = F.filter(F.array(*known), lambda b: (F.col("bound") <= 0) | (b["longest"] * F.col("length") * (1 + 1e-12) >= F.col("bound"))) if known else F.array()
+    known = [
+        F.struct(F.lit(row["d"]).alias("d"), F.lit(row["bucket"]).alias("bucket"), F.lit(parts[row["d"], row["bucket"]]).alias("parts"), F.lit(row["longest"]).alias("longest"))
+        for row in buckets
+    ]
+    near = F.filter(F.array(*known), lambda b: (b["d"] == F.col("d")) & ((F.col("bound") <= 0) | (b["longest"] * F.col("length") * (1 + 1e-12) >= F.col("bound"))))
     right = asked.withColumn("j", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
-    if not known:
-        return right.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("bigint").alias("score")).where("false")
-    right = right.withColumn("at", F.explode(near)).withColumn("i", F.explode(F.expr("sequence(0, at.parts - 1)"))).select("id", "v", "bound", F.col("at.bucket").alias("bucket"), F.col("i").cast("int").alias("i"), "j")
+    right = right.withColumn("at", F.explode(near)).withColumn("i", F.explode(F.expr("sequence(0, at.parts - 1)"))).select("id", "v", "d", "bound", F.col("at.bucket").alias("bucket"), F.col("i").cast("int").alias("i"), "j")
 
     def run(own: pa.Table, theirs: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
@@ -149,6 +160,6 @@ def search(
         columns = [pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out]
         return pa.table(columns, names=["query_id", "vec_id", "score"])
 
-    keys = ("bucket", "i", "j")
+    keys = ("d", "bucket", "i", "j")
     found = left.select("id", "v", "length", *keys).groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id bigint, vec_id bigint, score bigint")
     return ranked(found, top, "bigint")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import workspace
@@ -60,33 +60,51 @@ def search(
     block: int = BLOCK,
     query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the `top` nearest found of each query, itself left out.
+    """(query_id, rank, vec_id, score): the `top` nearest found of each query, rows of its own id left out.
 
     Nearness is the largest inner product, in double precision; ties go to the smaller vec_id.  A
-    query has fewer rows only if there are fewer other vectors.  Every block offers its `candidates`
+    query has fewer rows only if there are fewer other vectors of its length.  Every block offers its `candidates`
     nearest orders (a block that small is compared whole), so recall does not fall as blocks are added.
-    Rows that take no part: see `usable_vectors`; zero vectors take none.  Empty tables: no rows.
+
+    * Rows that take no part: see `usable_vectors`; zero vectors take none.
+    * Repeated ids are rows of their own; several queries of one id are answered as one.
+    * Vectors of different lengths are never compared; each length has its own blocks and pivots.
+    * Empty tables: no rows.  Only the two named columns are read; others may have any name.
     """
     spark = vectors.sparkSession
     root = workspace(spark)
-    rows = stored(usable_vectors(vectors, id_column, vector_column, "CAST({v} AS array<double>)", False), "vectors", root)
-    asked = stored(usable_vectors(queries, id_column, vector_column, "CAST({v} AS array<double>)", False), "queries", root)
+    kind, d = "CAST({v} AS array<double>)", F.size("v").alias("d")
+    rows = stored(usable_vectors(vectors, id_column, vector_column, kind, False).select("*", d), "vectors", root)
+    asked = stored(usable_vectors(queries, id_column, vector_column, kind, False).select("*", d), "queries", root)
     length = F.expr("aggregate(v, 0D, (s, x) -> s + x * x)")
-    count, most = rows.agg(F.count("*"), F.max(length)).first()
-    # Equal vectors make one pivot, so a common vector cannot fill the sample.
-    sample = rows.groupBy(F.xxhash64("v").alias("h")).agg(F.min("v").alias("v")).orderBy(F.xxhash64("h"), "h").limit(pivots).select("v").collect()
-    if not sample:
+    # One row per length of vectors.
+    sizes = {row["d"]: row for row in rows.groupBy("d").agg(F.count("*").alias("n"), F.max(length).alias("most")).collect()}
+    asked_sizes = {row["d"]: row["n"] for row in asked.groupBy("d").agg(F.count("*").alias("n")).collect()}
+    blocks = {size: max(1, -(-row["n"] // block)) for size, row in sizes.items()}
+    query_blocks = {size: max(1, -(-n // query_block)) for size, n in asked_sizes.items() if size in sizes}
+    if not query_blocks:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).where("false")
-    points = np.array([row["v"] for row in sample])
-    points = np.c_[points, np.sqrt(np.maximum(most - (points**2).sum(axis=1), 0))]
-    points /= np.linalg.norm(points, axis=1, keepdims=True)
-    held = spark.sparkContext.broadcast(points)
-    blocks = max(1, -(-count // block))
-    query_blocks = max(1, -(-asked.count() // query_block))
-
-    left = rows.withColumn("i", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    right = asked.withColumn("j", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    posted_pivots = min(posted, len(points))
+    # Equal vectors make one pivot, so a common vector cannot fill the sample.
+    wide = [size for size, row in sizes.items() if row["n"] > candidates]
+    distinct = rows.where(F.col("d").isin(wide)).groupBy("d", F.xxhash64("v").alias("h")).agg(F.min("v").alias("v"))
+    order = Window.partitionBy("d").orderBy(F.xxhash64("h"), "h")
+    points = {}
+    for row in distinct.withColumn("place", F.row_number().over(order)).where(F.col("place") <= pivots).orderBy("d", "place").collect():
+        points.setdefault(row["d"], []).append(row["v"])
+    for size, found in points.items():
+        found = np.array(found)
+        found = np.c_[found, np.sqrt(np.maximum(sizes[size]["most"] - (found**2).sum(axis=1), 0))]
+        points[size] = found / np.linalg.norm(found, axis=1, keepdims=True)
+    held = spark.sparkContext.broadcast((points, {size: row["most"] for size, row in sizes.items()}))
+
+    def number(counts: dict[int, int]):
+        return F.element_at(F.create_map(*(F.lit(x) for pair in counts.items() for x in pair)), F.col("d"))
+
+    def dealt(frame: DataFrame, own: str, own_blocks: dict[int, int], other: str, other_blocks: dict[int, int]) -> DataFrame:
+        frame = frame.where(F.col("d").isin(list(query_blocks))).withColumn(own, F.pmod(F.xxhash64("id"), number(own_blocks)).cast("int"))
+        return frame.withColumn(other, F.explode(F.sequence(F.lit(0), number(other_blocks) - 1)))
+
+    left, right = dealt(rows, "i", blocks, "j", query_blocks), dealt(asked, "j", query_blocks, "i", blocks)
 
     def run(own: pa.Table, theirs: pa.Table) -> pa.Table:
         out: list[list[np.ndarray]] = [[], [], []]
@@ -95,18 +113,22 @@ def search(
             ids, v = own.column("id").to_numpy(), matrix(own.column("v"))
             query_ids, q = theirs.column("id").to_numpy(), matrix(theirs.column("v"))
             n = len(ids)
-            lifted = np.c_[v, np.sqrt(np.maximum(most - (v**2).sum(axis=1), 0))]
-            orders = nearest_pivots(lifted, held.value, posted_pivots)
-            by_pivot = np.argsort(orders.ravel(), kind="stable")
-            edges = np.searchsorted(orders.ravel()[by_pivot], np.arange(len(held.value) + 1))
-            files = [(by_pivot[a:b] // posted_pivots, by_pivot[a:b] % posted_pivots) for a, b in zip(edges[:-1], edges[1:])]
-            for query_id, query, order in zip(query_ids.tolist(), q, nearest_pivots(np.c_[q, np.zeros(len(q))], held.value, posted_pivots)):
-                if n > candidates:
+            orders = None
+            if n > candidates:
+                points, most = held.value[0][v.shape[1]], held.value[1][v.shape[1]]
+                deep = min(posted, len(points))
+                lifted = np.c_[v, np.sqrt(np.maximum(most - (v**2).sum(axis=1), 0))]
+                own_orders = nearest_pivots(lifted, points, deep)
+                by_pivot = np.argsort(own_orders.ravel(), kind="stable")
+                edges = np.searchsorted(own_orders.ravel()[by_pivot], np.arange(len(points) + 1))
+                files = [(by_pivot[a:b] // deep, by_pivot[a:b] % deep) for a, b in zip(edges[:-1], edges[1:])]
+                orders = nearest_pivots(np.c_[q, np.zeros(len(q))], points, deep)
+            for place, (query_id, query) in enumerate(zip(query_ids.tolist(), q)):
+                near = np.arange(n)
+                if orders is not None:
                     # Stable: equal distances keep the order of ids.
-                    near = np.argsort(-agreements(order, files, n), kind="stable")[: candidates + 1]
+                    near = np.argsort(-agreements(orders[place], files, n), kind="stable")[: candidates + 1]
                     near = np.sort(near)
-                else:
-                    near = np.arange(n)
                 near = near[ids[near] != query_id]
                 # Row by row the same sums, so equal vectors get equal scores.
                 scores = (v[near] * query).sum(axis=1)
@@ -117,5 +139,6 @@ def search(
         columns = [pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(out, (pa.int64(), pa.int64(), pa.float64()))]
         return pa.table(columns, names=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(run, "query_id bigint, vec_id bigint, score double")
+    keys = ("d", "i", "j")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, "query_id bigint, vec_id bigint, score double")
     return ranked(found, top, "double")

@@ -9,19 +9,17 @@ from pyspark.sql import functions as F
 
 
 def usable_vectors(df: DataFrame, id_column: str, vector_column: str, kind: str, zero_allowed: bool) -> DataFrame:
-    """(id, v): one row per id, components as `kind`.
+    """(id, v): components as `kind`.  Repeated ids give a row each.
 
-    Left out: null ids, null vectors, vectors with null or non-finite components, zero vectors unless
-    allowed, and vectors of another length than most.  Of several vectors of one id the least counts.
+    Left out: null ids, null and empty vectors, vectors with null or non-finite components, and zero vectors
+    unless allowed.  Other columns are not read.
     """
     v = f"`{vector_column}`"
     asked = f"`{id_column}` IS NOT NULL AND {v} IS NOT NULL AND size({v}) > 0"
     asked += f" AND forall({v}, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
     if not zero_allowed:
         asked += f" AND exists({v}, x -> x <> 0)"
-    rows = df.where(asked).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.expr(kind.format(v=v)).alias("v"))
-    most = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").limit(1).select("n").collect()
-    return rows.where(F.size("v") == (most[0]["n"] if most else 0)).groupBy("id").agg(F.min("v").alias("v"))
+    return df.where(asked).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.expr(kind.format(v=v)).alias("v"))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

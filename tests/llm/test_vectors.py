@@ -23,12 +23,13 @@ def odd_rows(size=16):
 
 
 def nearest(ids, scores_of, queries, top):
-    out = []
+    """Several queries of one id are answered as one."""
+    found = {}
     for q in queries:
         scores = scores_of(q)
         order = [k for k in np.lexsort((ids, -scores)) if ids[k] != ids[q]][:top]
-        out += [(int(ids[q]), rank + 1, int(ids[k]), scores[k]) for rank, k in enumerate(order)]
-    return sorted(out)
+        found.setdefault(int(ids[q]), []).extend((-scores[k], int(ids[k])) for k in order)
+    return sorted((q, rank + 1, key, -less) for q, own in found.items() for rank, (less, key) in enumerate(sorted(own)[:top]))
 
 
 @pytest.mark.parametrize("spread", [False, True])
@@ -39,8 +40,9 @@ def test_exact_search_equals_brute_force(frame, spread):
     x[402] = -x[403]
     rows = [(k, v.tolist(), 0) for k, v in enumerate(x)]
     df = frame(rows + odd_rows() + rows[:50], SCHEMA)
-    whole = np.floor(256 * x.astype(np.float64)).astype(np.int64)
-    expected = nearest(np.arange(len(x)), lambda q: whole @ whole[q], range(0, len(x), 20), 5)
+    ids = np.r_[np.arange(len(x)), np.arange(50)]
+    whole = np.floor(256 * x.astype(np.float64)).astype(np.int64)[ids]
+    expected = nearest(ids, lambda q: whole @ whole[q], np.flatnonzero(ids % 20 == 0), 5)
     got = norm_topk.search(df, df.where("vec_id % 20 = 0"), block=64, query_block=16, seeds=40)
     assert sorted(map(tuple, got.collect())) == expected
 
@@ -84,6 +86,28 @@ def test_few_rows_and_other_names(frame):
     assert [r["vec_id"] for r in norm_topk.search(zeros, zeros.where("id = 1"), "id", "v").orderBy("rank").collect()] == [0, 2, 3, 4, 5]
 
 
+@pytest.mark.parametrize("search", [permutation_index.search, norm_topk.search])
+def test_rows_of_one_id_and_vectors_of_several_lengths(frame, search):
+    rows = [(0, [1.0, 0.0], 0), (1, [0.5, 0.0], 0), (1, [0.9, 0.0], 0), (1, [0.9, 0.0], 0), (2, [0.25, 0.0], 0)]
+    # More rows of another length than of this one, and a query among them.
+    rows += [(k, [1.0, 1.0, k / 64], 0) for k in range(20, 40)]
+    df = frame(rows, SCHEMA)
+    got = search(df, df.where("vec_id % 20 = 0")).orderBy("query_id", "rank").collect()
+    one = 256 * 256 if search is norm_topk.search else 1.0
+    assert [(r["vec_id"], round(r["score"] / one, 2)) for r in got if r["query_id"] == 0] == [(1, 0.9), (1, 0.9), (1, 0.5), (2, 0.25)]
+    assert [r["vec_id"] for r in got if r["query_id"] == 20][:3] == [39, 38, 37]
+
+
+def test_default_parameters_reach_the_recall_on_full_blocks(frame):
+    """Two full blocks of the default size."""
+    x = vectors(8192, 64, seed=2)
+    df = frame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+    got = permutation_index.search(df, df.where("vec_id % 20 = 0")).collect()
+    wide = x.astype(np.float64)
+    expected = nearest(np.arange(len(x)), lambda q: wide @ wide[q], range(0, len(x), 20), 20)
+    assert len({(r[0], r[2]) for r in got} & {(r[0], r[2]) for r in expected}) >= 0.9 * len(expected)
+
+
 def test_coordinates_lose_no_match():
     x, q = vectors(4000, 8, seed=3).astype(float), vectors(1, 8, seed=9)[0].astype(float)
     q /= np.linalg.norm(q)
