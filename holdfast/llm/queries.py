@@ -162,7 +162,7 @@ ORACLE_SQL = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM scored QUALIFY rank <= 5""",
     "op6_url_filters": r"""
-        WITH cut AS (
+        WITH RECURSIVE cut AS (
             SELECT row_number() OVER () AS r, page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END, '') AS rest FROM pages
         ), split AS (
             SELECT r, page_id, rest,
@@ -183,30 +183,31 @@ ORACLE_SQL = {
                 UNION ALL
                 SELECT r, 'q:' || regexp_replace(x, '[0-9]+', '#', 'g') FROM (
                     SELECT r, string_split(unnest(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&')), '=')[1] AS x FROM split) WHERE x <> '')
-        ), sets AS MATERIALIZED (
-            SELECT r, t AS a, NULL AS b, NULL AS c, t AS name, 1 AS n FROM tokens
+        ), kinds AS MATERIALIZED (
+            SELECT ts, row_number() OVER () AS kind, rs FROM (
+                SELECT ts, list(r) AS rs FROM (SELECT r, list(t ORDER BY t) AS ts FROM tokens GROUP BY r) GROUP BY ts)
+        ), sets(kind, name, last, n) AS (
+            SELECT kind, '', 0, 0 FROM kinds
             UNION ALL
-            SELECT r, x.t, y.t, NULL, x.t || ' ' || y.t, 2 FROM tokens x JOIN tokens y USING (r) WHERE x.t < y.t
-            UNION ALL
-            SELECT r, x.t, y.t, z.t, x.t || ' ' || y.t || ' ' || z.t, 3 FROM tokens x JOIN tokens y USING (r) JOIN tokens z USING (r) WHERE x.t < y.t AND y.t < z.t
-        ), seen AS (
-            SELECT name, any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, any_value(n) AS n, count(*) AS k FROM sets JOIN ruled USING (r) GROUP BY name
-        ), both_seen AS (
-            SELECT name, v, count(*) AS k FROM sets JOIN ruled USING (r) GROUP BY name, v
+            SELECT kind, name || CASE WHEN n > 0 THEN ' ' ELSE '' END || ts[i], i, n + 1
+            FROM (SELECT sets.*, ts, unnest(range(last + 1, len(ts) + 1)) AS i FROM sets JOIN kinds USING (kind))
+        ), members AS (SELECT kind, unnest(rs) AS r FROM kinds
+        ), seen AS MATERIALIZED (
+            SELECT name, any_value(n) AS n, v, count(*) AS k FROM sets JOIN members USING (kind) JOIN ruled USING (r) WHERE n > 0 GROUP BY name, v
         ), mined AS MATERIALIZED (
-            SELECT name, a, b, c, n, v, CAST(both_seen.k AS DOUBLE) / seen.k AS confidence, both_seen.k AS support
-            FROM seen JOIN both_seen USING (name)
-            WHERE both_seen.k >= ceil(0.002 * (SELECT count(*) FROM ruled)) AND CAST(both_seen.k AS DOUBLE) / seen.k >= 0.8
+            SELECT name, n, v, CAST(k AS DOUBLE) / sum(k) OVER (PARTITION BY name) AS confidence, k AS support FROM seen
+        ), sure AS MATERIALIZED (
+            SELECT *, string_split(name, ' ') AS ts FROM mined
+            WHERE support >= ceil(0.002 * (SELECT count(*) FROM ruled)) AND confidence >= 0.8
         ), kept AS (
-            SELECT * FROM mined l WHERE NOT EXISTS (
-                SELECT 1 FROM mined s WHERE s.v = l.v AND s.n < l.n AND s.confidence >= l.confidence
-                    AND s.a IN (l.a, l.b, l.c) AND (s.b IS NULL OR s.b IN (l.a, l.b, l.c)))
+            SELECT * FROM sure l WHERE NOT EXISTS (
+                SELECT 1 FROM sure s WHERE s.v = l.v AND s.n < l.n AND s.confidence >= l.confidence AND list_has_all(l.ts, s.ts))
         ), best AS (
-            SELECT r, max({'confidence': confidence, 'support': support, 'n': kept.n, 'name': name, 'v': kept.v}) AS m FROM sets JOIN kept USING (name) GROUP BY r
-        )
+            SELECT kind, max({'confidence': confidence, 'support': support, 'n': kept.n, 'name': name, 'v': kept.v}) AS m FROM sets JOIN kept USING (name) GROUP BY kind
+        ), answered AS (SELECT r, m FROM best JOIN members USING (kind))
         SELECT page_id, host, path, rule, coalesce(ruled.v, m.v, 'allow') AS verdict,
                CASE WHEN rule IS NULL THEN m.name END AS mined, CASE WHEN rule IS NULL THEN m.confidence END AS confidence
-        FROM split LEFT JOIN ruled USING (r) LEFT JOIN best USING (r)""",
+        FROM split LEFT JOIN ruled USING (r) LEFT JOIN answered USING (r)""",
     "op11_spelling_variants": r"""
         WITH RECURSIVE checks(b, k, c) AS (
             SELECT range, 0, range FROM range(256)

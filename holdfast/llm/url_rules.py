@@ -3,8 +3,11 @@
 URLs are sets of tokens (labels of the host, segments of the path, names in the query).  The URLs that
 a given rule judges are the labelled examples.  Spark's FP-growth finds frequent combinations of
 tokens and verdict; combinations that predict a verdict with enough confidence and support become
-rules, those that say no more than a part of themselves are dropped.  Each is posted under one of its
+rules, those that say no more than a part of themselves are dropped.  Each is posted under the rarest of its
 tokens in an inverted index, and a URL is compared only with the rules that its tokens lead to.
+
+Rules may have any number of tokens.  Tokens that come in exactly the same labelled URLs are mined as one:
+a rule with two of them says no more than with one, so they only take each other's place.
 """
 
 from __future__ import annotations
@@ -20,7 +23,6 @@ from .arrays import stored
 
 SUPPORT = 0.002
 CONFIDENCE = 0.8
-MOST_TOKENS = 3
 DEFAULT = "allow"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,18 +80,35 @@ def given_rule(rules: tuple[Rule, ...]) -> Column:
     return found
 
 
-def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE, most: int = MOST_TOKENS) -> DataFrame:
-    """(tokens, verdict, confidence, support, key): association rules from rows of (tokens, verdict).
+def _twins(kinds: DataFrame, least: float) -> DataFrame:
+    """(token, leader): tokens of at least so many labelled rows; those of exactly the same URLs have one leader.
+
+    `kinds` has a row (tokens, rows) per distinct set of tokens.  Sets of URLs are compared by two sums of hashes.
+    """
+    each = kinds.select(F.explode("tokens").alias("token"), "rows", F.xxhash64("tokens").alias("h1"), F.xxhash64(F.lit(1), "tokens").alias("h2"))
+    found = each.groupBy("token").agg(F.sum("rows").alias("rows"), F.bit_xor("h1").alias("h1"), F.sum(F.col("h2").cast("decimal(38,0)")).alias("h2"))
+    found = found.where(F.col("rows") >= least).groupBy("rows", "h1", "h2").agg(F.collect_list("token").alias("twins"))
+    return found.select(F.explode("twins").alias("token"), F.array_min("twins").alias("leader"))
+
+
+def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
+    """(tokens, verdict, confidence, support): association rules from rows of (tokens, verdict).
 
-    A rule has at most `most` tokens.  It is dropped if a rule of fewer tokens, all its own, gives the
-    same verdict at least as surely.  key is the token under which it is posted.  No rows: no rules.
+    A rule is dropped if a rule of fewer tokens, all its own, gives the same verdict at least as surely.
+    No rows: no rules.
     """
     root = workspace(labelled.sparkSession)
-    baskets = stored(labelled.select(F.concat("tokens", F.array(F.concat(F.lit("="), "verdict"))).alias("items")), "baskets", root)
+    kinds = stored(labelled.groupBy("tokens", "verdict").agg(F.count("*").alias("rows")), "labelled-kinds", root)
+    total = kinds.agg(F.sum("rows")).first()[0] or 0
+    twins = stored(_twins(kinds.groupBy("tokens").agg(F.sum("rows").alias("rows")), support * total), "twins", root)
+    leaders = kinds.select("tokens", F.explode("tokens").alias("token")).distinct().join(twins, "token").groupBy("tokens").agg(F.collect_set("leader").alias("leaders"))
+    # A URL of rare tokens only still counts among the rows that support is a share of.
+    items = F.concat(F.coalesce("leaders", F.array().cast("array<string>")), F.array(F.concat(F.lit("="), "verdict")))
+    baskets = stored(labelled.join(leaders, "tokens", "left").select(items.alias("items")), "baskets", root)
     found = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets).associationRules
     rules = found.select(
         F.array_sort("antecedent").alias("tokens"), F.col("consequent")[0].alias("verdict"), "confidence", "support"
-    ).where(F.col("verdict").startswith("=") & (F.size("tokens") <= most) & ~F.exists("tokens", lambda t: t.startswith("=")))
+    ).where(F.col("verdict").startswith("=") & ~F.exists("tokens", lambda t: t.startswith("=")))
     rules = stored(rules.withColumn("verdict", F.substring("verdict", 2, 1_000_000)), "rules", root)
     longer, shorter = rules.withColumn("key", F.explode("tokens")).alias("l"), rules.withColumn("key", F.col("tokens")[0]).alias("s")
     told = (
@@ -98,7 +117,18 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
         .select("l.tokens", "l.verdict")
         .distinct()
     )
-    return stored(rules.join(told, ["tokens", "verdict"], "left_anti").withColumn("key", F.array_max("tokens")), "kept", root)
+    kept = stored(rules.join(told, ["tokens", "verdict"], "left_anti").withColumn("rule", F.col("tokens")), "kept", root)
+    # Every leader stands for any one of its twins.
+    places = kept.select("rule", "verdict", F.posexplode("rule").alias("place", "leader"))
+    choices = places.join(twins, "leader").groupBy("rule", "verdict", "place").agg(F.collect_list("token").alias("choices"))
+    choices = choices.groupBy("rule", "verdict").agg(F.array_sort(F.collect_list(F.struct("place", "choices"))).alias("places"))
+    spread = F.aggregate(
+        "places",
+        F.array(F.array().cast("array<string>")),
+        lambda so_far, place: F.flatten(F.transform(place["choices"], lambda token: F.transform(so_far, lambda tokens: F.concat(tokens, F.array(token))))),
+    )
+    spelled = choices.select("rule", "verdict", F.explode(spread).alias("spelled"))
+    return stored(kept.drop("tokens").join(spelled, ["rule", "verdict"]).select(F.array_sort("spelled").alias("tokens"), "verdict", "confidence", "support"), "spelled", root)
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "page_id", url_column: str = "url", support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
@@ -116,24 +146,39 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, id_column: str = "p
     mined = mine(rows.where("given IS NOT NULL").select("tokens", F.col("given.verdict").alias("verdict")), support, confidence)
 
     # URLs of the same tokens get the same answer, so a common host or URL is matched once.
-    kinds = stored(rows.where("given IS NULL").select("tokens").distinct(), "kinds", root)
+    unjudged = rows.where("given IS NULL")
+    kinds = stored(unjudged.select("tokens").distinct(), "kinds", root)
+    posted = kinds.select("tokens", F.explode("tokens").alias("key"))
+    # A rule is posted under the token that the fewest of these have; a rule with a token that none has fits none.
+    often = posted.groupBy("key").agg(F.count("*").alias("kinds"))
+    keys = mined.withColumn("key", F.explode("tokens")).join(often, "key", "left")
+    keys = keys.groupBy("tokens", "verdict", "confidence", "support").agg(F.min(F.struct(F.coalesce("kinds", F.lit(0)).alias("kinds"), "key")).alias("rarest"))
+    rules_by_key = keys.withColumn("key", F.col("rarest.key")).where("rarest.kinds > 0").drop("rarest")
     order = F.struct(F.col("confidence"), F.col("support"), F.size("m.tokens").alias("n"), F.array_join("m.tokens", " ").alias("name"), F.col("verdict"))
     matched = (
-        kinds.select("tokens", F.explode("tokens").alias("key"))
-        .alias("k")
-        .join(mined.alias("m"), "key")
+        posted.alias("k")
+        .join(rules_by_key.alias("m"), "key")
         .where(F.size(F.array_except("m.tokens", "k.tokens")) == 0)
         .groupBy("k.tokens")
         .agg(F.max(order).alias("best"))
     )
     matched = stored(matched, "matched", root)
-    own = rows.join(matched, "tokens", "left").withColumn("best", F.when(F.col("given").isNull(), F.col("best")))
-    return own.select(
+    found = unjudged.join(matched, "tokens", "left").select(
         "page_id",
         "host",
         "path",
-        F.col("given.name").alias("rule"),
-        F.coalesce("given.verdict", "best.verdict", F.lit(DEFAULT)).alias("verdict"),
+        F.lit(None).cast("string").alias("rule"),
+        F.coalesce("best.verdict", F.lit(DEFAULT)).alias("verdict"),
         F.col("best.name").alias("mined"),
         F.col("best.confidence").alias("confidence"),
     )
+    judged = rows.where("given IS NOT NULL").select(
+        "page_id",
+        "host",
+        "path",
+        F.col("given.name").alias("rule"),
+        F.col("given.verdict").alias("verdict"),
+        F.lit(None).cast("string").alias("mined"),
+        F.lit(None).cast("double").alias("confidence"),
+    )
+    return judged.unionByName(found)

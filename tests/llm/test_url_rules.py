@@ -41,3 +41,26 @@ def test_empty_tables_and_other_columns(frame):
     df = frame([("p", "http://x.org/a", 1, 2)], "page_id string, url string, host int, rule int")
     assert [(r["page_id"], r["host"], r["rule"]) for r in judge(df).collect()] == [("p", "x.org", "org/")]
     assert [r["verdict"] for r in judge(frame([(1, None)], SCHEMA)).collect()] == ["allow"]
+
+
+def test_a_rule_may_need_four_tokens(frame):
+    """Only all four together mean block; every three of them come in allowed URLs as often."""
+    parts = ["aa", "bb", "cc", "dd"]
+    rows = [(k, f"http://x{k}.com/de/{'/'.join(parts)}") for k in range(30)]
+    for left_out in parts:
+        rows += [(1000 + len(rows) + k, f"http://y{k}.org/{'/'.join(p for p in parts if p != left_out)}") for k in range(30)]
+    rows += [(1, f"http://z.net/{'/'.join(parts)}"), (2, "http://z.net/aa/bb/cc")]
+    got = [(r["page_id"], r["verdict"], r["mined"], r["confidence"]) for r in judge(frame(rows, SCHEMA), support=0.01).where("host = 'z.net'").collect()]
+    assert sorted(got)[0] == (1, "block", "p:aa p:bb p:cc p:dd", 1.0)
+    assert sorted(got)[1][1] == "allow"
+
+
+def test_tokens_that_always_come_together_take_each_others_place(frame):
+    """A long URL that comes again and again: one rule per token, and no more."""
+    long = "/".join(f"s{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))
+    rows = [([f"p:{x}" for x in long.split("/")], "block")] * 40 + [(["p:other"], "allow")] * 10
+    found = mine(frame(rows, "tokens array<string>, verdict string"), 0.1, 0.8).collect()
+    assert sorted(r["tokens"] for r in found) == sorted([[f"p:{x}"] for x in long.split("/")] + [["p:other"]])
+    urls = [(k, f"http://x{k}.com/de/{long}") for k in range(30)] + [(100, "http://z.net/saa/other"), (101, "http://z.net/shc")]
+    got = by_id(judge(frame(urls, SCHEMA)))
+    assert got[100]["mined"] == "p:saa" and got[101]["mined"] == "p:shc" and got[101]["verdict"] == "block"
