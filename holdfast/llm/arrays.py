@@ -119,6 +119,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return SpanHasher(data)(starts, ends), places
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, with as many underscores before it as it takes to be none of the columns, whatever their case."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Write a table to the shared folder and go on from its files."""
     path = f"{root or workspace(df.sparkSession)}/{name}"

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import SLICE_BYTES, mix, slices, text_bytes, word_spans
+from .arrays import SLICE_BYTES, mix, slices, text_bytes, unused, word_spans
 
 BUCKETS = 1 << 16
 GRAM = 4
@@ -169,10 +170,11 @@ def predict(
     """
     added = ("lang_pred", "score", "languages")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # As plain values: workers need no class of this package.
+    held = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
-        model = held.value
+        model = SimpleNamespace(**held.value)
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
             texts = batch.column(0).to_pylist()
@@ -197,7 +199,8 @@ def predict(
             )
 
     kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    texts = docs.select(F.col(f"`{text_column}`").cast("string").alias("_text"), *(F.col(f"`{c}`") for c in keep))
+    # Batches come by place, so the text's name must only differ from those kept.
+    texts = docs.select(F.col(f"`{text_column}`").cast("string").alias(unused("text", keep)), *(F.col(f"`{c}`") for c in keep))
     return texts.mapInArrow(run, f"{kinds}lang_pred string, score double, languages array<struct<lang: string, share: double>>")
 
 

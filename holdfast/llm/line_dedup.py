@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from .arrays import BASE, mix, stored
+from .arrays import BASE, mix, stored, unused
 
 MIN_DOCUMENTS = 5
 MIN_CHARS = 40
@@ -242,6 +242,6 @@ def dedup_lines(
     own_id = F.col(f"d.`{id_column}`").cast("bigint")
     own_tag = F.when(own_id.isNull(), F.xxhash64(F.col(f"d.`{text_column}`"))).otherwise(F.lit(0))
     known = docs.alias("d").join(drops.alias("e"), own_id.eqNullSafe(F.col("e.id")) & (own_tag == F.col("e.tag")), "left")
-    return known.select("d.*", F.col("e.drops").alias("_drops")).mapInArrow(
+    return known.select("d.*", F.col("e.drops").alias(unused("drops", names))).mapInArrow(
         lambda batches: _rewritten(batches, id_at, text_at, len(names), min_chars, None), schema
     )

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import workspace
-from .arrays import mix, slices, stored, text_bytes, word_hashes
+from .arrays import mix, slices, stored, text_bytes, unused, word_hashes
 from .components import connected_components
 
 WORDS = 5
@@ -450,20 +450,21 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     found = classes(docs, id_column, text_column, words, percent)
     first = found.where("key.n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"))
-    first = stored(first.select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key")), "first-of-class")
+    first_id, first_key, own_key = (unused(name, docs.columns) for name in ("first_id", "first_key", "own_key"))
+    first = stored(first.select(F.col("first.doc_id").alias(first_id), F.col("first.key").alias(first_key)), "first-of-class")
     text_at = docs.columns.index(text_column)
 
     def keyed(batches):
         for batch in batches:
             sets = [(fingerprint(x), len(x)) for x in shingle_sets(batch.column(text_at), words)]
             key = pa.StructArray.from_arrays([pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int32())], names=["fp", "n"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, "_own"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, key], names=[*batch.schema.names, own_key])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    rows = docs.mapInArrow(keyed, f"{schema}, _own {KEY}")
+    rows = docs.mapInArrow(keyed, f"{schema}, `{own_key}` {KEY}")
     own = F.col(f"`{id_column}`").cast("bigint")
-    kept = rows.where("_own.n > 0").join(first, own.eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key")), "left_semi")
-    return kept.dropDuplicates([id_column, "_own"]).unionByName(rows.where("_own.n = 0")).drop("_own")
+    kept = rows.where(f"`{own_key}`.n > 0").join(first, own.eqNullSafe(F.col(first_id)) & (F.col(own_key) == F.col(first_key)), "left_semi")
+    return kept.dropDuplicates([id_column, own_key]).unionByName(rows.where(f"`{own_key}`.n = 0")).drop(own_key)
 
 
 def classes(

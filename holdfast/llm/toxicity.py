@@ -5,13 +5,18 @@ Features are the presence of words and word beginnings, hashed, and the rate of
 toxicity.  The labels are 0 or 1; grades order the toxic ones by that rate (thirds of the labelled
 toxic documents), so grade 0 is clean, 1 mild and 3 severe.
 
-The model is fitted on a sample of labelled documents of bounded size (`sample_rows`, chosen by a
-hash of the id).  Every document is then scored where it is read; no text is shuffled.
+The model is fitted on a sample of bounded size (`sample_rows`) of the labelled documents that there
+are: toxic ones first, up to half of it, then clean ones, each chosen by a hash of the id.  The thresholds
+are moved by the logarithm of how much more often toxic ones were taken, which undoes that choice.
+Every document is then scored where it is read; no text is shuffled.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
+from functools import reduce
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -65,11 +70,12 @@ class Model:
     rate_weight: float
     thresholds: np.ndarray
 
-    def table(self) -> np.ndarray:
-        """For every bucket the number of its feature, or -1."""
-        out = np.full(self.buckets + 1, -1, np.int32)
-        out[self.chosen] = np.arange(len(self.chosen), dtype=np.int32)
-        return out
+
+def feature_table(buckets: int, chosen: np.ndarray) -> np.ndarray:
+    """For every bucket the number of its feature, or -1."""
+    out = np.full(buckets + 1, -1, np.int32)
+    out[chosen] = np.arange(len(chosen), dtype=np.int32)
+    return out
 
 
 def _encode(data, offsets, table, signs, buckets) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -135,16 +141,26 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, rates: np.ndarray, grades
 def fit(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", sample_rows: int = SAMPLE_ROWS, buckets: int = BUCKETS
 ) -> Model | None:
-    """A model from at most `sample_rows` labelled documents; None without both kinds of label.
+    """A model from at most `sample_rows` labelled documents of `docs`; None, with a warning, where fewer than
+    MIN_COUNT of either kind are labelled, as nothing could be learned.
 
-    An id with several labels counts as toxic if one says so.  Null labels and ids are left out.
-    The most that reaches the driver is one row per bucket and one per sampled document.
+    An id with several labels counts as toxic if one says so.  Null labels and ids are left out, and so are labels
+    of other documents.  The most that reaches the driver is one row per bucket and one per sampled document.
     """
     root = workspace(docs.sparkSession)
-    wanted = labels.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{label_column}`").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
-    wanted = wanted.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     texts = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    # Broadcast is bounded by the limit above.
+    known = labels.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{label_column}`").cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
+    known = known.groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic")).join(texts.select("id"), "id", "left_semi")
+    known = stored(known, "labelled", root)
+    there = {row["toxic"]: row["n"] for row in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    all_clean, all_bad = there.get(0, 0), there.get(1, 0)
+    if min(all_clean, all_bad) < MIN_COUNT:
+        warnings.warn(f"toxicity: {all_bad} toxic and {all_clean} clean documents are labelled, too few to learn from; nothing will be rejected")
+        return None
+    bad = min(all_bad, max(sample_rows // 2, sample_rows - all_clean))
+    clean = min(all_clean, sample_rows - bad)
+    wanted = reduce(DataFrame.union, [known.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(n) for kind, n in ((0, clean), (1, bad))])
+    # Broadcast is bounded by the limits above.
     sample = stored(texts.join(F.broadcast(wanted), "id").select("id", "text", "toxic").dropDuplicates(["id"]), "sample", root)
 
     def counted(batches):
@@ -164,10 +180,6 @@ def fit(
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(seen[used]), pa.array(toxic[used])], names=["bucket", "seen", "toxic"])
 
-    totals = {bool(row["kind"]): row["n"] for row in sample.groupBy((F.col("toxic") > 0).alias("kind")).agg(F.count("*").alias("n")).collect()}
-    clean, bad = totals.get(False, 0), totals.get(True, 0)
-    if not clean or not bad:
-        return None
     counts = sample.select("text", "toxic").mapInArrow(counted, "bucket bigint, seen bigint, toxic bigint")
     counts = counts.groupBy("bucket").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic")).where(F.col("seen") >= MIN_COUNT).toPandas()
     seen, hits = counts["seen"].to_numpy(float), counts["toxic"].to_numpy(float)
@@ -186,19 +198,21 @@ def fit(
     grades = (encoded["toxic"].to_numpy() > 0).astype(np.int64)
     edges = np.quantile(rates[grades > 0], np.arange(1, GRADES - 1) / (GRADES - 1))
     grades[grades > 0] += np.searchsorted(edges, rates[grades > 0], side="left")
-    model.weights, model.rate_weight, model.thresholds = fit_ordinal(rows, columns, rates, grades, len(chosen))
+    model.weights, model.rate_weight, thresholds = fit_ordinal(rows, columns, rates, grades, len(chosen))
+    model.thresholds = thresholds + np.log((bad / all_bad) / (clean / all_clean))
     return model
 
 
 def _scan(docs: DataFrame, model: Model, others: list[str] | None) -> DataFrame:
     """Features of (id, text, toxic) rows, or with `others` the scores of (..., text) rows without the text."""
     training = others is None
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    # As plain arrays: workers need no class of this package.
+    held = docs.sparkSession.sparkContext.broadcast(vars(model))
     text_at = docs.columns.index("text")
 
     def run(batches):
-        model = held.value
-        table = model.table()
+        model = SimpleNamespace(**held.value)
+        table = feature_table(model.buckets, model.chosen)
         for batch in batches:
             data, offsets = text_bytes(batch.column(text_at))
             n = batch.num_rows
@@ -245,12 +259,12 @@ def without_toxic(docs: DataFrame, model: Model | None, text_column: str = "text
     """The rows of `docs` that are not rejected, all columns as they are."""
     if model is None:
         return docs
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(vars(model))
     text_at = docs.columns.index(text_column)
 
     def run(batches):
-        model = held.value
-        table = model.table()
+        model = SimpleNamespace(**held.value)
+        table = feature_table(model.buckets, model.chosen)
         for batch in batches:
             data, offsets = text_bytes(batch.column(text_at))
             keep = np.ones(batch.num_rows, bool)

@@ -1,5 +1,10 @@
 """Toxicity and languages: accuracy on rows that taught nothing, and odd rows."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +140,63 @@ def test_no_language_learned(frame):
 def test_registered_severity_has_a_row_per_document(spark, tables):
     small = "/root/testdata/sf0.001"
     assert op4_toxicity(spark, small).count() == spark.read.parquet(f"{small}/documents.parquet").count()
+
+
+def test_labels_of_other_documents_take_no_place_in_the_sample(spark, prose):
+    """200 documents, half toxic, among labels of 30,000 others: the clean ones stay."""
+    rows = [(n, prose(30) + (" badword nastyword" * 4 if n % 2 else "")) for n in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    own = spark.createDataFrame([(n, n % 2) for n in range(200)], "doc_id bigint, toxic int")
+    others = spark.range(1000, 31_000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    model = toxicity.fit(docs, own.union(others), sample_rows=1000)
+    kept = {r["doc_id"] for r in toxicity.without_toxic(docs, model).collect()}
+    assert kept == {n for n in range(200) if n % 2 == 0}
+
+
+def test_rare_toxic_documents_fill_the_sample_first(spark, prose):
+    rows = [(n, prose(25) + (" badword nastyword" * 4 if n % 100 == 0 else "")) for n in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(n, int(n % 100 == 0)) for n in range(2000)], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels, sample_rows=100)
+    scores = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, model).collect()}
+    assert {n for n, r in scores.items() if r["rejected"]} == {n for n in range(2000) if n % 100 == 0}
+    # Half of the sample is toxic, a hundredth of the documents: probabilities are of the documents.
+    clean = [r["p_toxic"] for n, r in scores.items() if n % 100]
+    assert sum(clean) / len(clean) < 0.05
+
+
+def test_too_few_labels_reject_nothing_and_say_so(spark, prose):
+    docs = spark.createDataFrame([(n, prose(20)) for n in range(30)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, int(n < 2)) for n in range(30)], "doc_id bigint, toxic int")
+    with pytest.warns(UserWarning, match="2 toxic and 28 clean"):
+        assert toxicity.fit(docs, labels) is None
+
+
+def test_names_of_columns_are_free(spark, prose):
+    rows = [(n, prose(20), "en" if n % 2 else "de", 1, 2.0) for n in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, _text int, text_ double")
+    found = languages.predict(docs, languages.learn(docs))
+    assert found.columns[:5] == docs.columns and found.count() == 12
+
+
+ALONE = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+sys.path.insert(0, sys.argv[1])
+from holdfast.llm import languages, toxicity
+rows = [(n, "good words of all kinds" + (" badword nastyword" * 4 if n % 2 else " and others"), "en", n % 2) for n in range(60)]
+docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, toxic int").repartition(2)
+model = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+kept = toxicity.without_toxic(docs, model)
+print("FOUND", kept.count(), toxicity.score_toxicity(docs, model).where("rejected").count(), languages.predict(kept, languages.learn(docs)).where("lang_pred = 'en'").count())
+spark.stop()
+"""
+
+
+def test_workers_need_no_package(tmp_path):
+    """The package is on the driver's path only, as on a cluster where nothing was shipped."""
+    root = str(Path(__file__).parents[2])
+    env = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", ALONE, root], capture_output=True, text=True, cwd=tmp_path, env=env, timeout=300)
+    assert "FOUND 30 30 30" in said.stdout, said.stderr[-3000:]
