@@ -23,7 +23,7 @@ from .arrays import stored
 from .vectors import matrix, ranked, usable_vectors
 
 PIVOTS = 128
-POSTED = 32
+POSTED = 64
 CANDIDATES = 768
 BLOCK = 4096
 QUERY_BLOCK = 2048
