@@ -11,7 +11,7 @@ Steps, each linear in what it reads:
 
 1. count shingles in a sketch of fixed size, and name each distinct set by a hash of its content;
    equal sets are one class from here on;
-2. post prefixes by shingle; the first document of every posting list is its hub.  Whatever two
+2. post prefixes by shingle; the least set of every posting list is its hub.  Whatever two
    documents share, they meet in the group of that shingle's hub;
 3. compare each document with its hubs; components of those links settle most groups;
 4. where a group still spans several components, compare it in blocks of bounded size, leaving out
@@ -164,8 +164,7 @@ def _posted(words: int, percent: int, sketch):
         seen = set()
         for batch in batches:
             parts: list[tuple] = []
-            docs = batch.column(0)
-            for row, shingles in enumerate(shingle_sets(batch.column(1), words)):
+            for shingles in shingle_sets(batch.column(0), words):
                 n = len(shingles)
                 fp = fingerprint(shingles)
                 if not n or fp in seen:
@@ -176,7 +175,7 @@ def _posted(words: int, percent: int, sketch):
                 need = least_overlap(n, percent)
                 extra = choose_extra(n, need, np.maximum(frequency[order] - floor, 1.0))
                 taken = shingles[order[: n - need + extra]]
-                parts.append((taken.view(np.int64), docs[row].as_py(), fp, n, extra))
+                parts.append((taken.view(np.int64), fp, n, extra))
                 if sum(len(p[0]) for p in parts[-64:]) > 1 << 20 or len(parts) >= 2000:
                     yield _rows(parts)
                     parts = []
@@ -185,28 +184,26 @@ def _posted(words: int, percent: int, sketch):
 
     def _rows(parts):
         lengths = [len(p[0]) for p in parts]
-        docs = pa.array([p[1] for p in parts], pa.int64()).take(pa.array(np.repeat(np.arange(len(parts)), lengths)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([p[0] for p in parts])),
-                docs,
-                pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), lengths)),
+                pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), lengths)),
+                pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
                 pa.array(np.repeat(np.array([p[3] for p in parts], np.int32), lengths)),
-                pa.array(np.repeat(np.array([p[4] for p in parts], np.int32), lengths)),
             ],
-            names=["token", "doc_id", "fp", "n", "extra"],
+            names=["token", "fp", "n", "extra"],
         )
 
     return run
 
 
 def _hubs(batches):
-    """Task over postings sorted by token and doc_id: each document of a shared token, with the token's hub."""
+    """Task over postings sorted by token and set: each set of a shared token, with the token's hub."""
     last_token, last_fp, last_n, last_extra = None, 0, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        token, fp, n, extra = (batch.column(k).to_numpy() for k in (0, 2, 3, 4))
+        token, fp, n, extra = (batch.column(k).to_numpy() for k in range(4))
         starts = np.ones(len(token), bool)
         starts[1:] = token[1:] != token[:-1]
         carried = last_token is not None and token[0] == last_token
@@ -432,7 +429,8 @@ def near_duplicates(
     * Repeated rows, also of one doc_id, each give a row.  Empty table: no rows.
     * Only the two named columns are read; others may have any name.
 
-    Texts are read three times and never shuffled.  What is broadcast has the fixed sizes `sketch`
+    Texts are read three times and never shuffled.  Tables of sets and prefixes grow with the corpus and are
+    never broadcast, so plans are alike at every size.  What is broadcast has the fixed sizes `sketch`
     (counters, a multiple of 2^14) and `bitmap` (bits).  Sets are told apart by a 64-bit hash together with their size.
     """
     found = classes(docs, id_column, text_column, words, percent, block, sketch, bitmap)
@@ -486,10 +484,10 @@ def classes(
     rows = counted.where("part IS NULL").select("doc_id", F.struct("fp", "n").alias("key"))
     counts = _sketch(counted, sketch)
 
-    posted = docs.mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, doc_id bigint, fp bigint, n int, extra int")
+    posted = docs.select("text").mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, fp bigint, n int, extra int")
     met = (
         posted.repartition("token")
-        .sortWithinPartitions("token", F.col("doc_id").asc_nulls_last(), "fp")
+        .sortWithinPartitions("token", "fp", "n")
         .mapInArrow(_hubs, f"key {KEY}, extra int, token bigint, hub {KEY}")
     )
     sets = stored(
@@ -505,7 +503,7 @@ def classes(
     stars = stored(
         joined.where("key != hub")
         .withColumnsRenamed({"extra": "key_extra", "prefix": "key_prefix"})
-        .join(hubs, "hub")
+        .join(hubs.hint("merge"), "hub")
         .withColumn("shared", F.size(F.array_intersect("tokens", "hub_tokens")))
         .where(_could_link(percent, F.col("shared"), "key", "hub"))
         .select("key", "hub"),
@@ -543,8 +541,8 @@ def classes(
 
     shared = F.size(F.array_intersect("sh", "hub_sh"))
     first = (
-        stars.join(shingles, "key")
-        .join(shingles.select(F.col("key").alias("hub"), F.col("sh").alias("hub_sh")), "hub")
+        stars.join(shingles.hint("merge"), "key")
+        .join(shingles.select(F.col("key").alias("hub"), F.col("sh").alias("hub_sh")).hint("merge"), "hub")
         .withColumn("shared", shared)
         .where(F.col("shared") * 100 >= (F.col("key.n") + F.col("hub.n") - F.col("shared")) * percent)
         .select(F.col("key").alias("a"), F.col("hub").alias("b"))
@@ -562,10 +560,10 @@ def classes(
         members.groupBy("hub").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most").select("hub"), "open", root
     )
     members = stored(members.join(open_groups, "hub", "left_semi"), "open-members", root)
-    live = flags(members.select("hub", "key", "root", "main").join(sets.select("key", "tokens", "extra", "prefix"), "key"), "open").distinct()
+    live = flags(members.select("hub", "key", "root", "main").join(sets.select("key", "tokens", "extra", "prefix").hint("merge"), "key"), "open").distinct()
     live = stored(members.select("hub", "key", "root", "main").join(live, ["hub", "key"], "left_semi"), "live", root)
     second = (
-        in_groups(live.join(shingles, "key"), "live-groups")
+        in_groups(live.join(shingles.hint("merge"), "key"), "live-groups")
         .groupBy("hub_fp", "hub_n", "i", "j")
         .applyInArrow(_join_blocks(percent), "fp_a bigint, n_a int, fp_b bigint, n_b int")
         .select(_key("fp_a", "n_a").alias("a"), _key("fp_b", "n_b").alias("b"))

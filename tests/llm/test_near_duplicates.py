@@ -121,3 +121,20 @@ def test_components(spark):
     assert len(roots) == found.count() == 44
     assert {roots[i] for i in range(41)} == {0} and roots[300] == 100
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_one_shingle_in_every_documents_prefix(frame, prose):
+    """Short documents that all begin alike: one posting list holds them all."""
+    dice = random.Random(9)
+    rows = [(n, "all of these begin alike " + prose(dice.randrange(0, 4))) for n in range(400)]
+    rows += [(400 + n, rows[n][1] + (" x" if n % 2 else "")) for n in range(100)]
+    assert collected(near_duplicates(frame(rows))) == sorted(brute_force(rows), key=order)
+
+
+def test_one_of_each_takes_any_column_names(frame, prose):
+    text = prose(60)
+    rows = [(3, text, 1, "a", 2.0, None), (1, text, 2, "b", 1.0, 5), (2, "", 3, "c", 0.0, 6), (4, prose(60), 4, None, 0.0, 7)]
+    docs = frame(rows, "doc_id bigint, text string, _id int, _key string, _own double, first_id int")
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(tuple(r) for r in kept.select("doc_id", "_id").collect()) == [(1, 2), (2, 3), (4, 4)]
