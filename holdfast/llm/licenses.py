@@ -2,13 +2,13 @@
 
 1. Cues (words that every template has one of) mark candidate places; a text without a cue never
    leaves the JVM.  A block is a window around cues, wide enough for the longest template.
-2. A template is tried where the block has enough of its words, in any order, to be a notice; the
-   block may hold every template.
-3. Each block is compressed with Zstandard alone and with these templates as raw dictionary.  What a
-   template saves, as a share of its own compressed size, is its gain.  It says how much of it the block
-   repeats that nothing else in the block does: beside alike notices it may be 0 or less, so it drops none.
-4. All are confirmed by exact wording: the template's longest common run of words with the block
+2. Each block is compressed with Zstandard alone and with every template, whose words it could hold, as raw
+   dictionary.  What a template saves, as a share of what it saves on itself, is its gain; templates are ranked by
+   the bytes that they save, and those of next to no gain are no candidates.
+3. Candidates are confirmed by exact wording: the template's longest common run of words with the block
    anchors it, and the words missing, added or changed around the anchor are counted.
+4. Confirmed stretches are taken out and the rest of the block is compressed again, until no template gains and
+   is confirmed.  So a notice beside alike ones, which says nothing new while they are there, gains once they are gone.
 """
 
 from __future__ import annotations
@@ -80,6 +80,7 @@ TEMPLATES = (
 CUES = ("licen", "copyright", "rights reserved", "public domain", "permission")
 
 LEVEL = 9
+LEAST_GAIN = 0.1
 COVERAGE = 0.85
 WINDOW = 4096
 WORD = re.compile(r"[^\W_]+(?:[.'-][^\W_]+)*")
@@ -152,26 +153,61 @@ def differences(template: list[str], block: list[str]) -> list[tuple[int, int, i
     return out
 
 
+def ranked_by_gain(words: list[str], templates: list[Template], plain: zstandard.ZstdCompressor) -> list[tuple[float, Template]]:
+    """(gain, template) of the templates that save enough on these words, most bytes first."""
+    counts = Counter(words)
+    held = [t for t in templates if (t.counts & counts).total() >= COVERAGE * len(t.words)]
+    if not held:
+        return []
+    body = " ".join(words).encode("utf-8", "replace")
+    alone = len(plain.compress(body))
+    saved = [(alone - len(t.compressor.compress(body)), t) for t in held]
+    gains = [(bytes_saved, bytes_saved / t.own_size, t) for bytes_saved, t in saved]
+    return [(gain, t) for _, gain, t in sorted(gains, key=lambda g: (-g[0], g[2].number)) if gain >= LEAST_GAIN]
+
+
+def notices(words: list[str], templates: list[Template], plain: zstandard.ZstdCompressor) -> list[tuple[int, int, int, int, int, float, Template]]:
+    """(first word, last word, matched, missing, added, gain, template) of a block, by rounds of compression."""
+    out, open_parts = [], [(0, len(words))]
+    while open_parts:
+        left = [word for low, high in open_parts for word in words[low:high]]
+        places = [
+            (low + first, low + last, matched, missing, added, gain, template)
+            for gain, template in ranked_by_gain(left, templates, plain)
+            for low, high in open_parts
+            for first, last, matched, missing, added in differences(template.words, words[low:high])
+        ]
+        taken: list[tuple] = []
+        # Of overlapping ones the one with most words, then that of the closest wording, then of the better rank.
+        for place in sorted(places, key=lambda p: (-p[2], p[3] + p[4])):
+            if all(place[1] <= other[0] or place[0] >= other[1] for other in taken):
+                taken.append(place)
+        if not taken:
+            break
+        out += taken
+        cuts = sorted((place[0], place[1]) for place in taken)
+        parts = []
+        for low, high in open_parts:
+            for first, last in (cut for cut in cuts if low <= cut[0] and cut[1] <= high):
+                parts.append((low, first))
+                low = last
+            parts.append((low, high))
+        open_parts = [(low, high) for low, high in parts if high > low]
+    return out
+
+
 def scan_text(text: str, templates: list[Template], cues: re.Pattern, plain: zstandard.ZstdCompressor, reach: int) -> list[dict]:
     """The licence notices of one text, by place; of overlapping ones the one with most words stays."""
     found: dict[tuple[int, int, int], dict] = {}
     for low, high in blocks(text, cues, reach):
         spans = [(m.start() + low, m.end() + low) for m in WORD.finditer(text[low:high])]
         words = [text[a:b].lower() for a, b in spans]
-        counts = Counter(words)
-        held = [t for t in templates if (t.counts & counts).total() >= COVERAGE * len(t.words)]
-        if not held:
-            continue
-        body = " ".join(words).encode("utf-8", "replace")
-        alone = len(plain.compress(body))
-        for template in held:
-            gain = (alone - len(template.compressor.compress(body))) / template.own_size
-            for first, last, matched, missing, added in differences(template.words, words):
-                row = {"license": template.name, "template": template.number, "begin": spans[first][0], "end": spans[last - 1][1]}
-                row |= {"matched_words": matched, "missing_words": missing, "added_words": added, "gain": round(gain, 6)}
-                at = (template.number, row["begin"], row["end"])
-                if at not in found or found[at]["gain"] < row["gain"]:
-                    found[at] = row
+        for first, last, matched, missing, added, gain, template in notices(words, templates, plain):
+            row = {"license": template.name, "template": template.number, "begin": spans[first][0], "end": spans[last - 1][1]}
+            row |= {"matched_words": matched, "missing_words": missing, "added_words": added, "gain": round(gain, 6)}
+            at = (template.number, row["begin"], row["end"])
+            if at not in found or found[at]["gain"] < row["gain"]:
+                found[at] = row
     taken: list[dict] = []
     for row in sorted(found.values(), key=lambda r: (-r["matched_words"], r["missing_words"] + r["added_words"], r["begin"], r["template"])):
         if all(row["end"] <= other["begin"] or row["begin"] >= other["end"] for other in taken):

@@ -1,6 +1,10 @@
+import random
+import re
+
 import pytest
 
-from holdfast.llm.licenses import TEMPLATES, find_licenses
+from holdfast.llm import licenses
+from holdfast.llm.licenses import CUES, TEMPLATES, WORD, differences, find_licenses, prepare, scan_text
 
 MIT = next(text for name, text in TEMPLATES if name == "MIT" and len(text) > 100)
 APACHE = next(text for name, text in TEMPLATES if name == "Apache-2.0" and len(text) > 100)
@@ -52,3 +56,53 @@ def test_empty_table_columns_and_templates(frame):
     assert found(frame([(1, "You must smile, says our licence.")]), templates=(("Smile", "You must smile, says our licence."),)) == [(1, "Smile", 0, 0)]
     with pytest.raises(ValueError):
         find_licenses(df, templates=(("None", "no word to find it by"),))
+
+
+class Nothing:
+    """A compressor to which all texts are alike."""
+
+    def compress(self, body):
+        return b"always as long"
+
+
+def scanned(text, constant=False):
+    ready, plain = prepare(TEMPLATES), licenses.zstandard.ZstdCompressor(level=licenses.LEVEL, write_content_size=False, write_checksum=False)
+    if constant:
+        plain = Nothing()
+        for template in ready:
+            template.compressor = plain
+    reach = max(len(text) for _, text in TEMPLATES) * 5 // 4
+    found = scan_text(text, ready, re.compile("(?i)" + "|".join(CUES)), plain, reach)
+    return [(r["template"], r["begin"], r["end"], r["missing_words"], r["added_words"]) for r in found]
+
+
+def by_wording_alone(text):
+    """Every template against all words of the text, without cues, blocks or compression."""
+    spans = [(m.start(), m.end()) for m in WORD.finditer(text)]
+    words = [text[a:b].lower() for a, b in spans]
+    places = [(t.number, *place) for t in prepare(TEMPLATES) for place in differences(t.words, words)]
+    taken = []
+    for place in sorted(places, key=lambda p: (-p[3], p[4] + p[5], p[1], p[0])):
+        if all(place[2] <= other[1] or place[1] >= other[2] for other in taken):
+            taken.append(place)
+    return sorted(((n, spans[first][0], spans[last - 1][1], missing, added) for n, first, last, _, missing, added in taken), key=lambda r: r[1])
+
+
+def test_rounds_of_compression_find_what_wording_alone_finds(prose):
+    dice, count = random.Random(6), 0
+    for _ in range(60):
+        parts = []
+        for _ in range(dice.randrange(1, 6)):
+            words = dice.choice(TEMPLATES)[1].split()
+            if len(words) > 12 and dice.random() < 0.5:
+                words[dice.randrange(4, len(words) - 4)] = "otherwise"
+            parts += [prose(dice.randrange(0, 60)), " ".join(words)]
+        text = "\n".join(parts)
+        assert scanned(text) == by_wording_alone(text)
+        count += len(scanned(text))
+    assert count > 100
+
+
+def test_a_constant_compressor_finds_nothing():
+    text = " and ".join(text for _, text in TEMPLATES)
+    assert len(scanned(text)) == len(TEMPLATES) and scanned(text, constant=True) == []
