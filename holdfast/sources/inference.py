@@ -25,44 +25,43 @@ def schema_report(spark: SparkSession, source: str, path: str) -> DataFrame:
     return spark.createDataFrame(rows, REPORT)
 
 
-def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: the columns of every Parquet file named, from its footer alone."""
-    from pyarrow import fs, parquet
-    from pyspark.errors import PySparkException
-    from pyspark.sql.pandas.types import from_arrow_type
-
-    names = ["source", "column_name", "type", "nullable", "order_id"]
-    for batch in batches:
-        for path in batch.column(0).to_pylist():
-            # Listings write local files with one slash.
-            system, place = fs.FileSystem.from_uri(f"file://{path[5:]}" if path.startswith("file:/") and not path.startswith("file://") else path)
-            found = parquet.read_schema(place, filesystem=system)
-            written = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
-            if written:
-                fields = [(f.name, f.dataType.simpleString(), f.nullable) for f in T.StructType.fromJson(json.loads(written)).fields]
-            else:
-                fields = []
-                for f in found:
-                    try:
-                        kind = from_arrow_type(f.type, prefer_timestamp_ntz=True).simpleString()
-                    except PySparkException:
-                        # A type that Spark has no name for keeps its own.
-                        kind = str(f.type)
-                    fields.append((f.name, kind, f.nullable))
-            columns = [pa.array([path] * len(fields), pa.string()), *(pa.array([f[k] for f in fields], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.bool_())))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(range(len(fields)), pa.int32())], names=names)
-
-
 def schema_by_file(spark: SparkSession, path: str) -> DataFrame:
     """One row per Parquet file below a path and column of it; `source` is the file.
 
     Files are listed by a scan that opens none of them, and footers are read where the list is
     processed, so many files are many tasks and no file is read whole.
     """
+    # Inside, so that it is sent to the workers whole and they need no module of this package.
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
+        from pyspark.errors import PySparkException
+        from pyspark.sql.pandas.types import from_arrow_type
+
+        names = ["source", "column_name", "type", "nullable", "order_id"]
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                # Listings write local files with one slash.
+                system, place = fs.FileSystem.from_uri(f"file://{path[5:]}" if path.startswith("file:/") and not path.startswith("file://") else path)
+                found = parquet.read_schema(place, filesystem=system)
+                written = (found.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+                if written:
+                    fields = [(f.name, f.dataType.simpleString(), f.nullable) for f in T.StructType.fromJson(json.loads(written)).fields]
+                else:
+                    fields = []
+                    for f in found:
+                        try:
+                            kind = from_arrow_type(f.type, prefer_timestamp_ntz=True).simpleString()
+                        except PySparkException:
+                            # A type that Spark has no name for keeps its own.
+                            kind = str(f.type)
+                        fields.append((f.name, kind, f.nullable))
+                columns = [pa.array([path] * len(fields), pa.string()), *(pa.array([f[k] for f in fields], kind) for k, kind in enumerate((pa.string(), pa.string(), pa.bool_())))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(range(len(fields)), pa.int32())], names=names)
+
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path).select("path")
     )
-    return files.mapInArrow(_footers, REPORT)
+    return files.mapInArrow(footers, REPORT)
 
 
 def merged_report(by_file: DataFrame, source: str) -> DataFrame:

@@ -244,3 +244,27 @@ def test_unloads_by_batch_can_be_replayed(spark, tmp_path, rows):
         back = S.scan_csv(spark, f"{root}/out", batch(1).schema)
         assert rows(back, "transaction_date", "name") == sorted((D[d], f"r{d}") for d in (1, 1, 2, 2, 3, 1))
         assert S.pending_days(batch(1, 2, 3, 4), ledger.read()).first().transaction_date == D[4]
+
+
+ALONE = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+sys.path.insert(0, sys.argv[1])
+from holdfast import sources as S
+print("FOUND", *sorted(row["column_name"] for row in S.schema_by_file(spark, sys.argv[2]).collect()))
+spark.stop()
+"""
+
+
+def test_footers_are_read_where_the_package_is_not(tmp_path):
+    """The package is on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    env = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
+    asked = [sys.executable, "-c", ALONE, str(Path(__file__).parents[1]), "/root/testdata/sf0.001/region.parquet"]
+    said = subprocess.run(asked, capture_output=True, text=True, cwd=tmp_path, env=env, timeout=300)
+    assert "FOUND r_name r_regionkey" in said.stdout or "FOUND r_comment" in said.stdout, said.stderr[-2000:]
