@@ -11,7 +11,7 @@ Steps, each linear in what it reads:
 
 1. count shingles in a sketch of fixed size, and name each distinct set by a hash of its content;
    equal sets are one class from here on;
-2. post prefixes by shingle; the least set of every posting list is its hub.  Whatever two
+2. post prefixes by shingle; the first document of every posting list is its hub.  Whatever two
    documents share, they meet in the group of that shingle's hub;
 3. compare each document with its hubs; components of those links settle most groups;
 4. where a group still spans several components, compare it in blocks of bounded size, leaving out
@@ -164,7 +164,8 @@ def _posted(words: int, percent: int, sketch):
         seen = set()
         for batch in batches:
             parts: list[tuple] = []
-            for shingles in shingle_sets(batch.column(0), words):
+            docs = batch.column(0)
+            for row, shingles in enumerate(shingle_sets(batch.column(1), words)):
                 n = len(shingles)
                 fp = fingerprint(shingles)
                 if not n or fp in seen:
@@ -175,7 +176,7 @@ def _posted(words: int, percent: int, sketch):
                 need = least_overlap(n, percent)
                 extra = choose_extra(n, need, np.maximum(frequency[order] - floor, 1.0))
                 taken = shingles[order[: n - need + extra]]
-                parts.append((taken.view(np.int64), fp, n, extra))
+                parts.append((taken.view(np.int64), docs[row].as_py(), fp, n, extra))
                 if sum(len(p[0]) for p in parts[-64:]) > 1 << 20 or len(parts) >= 2000:
                     yield _rows(parts)
                     parts = []
@@ -184,26 +185,28 @@ def _posted(words: int, percent: int, sketch):
 
     def _rows(parts):
         lengths = [len(p[0]) for p in parts]
+        docs = pa.array([p[1] for p in parts], pa.int64()).take(pa.array(np.repeat(np.arange(len(parts)), lengths)))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate([p[0] for p in parts])),
-                pa.array(np.repeat(np.array([p[1] for p in parts], np.int64), lengths)),
-                pa.array(np.repeat(np.array([p[2] for p in parts], np.int32), lengths)),
+                docs,
+                pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), lengths)),
                 pa.array(np.repeat(np.array([p[3] for p in parts], np.int32), lengths)),
+                pa.array(np.repeat(np.array([p[4] for p in parts], np.int32), lengths)),
             ],
-            names=["token", "fp", "n", "extra"],
+            names=["token", "doc_id", "fp", "n", "extra"],
         )
 
     return run
 
 
 def _hubs(batches):
-    """Task over postings sorted by token and set: each set of a shared token, with the token's hub."""
+    """Task over postings sorted by token and doc_id: each document of a shared token, with the token's hub."""
     last_token, last_fp, last_n, last_extra = None, 0, 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        token, fp, n, extra = (batch.column(k).to_numpy() for k in range(4))
+        token, fp, n, extra = (batch.column(k).to_numpy() for k in (0, 2, 3, 4))
         starts = np.ones(len(token), bool)
         starts[1:] = token[1:] != token[:-1]
         carried = last_token is not None and token[0] == last_token
@@ -484,10 +487,11 @@ def classes(
     rows = counted.where("part IS NULL").select("doc_id", F.struct("fp", "n").alias("key"))
     counts = _sketch(counted, sketch)
 
-    posted = docs.select("text").mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, fp bigint, n int, extra int")
+    # The first document comes first, as copies are mostly made of earlier ones: it is like more of its group than others.
+    posted = docs.mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, doc_id bigint, fp bigint, n int, extra int")
     met = (
         posted.repartition("token")
-        .sortWithinPartitions("token", "fp", "n")
+        .sortWithinPartitions("token", F.col("doc_id").asc_nulls_last(), "fp")
         .mapInArrow(_hubs, f"key {KEY}, extra int, token bigint, hub {KEY}")
     )
     sets = stored(
