@@ -10,8 +10,9 @@ def asof_prices(probes: DataFrame, prices: DataFrame) -> DataFrame:
     `probes` has columns ticker and as_of, `prices` has ticker, price_date and
     close_price.  `latest_price` is NULL where no price is old enough.
 
-    Prices and probes are stacked and reduced to one row per ticker and day, in one
-    aggregate that combines before the shuffle.  The last price is then carried
+    Prices and probes are stacked, dealt by ticker and day and reduced to one row for
+    each.  Most days of a ticker come once or twice, so combining before the shuffle would
+    fill a task's memory with its input and save nothing.  The last price is then carried
     forward along the days of each ticker: one sort, no pairs of rows.  A ticker's
     window holds at most one row per calendar day, however often the ticker is
     traded.  Several closes on one day count as the greatest of them.
@@ -30,6 +31,7 @@ def asof_prices(probes: DataFrame, prices: DataFrame) -> DataFrame:
     )
     days = (
         closes.unionByName(asked)
+        .repartition("ticker", "as_of")
         .groupBy("ticker", "as_of")
         .agg(
             F.max("close_price").alias("close_price"),

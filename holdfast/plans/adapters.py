@@ -49,30 +49,31 @@ def _trades(lines: DataFrame, account: str, ticker: str) -> DataFrame:
     )
 
 
-def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+
+
+def _order_lines(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
     )
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
-    )
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def trades_flat(spark: SparkSession, folder: str) -> DataFrame:
     """Trades with parts as tickers and order priorities as accounts."""
-    return _trades(_order_lines(spark, folder), "o_orderpriority", "l_partkey")
+    return _trades(_order_lines(spark, folder, _orders(spark, folder)), "o_orderpriority", "l_partkey")
 
 
 def brand_trades(spark: SparkSession, folder: str) -> DataFrame:
-    """Trades with brands as tickers and market segments as accounts, enriched."""
+    """Trades with brands as tickers and market segments as accounts, enriched.
+
+    Orders, not their many lines, are shuffled to meet the customers.
+    """
     parts = table(spark, folder, "part").select("p_partkey", "p_brand")
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-    lines = (
-        _order_lines(spark, folder)
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    )
+    orders = _orders(spark, folder).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    lines = _order_lines(spark, folder, orders).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return enrich_trades(_trades(lines, "c_mktsegment", "p_brand"))
 
 
@@ -127,13 +128,19 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_prices(spark: SparkSession, folder: str) -> DataFrame:
-    """Closing price per part and shipping day: the greatest price seen."""
+    """Closing price per part and shipping day: the greatest price seen.
+
+    A part is seldom shipped twice on a day, so lines are dealt before they are combined.
+    """
     return (
         _priced(table(spark, folder, "lineitem"))
-        .groupBy(
+        .select(
             F.col("l_partkey").cast("string").alias("ticker"),
             F.col("l_shipdate").cast("date").alias("price_date"),
+            "trade_price",
         )
+        .repartition("ticker", "price_date")
+        .groupBy("ticker", "price_date")
         .agg(F.max("trade_price").alias("close_price"))
     )
 

@@ -200,9 +200,12 @@ def snapshot_totals(dates: DataFrame, positions: DataFrame, prices: DataFrame) -
     )
 
 
-def write_snapshot(snapshot: DataFrame, path: str, at: dt.datetime) -> DataFrame:
-    """Store snapshots by date, with the time they were made; a date that is made again replaces its old rows."""
-    return write_table(stamped(snapshot, "processed_timestamp", at), path, "overwrite", ("snapshot_date",))
+def write_snapshot(snapshot: DataFrame, path: str, at: dt.datetime, few_days: bool = False) -> DataFrame:
+    """Store snapshots by date, with the time they were made; a date that is made again replaces its old rows.
+
+    With `few_days`, such as year ends, rows are written by the tasks that make them and are not shuffled again.
+    """
+    return write_table(stamped(snapshot, "processed_timestamp", at), path, "overwrite", ("snapshot_date",), few_days)
 
 
 def latest_cash(cash: DataFrame) -> DataFrame:

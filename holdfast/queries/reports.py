@@ -98,10 +98,13 @@ def merge_positions(spark: SparkSession, folder: str) -> DataFrame:
     return plain(O.merge_positions(state, trades.where(~early), as_of).drop("last_updated"))
 
 
-def _snapshot_inputs(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, DataFrame]:
-    positions = stored(spark, A.positions(spark, folder), "positions", root)
-    cash = stored(spark, A.daily(spark, folder), "cash", root)
-    return positions, cash
+def _snapshot_inputs(spark: SparkSession, folder: str, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Positions, cash and the year ends, of trades that are joined once."""
+    trades = stored(spark, A.brand_trades(spark, folder).drop("shares", "trade_price"), "trades", root)
+    deposits = A.cash_deposits(spark, folder)
+    positions = stored(spark, O.merge_positions(A.no_positions(spark), trades, A.AS_OF), "positions", root)
+    cash = stored(spark, C.daily_cash(C.cash_detail(deposits, trades)), "cash", root)
+    return positions, cash, A.year_ends(A.feed_days(trades, deposits))
 
 
 def _feed_days(spark: SparkSession, folder: str) -> DataFrame:
@@ -116,8 +119,7 @@ def snapshot_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 def portfolio_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """Year-end statements of all accounts; `snapshot_totals` has all days."""
-    positions, cash = _snapshot_inputs(spark, folder, workspace(spark))
-    dates = A.year_ends(_feed_days(spark, folder))
+    positions, cash, dates = _snapshot_inputs(spark, folder, workspace(spark))
     return plain(
         H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
     )
@@ -126,10 +128,9 @@ def portfolio_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 def current_holdings(spark: SparkSession, folder: str) -> DataFrame:
     """Holdings after the year-end snapshots have been stored."""
     root = workspace(spark)
-    positions, cash = _snapshot_inputs(spark, folder, root)
-    dates = A.year_ends(_feed_days(spark, folder))
+    positions, cash, dates = _snapshot_inputs(spark, folder, root)
     snapshot = H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
-    history = H.write_snapshot(snapshot, f"{root}/history", A.AS_OF)
+    history = H.write_snapshot(snapshot, f"{root}/history", A.AS_OF, few_days=True)
     return plain(H.current_holdings(history, cash, A.AS_OF), times=("last_refreshed",))
 
 
@@ -146,7 +147,7 @@ def processed_times(spark: SparkSession, folder: str) -> DataFrame:
     cash = stored(spark, C.daily_cash(detail), "cash", root)
     dates = A.year_ends(A.feed_days(trades, detail))
     snapshot = H.portfolio_snapshot(dates, positions, A.brand_prices(spark, folder), cash)
-    history = H.write_snapshot(snapshot, f"{root}/history", A.AS_OF)
+    history = H.write_snapshot(snapshot, f"{root}/history", A.AS_OF, few_days=True)
     current = stored(spark, H.current_holdings(history, cash, A.AS_OF), "current", root)
     made = {
         "trades": (trades, at),

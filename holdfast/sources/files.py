@@ -1,6 +1,7 @@
 """Scans and plain writes."""
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,10 @@ CSV_WRITE_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
 
+# Files that a task holds open at a time, and the bytes that each gathers before they go out.
+FEW = 16
+FEW_BLOCK = 16 << 20
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a folder of tables."""
@@ -97,22 +102,39 @@ def file_inventory(spark: SparkSession, path: str, prefixes: Mapping[str, str])
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "errorifexists", partition_by: tuple[str, ...] = ()
+    df: DataFrame, path: str, mode: str = "errorifexists", partition_by: tuple[str, ...] = (), few: bool = False
 ) -> DataFrame:
     """Create-table-as or append, then a fresh scan of what was written.
 
     Partitioned writes ask for a rebalance: small partitions are merged, and a
-    partition with too much data is split over several tasks.
+    partition with too much data is split over several tasks.  Where the caller says that the
+    partitions are `few`, every task writes its own rows of each, and no row is shuffled or sorted.
     """
-    if partition_by:
+    if partition_by and not few:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    if few:
+        with _open_files(df.sparkSession):
+            writer.option("parquet.block.size", FEW_BLOCK).parquet(path)
+    else:
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    """Let a task keep a file open per partition; beyond `FEW` of them Spark sorts the rest of its rows."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, FEW)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def create_from_schema(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
     """An empty table with a given, usually inferred, layout."""
     return write_table(spark.createDataFrame([], schema), path)

@@ -294,3 +294,18 @@ def test_weekly_schedule(spark):
         (17, Decimal("-40.00"), "Withdrawal"), (24, Decimal("-40.00"), "Withdrawal"),
         (31, Decimal("-40.00"), "Withdrawal"),
     ]
+
+
+def test_few_days_are_written_without_a_shuffle_or_sort(spark, tmp_path, rows):
+    frame = spark.range(40).selectExpr(
+        "CAST(IF(id % 5 = 4, NULL, DATE'2024-01-01' + CAST(id % 5 AS int)) AS date) AS snapshot_date", "id AS quantity"
+    )
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    plain = H.write_snapshot(frame, f"{tmp_path}/plain", NOW)
+    assert rows(H.write_snapshot(frame, f"{tmp_path}/few", NOW, few_days=True)) == rows(plain)
+    again = H.write_snapshot(frame.where("snapshot_date = DATE'2024-01-02'"), f"{tmp_path}/few", NOW, few_days=True)
+    assert rows(again) == rows(plain)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = sorted(str(file) for file in (tmp_path / "few").glob("snapshot_date=*/*.parquet"))
+    # Every task wrote its own rows; rebalanced ones would be gathered in one.
+    assert len({file.split("/")[-1].split("-")[1] for file in files}) > 1
