@@ -218,8 +218,8 @@ def _follow(spark: SparkSession, root: str, trades: str, deposits: str) -> Holdi
 
 
 def _two_drops(spark: SparkSession, folder: str, root: str) -> HoldingsHistory:
-    """A history after two drops of both feeds."""
-    traded = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames())
+    """A history after two drops of both feeds, of trades that are joined once."""
+    traded = write_table(A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames()), f"{root}/traded")
     early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
     for trades, deposits in zip((traded.where(early), traded.where(~early)), _deposit_drops(spark, folder), strict=True):
         trades.write.mode("append").parquet(f"{root}/trades")
@@ -311,9 +311,10 @@ def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     # Landing.
     raw = build_payload(A.payload_input(A.brand_trades(spark, folder)))
     text = raw.withColumn("transaction_payload", F.to_json("transaction_payload"))
-    text.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/landing/trades")
+    # Landed files are as many as the tasks that write them, so a compressed one need not be split.
+    text.write.options(**CSV_WRITE_OPTIONS, compression="gzip").csv(f"{root}/landing/trades")
     deposits = A.cash_deposits(spark, folder)
-    deposits.write.options(**CSV_WRITE_OPTIONS).csv(f"{root}/landing/deposits")
+    deposits.write.options(**CSV_WRITE_OPTIONS, compression="gzip").csv(f"{root}/landing/deposits")
     prices = write_table(A.brand_prices(spark, folder), f"{root}/prices")
 
     # Ingestion.
@@ -341,7 +342,7 @@ def holdings_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     history = _follow(spark, root, f"{root}/trades", f"{root}/raw/deposits")
     cash = write_table(history.cash.read(), f"{root}/cash")
     shown = I.holdings_on_days(I.newest_day(history.all_days()), history.intervals(), prices, cash)
-    shown = H.write_snapshot(shown, f"{root}/history", A.AS_OF)
+    shown = H.write_snapshot(shown, f"{root}/history", A.AS_OF, few_days=True)
     return plain(H.current_holdings(shown, cash, A.AS_OF), times=("last_refreshed",))
 
 

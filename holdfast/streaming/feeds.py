@@ -91,6 +91,7 @@ def auto_ingest(feed: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Append each landed file to a Parquet table exactly once, then stop."""
     return (
         feed.writeStream.format("parquet")
+        .option("compression", "zstd")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
