@@ -37,7 +37,8 @@ class BatchFolders:
     def write(self, df: DataFrame, batch_id: int, source: str = "feed") -> None:
         if self.partition_by:
             df = df.hint("rebalance", *self.partition_by)
-        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.folder(source, batch_id))
+        writer = df.write.mode("overwrite").option("compression", "zstd")
+        writer.partitionBy(*self.partition_by).parquet(self.folder(source, batch_id))
 
     def sources(self) -> list[str]:
         return [name.removeprefix("source=") for name in folder_names(self.spark, self.path)]
@@ -223,17 +224,27 @@ class ChangeTable:
         rows = rows.unionByName(self._copies().read_folders(folders))
         return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
 
-    def _newest(self, rows: DataFrame) -> DataFrame:
-        """(keys, newest, batch_id): the last word on every key, deletions included."""
-        others = [name for name in self.schema.fieldNames() if name not in self.keys]
-        newest = F.max_by(F.struct(*others, "deleted"), "batch_id").alias("newest")
+    def _told_once(self, limit: int, base_limit: int) -> bool:
+        """Whether `_rows` reads one batch or copies alone, which have a row per key."""
+        base, folders = self._base(base_limit)
+        return sum(base < n < limit for n in self._changes().batches()) + bool(folders) <= 1
+
+    def _newest(self, rows: DataFrame, told_once: bool = False) -> DataFrame:
+        """(keys, newest, batch_id): the last word on every key, deletions included.
+
+        Every column is picked by itself, as a struct would have to be sorted and not hashed.
+        """
+        others = [*(name for name in self.schema.fieldNames() if name not in self.keys), "deleted"]
+        if told_once:
+            return rows.select(*self.keys, F.struct(*others).alias("newest"), "batch_id")
+        newest = F.struct(*(F.max_by(name, "batch_id").alias(name) for name in others)).alias("newest")
         return rows.groupBy(*self.keys).agg(newest, F.max("batch_id").alias("batch_id"))
 
     def _columns(self) -> list[Column]:
         return [F.col(name) if name in self.keys else F.col(f"newest.{name}").alias(name) for name in self.schema.fieldNames()]
 
-    def _state(self, rows: DataFrame) -> DataFrame:
-        return self._newest(rows).where(~F.col("newest.deleted")).select(*self._columns())
+    def _state(self, rows: DataFrame, told_once: bool) -> DataFrame:
+        return self._newest(rows, told_once).where(~F.col("newest.deleted")).select(*self._columns())
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
         """The buckets that rows with these keys lie in: at most as many numbers as there are buckets."""
@@ -247,12 +258,15 @@ class ChangeTable:
         other rows of these are dropped.
         """
         limit = NOW if before is None else before
+        if not any(n < limit for n in self._changes().batches()):
+            return self.spark.createDataFrame([], self.schema)
         if only is None:
-            return self._state(self._rows(limit, limit, None))
+            return self._state(self._rows(limit, limit, None), self._told_once(limit, limit))
         rows = self._rows(limit, limit, self.buckets_of(only))
-        return self._state(rows.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi"))
+        return self._state(rows.join(only.select(*self.keys).distinct(), list(self.keys), "left_semi"), self._told_once(limit, limit))
 
     def apply(self, changes: DataFrame, batch_id: int) -> None:
+        """Write what a batch changes, with one row per key."""
         rows = changes.select(*self.schema.fieldNames(), "deleted", self.bucket().alias("bucket"))
         self._changes().write(rows, batch_id)
 
@@ -280,7 +294,8 @@ class ChangeTable:
         """
         limit = NOW if upto is None else upto + 1
         folders = self._changes()
-        last = self._newest(folders.read([("feed", n) for n in folders.batches() if after < n < limit]))
+        since = [("feed", n) for n in folders.batches() if after < n < limit]
+        last = self._newest(folders.read(since), len(since) <= 1)
         others = tuple(name for name in self.schema.fieldNames() if name not in self.keys)
         before = self.read(before=after + 1, only=last).select(*self.keys, F.struct(*others).alias("before"))
         now = F.when(~F.col("newest.deleted"), F.struct(*(F.col(f"newest.{name}").alias(name) for name in others)))

@@ -243,3 +243,17 @@ def test_sums_in_the_state_store_survive_a_restart(spark, tmp_path, rows):
     assert rows(target.read(), *columns) == rows(C.daily_cash(C.deposit_cash(deposits(spark, *everything))), *columns)
     # The second run wrote only the keys that it touched.
     assert target.changes(0, 1).where("metadata_image = 'after'").count() == 2
+
+
+def test_states_are_hashed_and_those_of_one_batch_not_even_shuffled(spark, tmp_path):
+    held = ChangeTable(spark, str(tmp_path / "held"), POSITIONS, POSITION_KEY, 4)
+    step = positions_step(held, NOW)
+    step(trades(spark, (1, "A", "Buy", 10, 100, 1), (None, "B", "Buy", 5, 50, 1)), 0)
+    one = held.read()
+    assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+    assert {(row.customer_id, int(row.current_shares)) for row in one.collect()} == {(1, 10), (None, 5)}
+    step(trades(spark, (1, "A", "Sell", 10, 1, 2), (2, "A", "Buy", 1, 9, 2)), 1)
+    two = held.read()
+    text = two._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "HashAggregate" in text
+    assert {(row.customer_id, int(row.current_shares)) for row in two.collect()} == {(None, 5), (2, 1)}
