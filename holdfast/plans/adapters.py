@@ -128,19 +128,13 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def part_prices(spark: SparkSession, folder: str) -> DataFrame:
-    """Closing price per part and shipping day: the greatest price seen.
-
-    A part is seldom shipped twice on a day, so lines are dealt before they are combined.
-    """
+    """Closing price per part and shipping day: the greatest price seen."""
     return (
         _priced(table(spark, folder, "lineitem"))
-        .select(
+        .groupBy(
             F.col("l_partkey").cast("string").alias("ticker"),
             F.col("l_shipdate").cast("date").alias("price_date"),
-            "trade_price",
         )
-        .repartition("ticker", "price_date")
-        .groupBy("ticker", "price_date")
         .agg(F.max("trade_price").alias("close_price"))
     )
 
