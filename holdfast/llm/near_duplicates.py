@@ -155,7 +155,10 @@ def choose_extra(n: int, need: int, frequencies: np.ndarray) -> int:
 
 
 def _posted(words: int, percent: int, sketch):
-    """Task: one row per distinct set and prefix shingle."""
+    """Task: one row per distinct set and prefix shingle.
+
+    Most of these rows are shuffled and then met by no other, so they are narrow: `size` is n with the place of extra in EXTRA as its last three bits.
+    """
 
     def run(batches):
         counts = sketch.value
@@ -176,7 +179,7 @@ def _posted(words: int, percent: int, sketch):
                 need = least_overlap(n, percent)
                 extra = choose_extra(n, need, np.maximum(frequency[order] - floor, 1.0))
                 taken = shingles[order[: n - need + extra]]
-                parts.append((taken.view(np.int64), docs[row].as_py(), fp, n, extra))
+                parts.append((taken.view(np.int64), docs[row].as_py(), fp, n << 3 | EXTRA.index(extra)))
                 if sum(len(p[0]) for p in parts[-64:]) > 1 << 20 or len(parts) >= 2000:
                     yield _rows(parts)
                     parts = []
@@ -192,9 +195,8 @@ def _posted(words: int, percent: int, sketch):
                 docs,
                 pa.array(np.repeat(np.array([p[2] for p in parts], np.int64), lengths)),
                 pa.array(np.repeat(np.array([p[3] for p in parts], np.int32), lengths)),
-                pa.array(np.repeat(np.array([p[4] for p in parts], np.int32), lengths)),
             ],
-            names=["token", "doc_id", "fp", "n", "extra"],
+            names=["token", "doc_id", "fp", "size"],
         )
 
     return run
@@ -206,7 +208,8 @@ def _hubs(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        token, fp, n, extra = (batch.column(k).to_numpy() for k in (0, 2, 3, 4))
+        token, fp, size = (batch.column(k).to_numpy() for k in (0, 2, 3))
+        n, extra = size >> 3, np.array(EXTRA)[size & 7]
         starts = np.ones(len(token), bool)
         starts[1:] = token[1:] != token[:-1]
         carried = last_token is not None and token[0] == last_token
@@ -369,7 +372,7 @@ def _block_pairs(members: DataFrame, mains: str, rests: str) -> DataFrame:
 
 
 def _needed_sets(docs: DataFrame, needed: DataFrame, words: int, bitmap: int, root: str) -> DataFrame:
-    """(key, sh): the shingles of each needed set, read from the texts again.
+    """(key, sh, is_hub): the shingles of each needed set, with its mark, read from the texts again.
 
     A bitmap of fixed size, set by the needed sets, keeps the others inside their task.
     """
@@ -409,7 +412,7 @@ def _needed_sets(docs: DataFrame, needed: DataFrame, words: int, bitmap: int, ro
         )
 
     texts = docs.select("text").mapInArrow(run, f"key {KEY}, sh array<bigint>")
-    return stored(texts.join(needed, "key", "left_semi").groupBy("key").agg(F.first("sh").alias("sh")), "sets", root)
+    return stored(texts.join(needed, "key").groupBy("key").agg(F.first("sh").alias("sh"), F.first("is_hub").alias("is_hub")), "sets", root)
 
 
 def near_duplicates(
@@ -486,7 +489,7 @@ def classes(
     rows = counted.where("part IS NULL").select("doc_id", F.struct("fp", "n").alias("key"))
     counts = _sketch(counted, sketch)
 
-    posted = docs.mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, doc_id bigint, fp bigint, n int, extra int")
+    posted = docs.mapInArrow(_posted(words, percent, spark.sparkContext.broadcast(counts)), "token bigint, doc_id bigint, fp bigint, size int")
     met = (
         posted.repartition("token")
         .sortWithinPartitions("token", F.col("doc_id").asc_nulls_last(), "fp")
@@ -538,13 +541,15 @@ def classes(
         return found.select(_key("hub_fp", "hub_n").alias("hub"), _key("fp", "n").alias("key"))
 
     flagged = stored(flags(joined.withColumn("main", F.lit(False)), "all").select("key").distinct(), "flagged", root)
-    needed = flagged.union(stars.select("key")).union(stars.select("hub")).distinct()
-    shingles = _needed_sets(docs, stored(needed, "needed", root), words, bitmap, root)
+    needed = flagged.union(stars.select("key")).withColumn("is_hub", F.lit(False)).union(stars.select("hub", F.lit(True)))
+    needed = needed.groupBy("key").agg(F.max("is_hub").alias("is_hub"))
+    marked = _needed_sets(docs, stored(needed, "needed", root), words, bitmap, root)
+    shingles = marked.select("key", "sh")
 
     shared = F.size(F.array_intersect("sh", "hub_sh"))
     first = (
         stars.join(shingles, "key")
-        .join(shingles.select(F.col("key").alias("hub"), F.col("sh").alias("hub_sh")), "hub")
+        .join(marked.where("is_hub").select(F.col("key").alias("hub"), F.col("sh").alias("hub_sh")), "hub")
         .withColumn("shared", shared)
         .where(F.col("shared") * 100 >= (F.col("key.n") + F.col("hub.n") - F.col("shared")) * percent)
         .select(F.col("key").alias("a"), F.col("hub").alias("b"))

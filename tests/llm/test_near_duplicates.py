@@ -3,9 +3,10 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from holdfast.llm.components import connected_components
-from holdfast.llm.near_duplicates import choose_extra, least_overlap, near_duplicates, one_of_each, overlaps
+from holdfast.llm.near_duplicates import EXTRA, _hubs, _needed_sets, _posted, choose_extra, least_overlap, near_duplicates, one_of_each, overlaps
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -138,3 +139,37 @@ def test_one_of_each_takes_any_column_names(frame, prose):
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
     assert sorted(tuple(r) for r in kept.select("doc_id", "_id").collect()) == [(1, 2), (2, 3), (4, 4)]
+
+
+class Sketch:
+    value = np.ones(1 << 14, np.uint32)
+
+
+def test_postings_are_narrow_and_keep_size_and_extra():
+    """Postings are most of what is shuffled: a shingle, two longs and an int."""
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (5, 40, 4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([3, None, 1], pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    posted = pa.Table.from_batches(_posted(5, 75, Sketch)([batch]))
+    assert [(f.name, str(f.type)) for f in posted.schema] == [("token", "int64"), ("doc_id", "int64"), ("fp", "int64"), ("size", "int32")]
+    found = {(row["doc_id"], row["size"] >> 3, EXTRA[row["size"] & 7]) for row in posted.to_pylist()}
+    assert {(doc, n) for doc, n, _ in found} == {(3, 1), (None, 36), (1, 3996)} and len(found) == 3
+
+    both = pa.RecordBatch.from_arrays(
+        [pa.array([7, 7, 7]), pa.array([1, 2, None], pa.int64()), pa.array([10, 20, 30]), pa.array([100 << 3 | 5, 90 << 3, 80 << 3 | 2], pa.int32())],
+        names=["token", "doc_id", "fp", "size"],
+    )
+    rows = pa.Table.from_batches(_hubs([both])).to_pylist()
+    assert {(r["key"]["fp"], r["key"]["n"], r["extra"], r["hub"]["fp"], r["hub"]["n"]) for r in rows} == {
+        (20, 90, EXTRA[0], 10, 100), (30, 80, EXTRA[2], 10, 100), (10, 100, EXTRA[5], 10, 100)
+    }
+
+
+def test_needed_sets_come_once_with_their_mark(spark, tmp_path):
+    """So that only the sets of hubs are sent to the join that wants hubs."""
+    docs = spark.createDataFrame([("a b c d e f",), ("a b c d e f",), ("g h i j k",), ("l m n o p",)], "text string").repartition(3)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["a b c d e f", "g h i j k", "l m n o p"])], names=["doc_id", "text"])
+    posted = pa.Table.from_batches(_posted(5, 75, Sketch)([batch])).to_pylist()
+    keys = {row["doc_id"]: (row["fp"], row["size"] >> 3) for row in posted}
+    needed = spark.createDataFrame([(keys[1], True), (keys[2], False)], "key struct<fp: bigint, n: int>, is_hub boolean")
+    found = _needed_sets(docs, needed, 5, 1 << 10, str(tmp_path)).collect()
+    assert sorted((tuple(r.key), len(r.sh), r.is_hub) for r in found) == sorted([(keys[1], 2, True), (keys[2], 1, False)])
