@@ -11,8 +11,9 @@ Steps, each linear in what it reads:
 
 1. count shingles in a sketch of fixed size, and name each distinct set by a hash of its content;
    equal sets are one class from here on;
-2. post prefixes by shingle; the first document of every posting list is its hub.  Whatever two
-   documents share, they meet in the group of that shingle's hub;
+2. post prefixes by shingle; lists are cut where sizes are too far apart to link, and the first
+   document of every piece is its hub.  Whatever two documents that could link share, they meet in
+   the group of that shingle's hub;
 3. compare each document with its hubs; components of those links settle most groups;
 4. where a group still spans several components, compare it in blocks of bounded size, leaving out
    what one component already joins.  Only links that join something new leave a task.
@@ -20,6 +21,7 @@ Steps, each linear in what it reads:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -112,6 +114,17 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint32)
 
 
+def _combined(batches):
+    """Task: its rows of every part of the sketch as one; all parts together have the size of the sketch."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            counts = _unpack(packed.as_py())
+            totals[part] = totals[part] + counts if part in totals else counts
+    for part, counts in totals.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([_pack(counts)], pa.binary())], names=["part", "counts"])
+
+
 def _added(rows: pa.Table) -> pa.Table:
     """One part of the sketch as the sum of several tasks' counts."""
     total = np.zeros(SKETCH_BLOCK, np.uint32)
@@ -121,8 +134,10 @@ def _added(rows: pa.Table) -> pa.Table:
 
 
 def _sketch(counted: DataFrame, sketch: int) -> np.ndarray:
-    """The sums of all tasks' counts, added up in two steps; of fixed size."""
-    parts = counted.where("part IS NOT NULL").select("part", "counts", F.pmod(F.xxhash64("counts"), F.lit(32)).alias("turn"))
+    """The sums of all tasks' counts, added up where they are read and then in two steps of about as many rows each; of fixed size."""
+    parts = counted.where("part IS NOT NULL").select("part", "counts")
+    turns = math.isqrt(max(parts.rdd.getNumPartitions() - 1, 0)) + 1
+    parts = parts.mapInArrow(_combined, "part int, counts binary").withColumn("turn", F.pmod(F.xxhash64("counts"), F.lit(turns)))
     parts = parts.groupBy("part", "turn").applyInArrow(_added, "part int, counts binary").groupBy("part").applyInArrow(_added, "part int, counts binary")
     out = np.zeros(sketch, np.uint32)
     for row in parts.collect():
@@ -202,32 +217,50 @@ def _posted(words: int, percent: int, sketch):
     return run
 
 
-def _hubs(batches):
-    """Task over postings sorted by token and doc_id: each document of a shared token, with the token's hub."""
-    last_token, last_fp, last_n, last_extra = None, 0, 0, 0
+def _hubs(batches, percent: int = PERCENT):
+    """Task over postings sorted by token and doc_id: each document of a shared token, with the token's hub.
+
+    A list that lies in one batch is cut where, by size, the next larger set is too large for the one before to link
+    with it; every piece has its first document as hub.  Sets that can link are never cut apart, and a piece of one set gives no rows.
+    """
+    last_token, last = None, (0, 0, 0)
     for batch in batches:
         if not batch.num_rows:
             continue
         token, fp, size = (batch.column(k).to_numpy() for k in (0, 2, 3))
-        n, extra = size >> 3, np.array(EXTRA)[size & 7]
-        starts = np.ones(len(token), bool)
-        starts[1:] = token[1:] != token[:-1]
+        n, extra = (size >> 3).astype(np.int64), np.array(EXTRA)[size & 7]
+        starts = np.ones(len(token) + 1, bool)
+        starts[1:-1] = token[1:] != token[:-1]
         carried = last_token is not None and token[0] == last_token
-        at = np.maximum.accumulate(np.where(starts, np.arange(len(token)), 0))
-        hub_fp, hub_n, hub_extra = fp[at], n[at], extra[at]
+        at = np.maximum.accumulate(np.where(starts[:-1], np.arange(len(token)), 0))
+        shared = ~(starts[:-1] & starts[1:])
+        shared[0] |= carried
+        rows = np.flatnonzero(shared)
+        hub = at[rows]
+        whole = (hub != at[-1]) & ~(carried & (hub == 0))
+        order = np.lexsort((n[rows], hub))
+        cut = np.ones(len(rows), bool)
+        cut[1:] = hub[order][1:] != hub[order][:-1]
+        cut[1:] |= whole[order][1:] & (n[rows][order][:-1] * 100 < n[rows][order][1:] * percent)
+        piece = np.empty(len(rows), np.int64)
+        piece[order] = np.cumsum(cut) - 1
+        _, first, piece = np.unique(piece, return_index=True, return_inverse=True)
+        hub = rows[first][piece]
+        hub_fp, hub_n, hub_extra = fp[hub], n[hub], extra[hub]
         if carried:
-            head = at == 0
-            hub_fp, hub_n, hub_extra = (np.where(head, old, new) for old, new in ((last_fp, hub_fp), (last_n, hub_n), (last_extra, hub_extra)))
-        member = np.flatnonzero((fp != hub_fp) | (n != hub_n))
-        last_token, last_fp, last_n, last_extra = token[-1], hub_fp[-1], hub_n[-1], hub_extra[-1]
+            hub_fp, hub_n, hub_extra = (np.where(at[rows] == 0, old, new) for old, new in zip(last, (hub_fp, hub_n, hub_extra)))
+        last_token = token[-1]
+        if not carried or at[-1]:
+            last = fp[at[-1]], n[at[-1]], extra[at[-1]]
+        member = np.flatnonzero((fp[rows] != hub_fp) | (n[rows] != hub_n))
         if not len(member):
             continue
-        first = member[np.r_[True, at[member][1:] != at[member][:-1]]]
+        first = member[np.unique(piece[member], return_index=True)[1]]
         key = lambda a, b: pa.StructArray.from_arrays([pa.array(a.astype(np.int64)), pa.array(b.astype(np.int32))], names=["fp", "n"])
-        own_fp, own_n, own_extra = (np.concatenate((x[member], y[first])) for x, y in ((fp, hub_fp), (n, hub_n), (extra, hub_extra)))
-        rows = np.concatenate((member, first))
+        own_fp, own_n, own_extra = (np.concatenate((x[rows][member], y[first])) for x, y in ((fp, hub_fp), (n, hub_n), (extra, hub_extra)))
+        both = np.concatenate((member, first))
         yield pa.RecordBatch.from_arrays(
-            [key(own_fp, own_n), pa.array(own_extra.astype(np.int32)), pa.array(token[rows]), key(hub_fp[rows], hub_n[rows])],
+            [key(own_fp, own_n), pa.array(own_extra.astype(np.int32)), pa.array(token[rows][both]), key(hub_fp[both], hub_n[both])],
             names=["key", "extra", "token", "hub"],
         )
 
@@ -251,6 +284,17 @@ def _could_link(percent: int, shared, left: str, right: str):
     )
 
 
+def _could_share(percent: int, most, left: str, right: str):
+    """Whether `_could_link` can hold where no more than `most` is shared and only the size of the right set is known.
+
+    Its extra is then taken as the least there is, which makes its rest the longest.
+    """
+    n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
+    need = F.ceil((n + m) * percent / F.lit(100 + percent))
+    rest = F.greatest(n - F.col("prefix"), F.ceil(m * percent / F.lit(100)) - EXTRA[0])
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (most + rest >= need)
+
+
 def overlaps(a: np.ndarray, sizes_a: np.ndarray, b: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
     """Sizes of all intersections of two blocks of sets (laid end to end), by products of 0/1 matrices in column blocks."""
     rows_a, rows_b = np.repeat(np.arange(len(sizes_a)), sizes_a), np.repeat(np.arange(len(sizes_b)), sizes_b)
@@ -372,7 +416,7 @@ def _block_pairs(members: DataFrame, mains: str, rests: str) -> DataFrame:
 
 
 def _needed_sets(docs: DataFrame, needed: DataFrame, words: int, bitmap: int, root: str) -> DataFrame:
-    """(key, sh, is_hub): the shingles of each needed set, with its mark, read from the texts again.
+    """(key, sh, and the other columns of `needed`): the shingles of each needed set, read from the texts again.
 
     A bitmap of fixed size, set by the needed sets, keeps the others inside their task.
     """
@@ -412,7 +456,7 @@ def _needed_sets(docs: DataFrame, needed: DataFrame, words: int, bitmap: int, ro
         )
 
     texts = docs.select("text").mapInArrow(run, f"key {KEY}, sh array<bigint>")
-    return stored(texts.join(needed, "key").groupBy("key").agg(F.first("sh").alias("sh"), F.first("is_hub").alias("is_hub")), "sets", root)
+    return stored(texts.join(needed, "key").groupBy("key").agg(*(F.first(c).alias(c) for c in ("sh", *needed.columns) if c != "key")), "sets", root)
 
 
 def near_duplicates(
@@ -493,7 +537,7 @@ def classes(
     met = (
         posted.repartition("token")
         .sortWithinPartitions("token", F.col("doc_id").asc_nulls_last(), "fp")
-        .mapInArrow(_hubs, f"key {KEY}, extra int, token bigint, hub {KEY}")
+        .mapInArrow(lambda batches: _hubs(batches, percent), f"key {KEY}, extra int, token bigint, hub {KEY}")
     )
     sets = stored(
         met.groupBy("key").agg(F.max("extra").alias("extra"), F.collect_set("token").alias("tokens"), F.collect_set("hub").alias("hubs")),
@@ -502,11 +546,12 @@ def classes(
     ).withColumn("prefix", _prefix("key.n", "extra", percent).cast("int"))
 
     joined = sets.withColumn("hub", F.explode("hubs")).drop("hubs")
-    hubs = sets.select(
+    hubs = sets.where(F.array_contains("hubs", F.col("key"))).select(
         F.col("key").alias("hub"), F.col("extra").alias("hub_extra"), F.col("prefix").alias("hub_prefix"), F.col("tokens").alias("hub_tokens")
     )
     stars = stored(
         joined.where("key != hub")
+        .where(_could_share(percent, F.size("tokens"), "key", "hub"))
         .withColumnsRenamed({"extra": "key_extra", "prefix": "key_prefix"})
         .join(hubs, "hub")
         .withColumn("shared", F.size(F.array_intersect("tokens", "hub_tokens")))
@@ -541,14 +586,16 @@ def classes(
         return found.select(_key("hub_fp", "hub_n").alias("hub"), _key("fp", "n").alias("key"))
 
     flagged = stored(flags(joined.withColumn("main", F.lit(False)), "all").select("key").distinct(), "flagged", root)
-    needed = flagged.union(stars.select("key")).withColumn("is_hub", F.lit(False)).union(stars.select("hub", F.lit(True)))
-    needed = needed.groupBy("key").agg(F.max("is_hub").alias("is_hub"))
+    # Each set takes its hubs along, so that it is dealt to them as it is and not joined with the stars again.
+    needed = flagged.select("key", F.lit(False).alias("is_hub"), F.lit(None).cast(KEY).alias("hub")).union(stars.select("key", F.lit(False), "hub"))
+    needed = needed.union(stars.select("hub", F.lit(True), F.lit(None).cast(KEY)))
+    needed = needed.groupBy("key").agg(F.max("is_hub").alias("is_hub"), F.collect_list("hub").alias("hubs"))
     marked = _needed_sets(docs, stored(needed, "needed", root), words, bitmap, root)
     shingles = marked.select("key", "sh")
 
     shared = F.size(F.array_intersect("sh", "hub_sh"))
     first = (
-        stars.join(shingles, "key")
+        marked.select("key", "sh", F.explode("hubs").alias("hub"))
         .join(marked.where("is_hub").select(F.col("key").alias("hub"), F.col("sh").alias("hub_sh")), "hub")
         .withColumn("shared", shared)
         .where(F.col("shared") * 100 >= (F.col("key.n") + F.col("hub.n") - F.col("shared")) * percent)

@@ -4,9 +4,10 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from holdfast.llm.components import connected_components
-from holdfast.llm.near_duplicates import EXTRA, _hubs, _needed_sets, _posted, choose_extra, least_overlap, near_duplicates, one_of_each, overlaps
+from holdfast.llm.near_duplicates import EXTRA, KEY, _combined, _could_link, _could_share, _hubs, _needed_sets, _pack, _posted, _unpack, choose_extra, least_overlap, near_duplicates, one_of_each, overlaps
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -173,3 +174,84 @@ def test_needed_sets_come_once_with_their_mark(spark, tmp_path):
     needed = spark.createDataFrame([(keys[1], True), (keys[2], False)], "key struct<fp: bigint, n: int>, is_hub boolean")
     found = _needed_sets(docs, needed, 5, 1 << 10, str(tmp_path)).collect()
     assert sorted((tuple(r.key), len(r.sh), r.is_hub) for r in found) == sorted([(keys[1], 2, True), (keys[2], 1, False)])
+
+
+def postings(lists):
+    """Postings of lists of (doc_id, size); every set is its own, named by its doc_id."""
+    rows = [(token, doc, n) for token, docs in lists for doc, n in docs]
+    columns = [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] << 3 for r in rows], pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, names=["token", "doc_id", "fp", "size"])
+
+
+def test_lists_are_cut_where_sizes_cannot_link():
+    """Chance meetings of short and long documents grow with the square of the table, and give no rows."""
+    whole = postings([(1, [(1, 100), (2, 1000)]), (2, [(1, 100), (2, 1000), (3, 134), (4, 750), (5, 10)]), (3, [(1, 100), (3, 133), (6, 178)]), (4, [(9, 1), (10, 1000)])])
+    found = {(r["token"], r["key"]["fp"], r["hub"]["fp"]) for batch in _hubs([whole], 75) for r in batch.to_pylist()}
+    # 100 and 134 are too far apart, 100 and 133 are not; the last list may go on, so it stays whole.
+    assert {x for x in found if x[0] < 3} == {(2, 2, 2), (2, 4, 2)}
+    assert {x for x in found if x[0] == 3} == {(3, 1, 1), (3, 3, 1)}
+    assert {x for x in found if x[0] == 4} == {(4, 9, 9), (4, 10, 9)}
+
+
+def test_lists_over_several_batches_lose_no_pair():
+    dice = random.Random(5)
+    sizes = {doc: dice.choice([40, 50, 60, 80, 90, 300, 1000]) for doc in range(200)}
+    lists = [(token, [(doc, sizes[doc]) for doc in sorted(dice.sample(range(200), dice.choice([1, 2, 3, 9, 30])))]) for token in range(80)]
+    whole = postings(lists)
+    for step in (1, 2, 7, 1000):
+        hub = {}
+        for batch in _hubs([whole.slice(k, step) for k in range(0, whole.num_rows, step)], 75):
+            for r in batch.to_pylist():
+                assert hub.setdefault((r["token"], r["key"]["fp"]), r["hub"]["fp"]) == r["hub"]["fp"] and r["key"]["n"] == sizes[r["key"]["fp"]]
+        assert all((token, x) in hub for (token, _), x in hub.items())
+        for token, docs in lists:
+            for a, n in docs:
+                for b, m in docs:
+                    if a != b and min(n, m) * 100 >= max(n, m) * 75:
+                        assert hub[token, a] == hub[token, b]
+
+
+def test_sets_of_all_sizes_that_share_passages(spark, frame, prose):
+    dice = random.Random(11)
+    passages = [prose(12) for _ in range(4)]
+    rows = [(key, f"{prose(dice.choice([2, 5, 9, 20, 60]))} {dice.choice(passages)} {prose(dice.choice([0, 3, 30]))}") for key in range(150)]
+    rows += [(200 + key, edited(dice.choice(rows)[1], 0.02, dice)) for key in range(80)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        assert collected(near_duplicates(frame(rows, partitions=3), block=8, sketch=1 << 14, bitmap=1 << 10)) == sorted(brute_force(rows), key=order)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_what_cannot_share_enough_cannot_link(spark):
+    dice, rows = random.Random(2), []
+    for _ in range(4000):
+        n, m = dice.randrange(1, 60), dice.randrange(1, 60)
+        k, j = (dice.choice([x for x in EXTRA if x <= least_overlap(size, 75)]) for size in (n, m))
+        prefix, hub_prefix = n - least_overlap(n, 75) + k, m - least_overlap(m, 75) + j
+        most = dice.randrange(1, prefix + 1)
+        rows.append(((0, n), (1, m), k, j, prefix, hub_prefix, most, dice.randrange(0, min(most, hub_prefix) + 1)))
+    df = spark.createDataFrame(rows, f"key {KEY}, hub {KEY}, key_extra int, hub_extra int, key_prefix int, hub_prefix int, most int, shared int").withColumn("prefix", F.col("key_prefix"))
+    found = df.select(_could_link(75, F.col("shared"), "key", "hub"), _could_share(75, F.col("most"), "key", "hub")).collect()
+    assert not any(link and not share for link, share in found)
+    assert any(link for link, _ in found) and sum(not share for _, share in found) > 1000
+
+
+def test_a_task_sums_its_rows_of_the_sketch():
+    """So that what is shuffled does not grow with the tasks that counted."""
+    counts = [np.arange(1 << 14, dtype=np.uint32), np.full(1 << 14, 7, np.uint32)]
+    batch = lambda parts, found: pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([_pack(x) for x in found], pa.binary())], names=["part", "counts"])
+    rows = pa.Table.from_batches(_combined([batch([3, 5], counts), batch([3], counts[1:])])).to_pylist()
+    found = {row["part"]: _unpack(row["counts"]) for row in rows}
+    assert len(rows) == 2 and (found[3] == counts[0] + 7).all() and (found[5] == 7).all()
+    assert list(_combined([])) == []
+
+
+def test_needed_sets_take_their_hubs_along(spark, tmp_path):
+    """So that the sets are not joined with the stars again."""
+    docs = spark.createDataFrame([("a b c d e f",), ("g h i j k",)], "text string")
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b c d e f", "g h i j k"])], names=["doc_id", "text"])
+    keys = {row["doc_id"]: (row["fp"], row["size"] >> 3) for row in pa.Table.from_batches(_posted(5, 75, Sketch)([batch])).to_pylist()}
+    needed = spark.createDataFrame([(keys[1], True, []), (keys[2], False, [keys[1]])], f"key {KEY}, is_hub boolean, hubs array<{KEY}>")
+    found = _needed_sets(docs, needed, 5, 1 << 10, str(tmp_path)).collect()
+    assert sorted((tuple(r.key), r.is_hub, [tuple(x) for x in r.hubs]) for r in found) == sorted([(keys[1], True, []), (keys[2], False, [keys[1]])])
