@@ -164,12 +164,11 @@ class _Block:
     def __init__(self, rows: pa.Table) -> None:
         lists = rows.column("sh").combine_chunks()
         self.values, self.sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        self.columns = [rows.column(name).to_numpy() for name in ("fp", "n", "root_fp", "root_n")]
-        self.roots = list(zip(*(column.tolist() for column in self.columns[2:])))
+        self.roots = list(zip(rows.column("root_fp").to_pylist(), rows.column("root_n").to_pylist()))
 
 
 def _joining(percent: int) -> Callable:
-    """Task for a pair of blocks: links that join what nothing joined before, as a forest."""
+    """Task for a pair of blocks: components that its links join, each linked with the least one that it reaches."""
 
     def run(rows: pa.Table) -> pa.Table:
         right = rows.column("side").to_numpy() == 1
@@ -184,14 +183,11 @@ def _joining(percent: int) -> Callable:
                 parent[x] = x = parent[parent[x]]
             return x
 
-        picked: list[tuple[int, int]] = []
         for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
-            one, other = find(a.roots[i]), find(b.roots[j])
-            if one != other:
-                parent[one] = other
-                picked.append((i, j))
-        at = np.array(picked, np.int64).reshape(-1, 2)
-        ends = [pa.array(side.columns[k][at[:, s]]) for s, side in enumerate((a, b)) for k in (0, 1)]
+            one, other = sorted((find(a.roots[i]), find(b.roots[j])))
+            parent[other] = one
+        joined = [(x, find(x)) for x in list(parent) if find(x) != x]
+        ends = [pa.array([pair[s][k] for pair in joined], kind) for s in (0, 1) for k, kind in enumerate((pa.int64(), pa.int32()))]
         return pa.table(ends, names=["fp_a", "n_a", "fp_b", "n_b"])
 
     return run
@@ -268,23 +264,22 @@ def near_copies(
     stars = members.where("key.fp <> hub").join(hubs, "hub").where(F.least(n, m) * 100 >= F.greatest(n, m) * percent).select("key", "hub_key")
     both = stars.join(sets, "key").join(sets.select(F.col("key").alias("hub_key"), F.col("sh").alias("hub_sh")), "hub_key")
     common = F.size(F.array_intersect("sh", "hub_sh"))
-    first = stored(
-        both.where(_linked(common, n, m, percent)).select(F.col("key").alias("a"), F.col("hub_key").alias("b")), "first", root
-    )
+    first = both.where(_linked(common, n, m, percent)).select(F.col("key").alias("a"), F.col("hub_key").alias("b"))
 
-    settled = stored(connected_components(first), "settled", root).withColumnRenamed("node", "key")
-    rooted = members.join(settled, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    settled = connected_components(first)
+    rooted = members.join(settled.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     of_hub = rooted.where("key.fp = hub").groupBy("hub").agg(F.min("root").alias("hub_root"))
     rooted = rooted.join(of_hub, "hub").withColumn("main", F.col("root") == F.col("hub_root")).drop("hub_root")
-    open_groups = stored(_dealt(stored(rooted, "rooted", root), block), "open", root)
     second = (
-        open_groups.join(sets, "key")
+        _dealt(stored(rooted, "rooted", root), block)
+        .join(sets, "key")
         .drop("key")
         .groupBy("hub", "i", "j")
         .applyInArrow(_joining(percent), "fp_a bigint, n_a int, fp_b bigint, n_b int")
         .select(F.struct(F.col("fp_a").alias("fp"), F.col("n_a").alias("n")).alias("a"), F.struct(F.col("fp_b").alias("fp"), F.col("n_b").alias("n")).alias("b"))
     )
-    final = connected_components(stored(first.union(second), "links", root)).withColumnRenamed("node", "key")
+    # Components found so far stand in for the first links, so few steps are left.
+    final = connected_components(settled.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second)).withColumnRenamed("node", "key")
 
     own = signed.where("key.n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
     own = stored(own.join(final, "key", "left").withColumn("root", F.coalesce("root", "key")), "classes", root)

@@ -3,9 +3,10 @@ import random
 import numpy as np
 import pytest
 
+from holdfast.llm import components, minmax
 from holdfast.llm.arrays import mix
 from holdfast.llm.minmax import bucket_names, near_copies, signatures, similarity
-from tests.llm.test_near_duplicates import brute_force, collected, edited, order
+from tests.llm.test_near_duplicates import brute_force, collected, edited, order, written
 
 
 def expected(rows, percent=85):
@@ -38,6 +39,17 @@ def test_a_large_group_of_near_copies_in_small_blocks(frame, prose):
     assert collected(near_copies(frame(rows), block=1 << 11)) == expected(rows)
 
 
+def test_a_large_group_of_near_copies_takes_few_tables(frame, prose, monkeypatch):
+    """Links are written once, and those of components found before are not walked again."""
+    names = written(monkeypatch, components, minmax)
+    dice = random.Random(2)
+    base = prose(200)
+    rows = [(n, edited(base, 0.014, dice)) for n in range(150)]
+    assert collected(near_copies(frame(rows))) == expected(rows)
+    assert len({row[2] for row in expected(rows)}) < 60
+    assert len(names) < 30
+
+
 def test_copies_that_do_not_link_with_their_hub_are_compared(frame, prose):
     """Chains: each links with the next only, and none with a third."""
     dice = random.Random(4)

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from holdfast.llm import components
+from holdfast.llm.arrays import stored
 from holdfast.llm.components import connected_components
 from holdfast.llm.near_duplicates import EXTRA, KEY, _combined, _could_link, _could_share, _hubs, _needed_sets, _pack, _posted, _unpack, choose_extra, least_overlap, near_duplicates, one_of_each, overlaps
 
@@ -125,6 +127,45 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def written(monkeypatch, *modules):
+    """Names of the tables that these modules write from now on."""
+    names = []
+
+    def noted(df, name, root=None):
+        names.append(name)
+        return stored(df, name, root)
+
+    for module in modules:
+        monkeypatch.setattr(module, "stored", noted)
+    return names
+
+
+def test_components_end_as_soon_as_all_hang_on_roots(spark, monkeypatch):
+    """Every table written costs a file for each partition, however few links are left."""
+    names = written(monkeypatch, components)
+    stars = [(10 * hub, 10 * hub + i) for hub in range(5) for i in range(1, 8)]
+    found = connected_components(spark.createDataFrame(stars, "a bigint, b bigint"))
+    assert sorted(map(tuple, found.collect())) == sorted((10 * hub + i, 10 * hub) for hub in range(5) for i in range(8))
+    assert names == ["edges-0", "seen-0"]
+    names.clear()
+    found = connected_components(spark.createDataFrame([*stars, (0, 10), (10, 20), (3, 40)], "a bigint, b bigint"))
+    roots = dict(map(tuple, found.collect()))
+    assert roots == {10 * hub + i: 30 if hub == 3 else 0 for hub in range(5) for i in range(8)}
+    assert len(names) <= 8
+
+
+def test_components_of_random_links(spark):
+    dice = random.Random(5)
+    for nodes, count in ((60, 30), (60, 60), (40, 120)):
+        links = [(dice.randrange(nodes), dice.randrange(nodes)) for _ in range(count)]
+        least = list(range(nodes))
+        for _ in range(nodes):
+            for a, b in links:
+                least[a] = least[b] = min(least[a], least[b])
+        found = connected_components(spark.createDataFrame(links, "a bigint, b bigint"))
+        assert sorted(map(tuple, found.collect())) == sorted((x, least[x]) for x in {x for a, b in links if a != b for x in (a, b)})
+
+
 def test_one_shingle_in_every_documents_prefix(frame, prose):
     """Short documents that all begin alike: one posting list holds them all."""
     dice = random.Random(9)
