@@ -5,6 +5,8 @@ which it held.  A day is shown as the last batch that bore on it left it, so a d
 the positions to show on it are those whose interval holds that version.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,73 +54,86 @@ def _versions_below(days: DataFrame) -> Column:
     return known.select(running).scalar()
 
 
-def holdings_on_days(days: DataFrame, intervals: DataFrame, prices: DataFrame, cash: DataFrame) -> DataFrame:
+def _stretches(own: Column) -> Column:
+    """The places from `first` up to, and without, `last`: one stretch per row of cash, and the stretches between these.
+
+    `own` is sorted by place.  A stretch is (start, stop, daily_net_cash, cash_date).
+    """
+    kind = "struct<start: int, stop: int, daily_net_cash: {}, cash_date: timestamp_ntz>"
+    after = F.transform(F.concat(F.array(F.col("first") - 1), own["place"]), lambda place: place + 1)
+    up_to = F.concat(own["place"], F.array("last"))
+    kind = kind.format(types.CASH.simpleString())
+    between = F.zip_with(
+        after, up_to, lambda start, stop: F.struct(start, stop, F.lit(None).cast(types.CASH), F.lit(None).cast("timestamp_ntz")).cast(kind)
+    )
+    with_cash = F.transform(own, lambda row: F.struct(row["place"], row["place"] + 1, row["daily_net_cash"], row["cash_date"]).cast(kind))
+    return F.concat(with_cash, F.filter(between, lambda one: one["start"] < one["stop"]))
+
+
+def _units(value: Column, kind: T.DecimalType) -> Column:
+    """A decimal as a whole number of its last digit."""
+    return (value.cast(kind) * 10**kind.scale).cast("bigint")
+
+
+def holdings_on_days(days: DataFrame, intervals: DataFrame, prices: DataFrame, cash: DataFrame, units: bool = False) -> DataFrame:
     """Snapshot rows of all given days, each as the batch of its version left it.
 
     `days` has a row (snapshot_date, version) per day, `intervals` the layout INTERVALS.  Rows are those of
-    `portfolio_snapshot` with the cash of these days, over the positions of the day's version.
-
-    Days are sorted by version in one array, of one entry per calendar day at most, so an interval's days are a
-    slice of it: the range join is two look-ups per interval, and nothing is shuffled above it.  Accounts
-    carry the cash of their days and tickers their price curve as arrays, and days are expanded last.
+    `portfolio_snapshot` with the cash of these days, over the positions of the day's version.  With `units`,
+    quantity, cost_basis and market_value stand beside that as whole numbers of their last digit, and account_type
+    as its place in `account_types`, which are far cheaper to add up and to group by (`totals_of_days`).
+
+    Days are sorted by version in one array, of one entry per calendar day at most, so an interval's days are
+    those from one place of it to another: the range join is two look-ups per interval, and nothing is shuffled above it.
+    Accounts carry the cash of their days and tickers their price curve as arrays.  Rows of cash alone come in as
+    intervals of one day.  Days are expanded last, from stretches of places, and what does
+    not depend on the day is worked out before; so a row costs two look-ups by place and a product.
     Intervals are few beside the rows that they become, so they are dealt to a fixed number of tasks, as
     for the join with the accounts, and not to as many as their own size asks for.
     """
     tasks = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     days = days.select(F.col("snapshot_date").cast("date").alias("snapshot_date"), "version")
-    sorted_days = days.agg(F.array_sort(F.collect_list(F.struct("snapshot_date", "version"))).alias("days"))
+    by_date = F.array_sort(F.collect_list(F.struct("snapshot_date", "version")))
     by_version = F.array_sort(
-        F.transform("days", lambda day, place: F.struct(day["version"].alias("version"), place.alias("place")))
+        F.transform(by_date, lambda day, place: F.struct(day["version"].alias("version"), day["snapshot_date"].alias("snapshot_date"), place.alias("date_place")))
     )
-    placed = sorted_days.select(F.posexplode("days").alias("place", "day")).select("place", "day.*")
+    sorted_days = days.agg(by_version.alias("days"))
+    placed = sorted_days.select(F.posexplode("days").alias("place", "day")).select("place", "day.version", "day.snapshot_date")
     flows = cash.select(
         *ACCOUNT, "daily_net_cash", F.col("transaction_date").alias("cash_date"), F.col("transaction_date").cast("date").alias("snapshot_date")
     ).join(placed, "snapshot_date")
-    amount = flows.schema["daily_net_cash"].dataType
     per_account = flows.groupBy(*ACCOUNT).agg(
-        F.collect_list(F.struct("place", "version", "daily_net_cash", "cash_date")).alias("cash")
+        F.array_sort(F.collect_list(F.struct("place", F.col("daily_net_cash").cast(types.CASH).alias("daily_net_cash"), "cash_date"))).alias("cash")
     )
+    # Stored in the order of the dates; read, they are put into the order of the places.
     curves = write_table(
         price_curves(intervals.select("ticker").distinct(), days, prices), f"{workspace(intervals.sparkSession)}/curves"
     )
+    curves = curves.withColumn("date_places", sorted_days.select("days.date_place").scalar()).select(
+        "ticker", F.transform("date_places", lambda place: F.get("curve", place)).alias("curve")
+    )
+    whole_curve = F.transform("curve", lambda price: F.coalesce(_units(price, types.PRICE), F.lit(0).cast("bigint")))
+    curves = curves.withColumn("whole_curve", whole_curve)
 
     def below(version: str) -> Column:
-        return F.coalesce(F.get("below", F.col(version).cast("int")), F.size("places")).cast("int")
+        return F.coalesce(F.get("below", F.col(version).cast("int")), F.lit(sorted_days.select(F.size("days")).scalar())).cast("int")
 
     own_cash = F.filter(
         F.coalesce("cash", F.array().cast(per_account.schema["cash"].dataType)),
-        lambda row: in_force(row["version"], F.col("valid_from"), F.col("valid_to")),
+        lambda row: (row["place"] >= F.col("first")) & (row["place"] < F.col("last")),
     )
     held = (
         intervals.repartition(tasks, *ACCOUNT)
         .withColumn("below", _versions_below(days))
-        .withColumn("places", sorted_days.select(by_version).scalar())
         .withColumn("first", below("valid_from"))
-        .withColumn("mine", F.slice("places", F.col("first") + 1, F.greatest(below("valid_to") - F.col("first"), F.lit(0)))["place"])
-        .drop("below", "places", "first")
-        .where(F.size("mine") > 0)
+        .withColumn("last", below("valid_to"))
+        .drop("below")
+        .where(F.col("first") < F.col("last"))
         .join(per_account, ACCOUNT, "left")
         .withColumn("own", own_cash)
-        .drop("cash")
+        .withColumn("stretches", _stretches(F.col("own")))
         .join(curves, "ticker")
-        .withColumn("days", sorted_days.scalar())
-    )
-    # Days without cash are plain numbers, which are cheap to expand; the few with cash come beside them.
-    kept = [*(name for name in intervals.columns if name != "ticker"), F.col("ticker").alias("held_ticker"), "days", "curve"]
-    without = F.when(F.size("own") == 0, F.col("mine")).otherwise(F.array_except("mine", "own.place"))
-    quiet = held.select(
-        *kept,
-        F.explode(without).alias("place"),
-        F.lit(None).cast(amount).alias("daily_net_cash"),
-        F.lit(None).cast("timestamp_ntz").alias("cash_date"),
-    )
-    moved = held.select(*kept, F.explode("own").alias("row")).select("*", "row.place", "row.daily_net_cash", "row.cash_date").drop("row")
-    securities = (
-        quiet.unionByName(moved)
-        .withColumn("snapshot_date", F.get("days", F.col("place"))["snapshot_date"])
-        .withColumn("latest_price", F.get("curve", F.col("place")))
-        .where(F.coalesce("current_shares", "daily_net_cash", F.lit(0)) > 0)
-        .select(*snapshot_columns())
+        .withColumnRenamed("ticker", "held_ticker")
     )
 
     accounts = intervals.select(*ACCOUNT, "valid_from", "valid_to").distinct().alias("a")
@@ -129,16 +144,83 @@ def holdings_on_days(days: DataFrame, intervals: DataFrame, prices: DataFrame, c
         & in_force(F.col("f.version"), F.col("a.valid_from"), F.col("a.valid_to")),
         "left_anti",
     )
-    nothing = {
-        "held_ticker": "string", "current_shares": types.SHARE, "total_cost_basis": types.COST,
-        "average_cost_per_share": types.UNIT_COST, "last_trade_date": "date", "latest_price": types.PRICE,
-    }
-    cash_rows = (
-        alone.where(F.col("daily_net_cash") > 0)
-        .withColumns({name: F.lit(None).cast(kind) for name, kind in nothing.items()})
-        .select(*snapshot_columns())
+    one_day = F.struct(
+        F.col("place").alias("start"), (F.col("place") + 1).alias("stop"), F.col("daily_net_cash").cast(types.CASH).alias("daily_net_cash"), "cash_date"
+    )
+    needed = [
+        *ACCOUNT, "held_ticker", "current_shares", "total_cost_basis", "average_cost_per_share", "last_trade_date", "curve", "whole_curve", "stretches",
+    ]
+    nothing = {name: F.lit(None).cast(held.schema[name].dataType) for name in needed if name not in (*ACCOUNT, "stretches")}
+    cash_rows = alone.withColumns({**nothing, "stretches": F.array(one_day)}).select(*needed)
+
+    shares, basis = F.col("current_shares"), F.col("total_cost_basis")
+    # Whole shares, few enough that their value is a decimal of 18 digits at any price.
+    few = F.when((shares == F.round(shares, 0)) & (F.abs(shares) < 10**8), shares.cast("bigint"))
+    both = held.select(*needed).unionByName(cash_rows)
+    if units:
+        number = F.array_position(account_types(intervals, cash), F.col("account_type")).cast("int")
+        both, needed = both.withColumn("account_number", number), [*needed, "account_number"]
+    stretches = (
+        both.withColumn("stretch", F.explode("stretches"))
+        .select(*(name for name in needed if name != "stretches"), "stretch.*")
+        .where(F.coalesce("current_shares", "daily_net_cash", F.lit(0)) > 0)
+    )
+    if units:
+        stretches = stretches.withColumn("few_shares", few).withColumns(
+            {
+                "quantity_units": _units(F.when(F.col("held_ticker").isNotNull(), F.round(shares, 0)).otherwise(F.col("daily_net_cash")), types.SHARE),
+                "cost_basis_units": _units(F.coalesce(basis, "daily_net_cash"), types.COST),
+            }
+        )
+    rows = (
+        stretches.withColumn("place", F.explode(F.sequence("start", F.col("stop") - 1)))
+        .withColumn("snapshot_date", F.get(sorted_days.select("days.snapshot_date").scalar(), F.col("place")))
+        .withColumn("latest_price", F.get("curve", F.col("place")))
     )
-    return securities.unionByName(cash_rows)
+    if not units:
+        return rows.select(*snapshot_columns())
+    slow = F.round(F.when(F.col("held_ticker").isNotNull(), shares * F.coalesce("latest_price", F.lit(0).cast(types.PRICE))).otherwise(F.col("daily_net_cash")), 2)
+    value = F.when(F.col("few_shares").isNotNull(), F.col("few_shares") * F.get("whole_curve", F.col("place"))).otherwise(_units(slow, types.COST))
+    return rows.select(*snapshot_columns(), "account_number", "quantity_units", "cost_basis_units", value.alias("market_value_units"))
+
+
+def account_types(intervals: DataFrame, cash: DataFrame) -> Column:
+    """All account types, sorted, as one array; a result with a row per account type is larger."""
+    found = intervals.select("account_type").union(cash.select("account_type"))
+    return found.agg(F.array_sort(F.collect_set("account_type"))).scalar()
+
+
+def totals_of_days(rows: DataFrame, account_types: Column) -> DataFrame:
+    """Rows of `holdings_on_days`, made with `units`, summed per day, account type and kind.
+
+    A row is hashed by numbers: texts as keys would cost as much as the rest of the row.
+    """
+    sums = {"quantity": types.SHARE, "cost_basis": types.COST, "market_value": types.COST}
+    is_cash = F.col("holding_type") == "CASH"
+    totals = rows.groupBy("snapshot_date", "account_number", is_cash.alias("is_cash")).agg(
+        F.count("*").alias("rows"),
+        *(exact_sum(f"{name}_units", kind).alias(name) for name, kind in sums.items()),
+        F.max("last_transaction_date").alias("last_transaction_date"),
+    )
+    return totals.select(
+        "snapshot_date",
+        F.get(account_types, F.col("account_number") - 1).alias("account_type"),
+        F.when(F.col("is_cash"), "CASH").otherwise("SECURITY").alias("holding_type"),
+        "rows",
+        *sums,
+        "last_transaction_date",
+    )
+
+
+def exact_sum(units: str, kind: T.DecimalType) -> Column:
+    """The sum of whole numbers of a decimal's last digit, as that decimal's sum.
+
+    Their upper and lower halves are summed apart, as bigint, so no sum of less than 2^31 rows is too large.
+    """
+    low = F.sum(F.col(units).bitwiseAND(0xFFFFFFFF)).cast("decimal(20,0)")
+    high = F.sum(F.shiftright(units, 32)).cast("decimal(20,0)")
+    unit = F.lit(Decimal(1).scaleb(-kind.scale))
+    return ((high * F.lit(Decimal(2**32)) + low).cast("decimal(30,0)") * unit).cast(f"decimal({kind.precision + 10},{kind.scale})")
 
 
 def newest_day(days: DataFrame) -> DataFrame:

@@ -241,14 +241,8 @@ def holdings_on_days(spark: SparkSession, folder: str) -> DataFrame:
     prices = write_table(A.brand_prices(spark, folder), f"{root}/prices")
     intervals = write_table(history.intervals(), f"{root}/intervals")
     cash = write_table(history.cash.read(), f"{root}/cash")
-    rows = I.holdings_on_days(history.all_days(), intervals, prices, cash)
-    return plain(
-        rows.groupBy("snapshot_date", "account_type", "holding_type").agg(
-            F.count("*").alias("rows"),
-            *(F.sum(name).alias(name) for name in ("quantity", "cost_basis", "market_value")),
-            F.max("last_transaction_date").alias("last_transaction_date"),
-        )
-    )
+    rows = I.holdings_on_days(history.all_days(), intervals, prices, cash, units=True)
+    return plain(I.totals_of_days(rows, I.account_types(intervals, cash)))
 
 
 ACCOUNT_CASH = schema(customer_id=LONG, account_type=TEXT, net_cash=CASH)

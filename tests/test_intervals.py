@@ -257,3 +257,60 @@ def test_states_are_hashed_and_those_of_one_batch_not_even_shuffled(spark, tmp_p
     text = two._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in text and "HashAggregate" in text
     assert {(row.customer_id, int(row.current_shares)) for row in two.collect()} == {(None, 5), (2, 1)}
+
+
+def odd_intervals(spark, history):
+    """The intervals of a history, and some with parts of shares, many shares, no cost and no account."""
+    day = dt.date(2024, 1, 3)
+    odd = [
+        (50, "IRA", "A", Decimal("2.5"), Decimal("-7.01"), None, day, day, NOW, 0, None),
+        (50, "IRA", "B", Decimal(10**8 + 1), Decimal("999999.99"), None, day, None, NOW, 0, 1),
+        (51, None, "A", Decimal(7), None, None, day, day, NOW, 0, 2),
+        (51, "Odd", "C", Decimal("0.0001"), Decimal(1), None, day, day, NOW, 1, None),
+        (52, "Odd", "C", Decimal(0), Decimal(1), None, day, day, NOW, 1, None),
+        (1, "IRA", None, Decimal(3), Decimal(1), None, day, day, NOW, 0, None),
+    ]
+    return history.intervals().unionByName(spark.createDataFrame(odd, I.INTERVALS))
+
+
+def test_totals_of_days_are_the_sums_of_their_rows(spark, tmp_path, rows):
+    history, prices = new_history(spark, str(tmp_path)), some_prices(spark)
+    for n, (traded, paid) in enumerate(some_batches(spark, 3)):
+        the_step(history)(tagged_union(trades=traded, deposits=paid), n)
+    intervals, cash, days = odd_intervals(spark, history), history.cash.read(), history.all_days()
+    key, sums = ("snapshot_date", "account_type", "holding_type"), ("quantity", "cost_basis", "market_value")
+    expected = I.holdings_on_days(days, intervals, prices, cash).groupBy(*key).agg(
+        F.count("*").alias("rows"), *(F.sum(name).alias(name) for name in sums), F.max("last_transaction_date").alias("last_transaction_date")
+    )
+    shown = I.holdings_on_days(days, intervals, prices, cash, units=True)
+    found = I.totals_of_days(shown, I.account_types(intervals, cash))
+    assert found.dtypes == expected.dtypes
+    assert rows(found) == rows(expected)
+    assert {row.account_type for row in found.collect()} > {None, "Odd"}
+    # With `units` the rows are the same.
+    assert rows(shown.select(*COLUMNS)) == rows(I.holdings_on_days(days, intervals, prices, cash).select(*COLUMNS))
+    assert I.totals_of_days(I.holdings_on_days(days.limit(0), intervals, prices, cash, units=True), I.account_types(intervals, cash)).collect() == []
+
+
+def test_sums_of_units_are_exact(spark):
+    values = [2**63 - 1, 2**63 - 1, -5, None, -(2**40)]
+    units = spark.createDataFrame([(1, value) for value in values] + [(2, None)], "k int, units bigint")
+    found = {row.k: row.total for row in units.groupBy("k").agg(I.exact_sum("units", POSITIONS["current_shares"].dataType).alias("total")).collect()}
+    assert found == {1: Decimal(2 * (2**63 - 1) - 5 - 2**40).scaleb(-4), 2: None}
+
+
+def test_rows_of_days_are_summed_by_the_stage_that_makes_them(spark, tmp_path):
+    """Nothing stands between the expansion over the days and the first sums, and no decimal is summed there."""
+    history, prices = new_history(spark, str(tmp_path)), some_prices(spark)
+    for n, (traded, paid) in enumerate(some_batches(spark, 2)):
+        the_step(history)(tagged_union(trades=traded, deposits=paid), n)
+    cash = history.cash.read()
+    shown = I.holdings_on_days(history.all_days(), history.intervals(), prices, cash, units=True)
+    found = I.totals_of_days(shown, I.account_types(history.intervals(), cash))
+    # Of a node with subqueries, these stand before its child and begin with a colon.
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    spine = [line.lstrip()[3:] for line in lines if line.lstrip().startswith("+- ")]
+    partial = next(place for place, node in enumerate(spine) if node.startswith("HashAggregate") and "partial_sum" in node)
+    assert [node.split(" ")[0] for node in spine[partial + 1 : partial + 3]] == ["Project", "Generate"]
+    assert "sequence(" in spine[partial + 2]
+    assert "decimal" not in spine[partial].lower() and "account_type" not in spine[partial]
