@@ -53,27 +53,27 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
 
 
-def _order_lines(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
-    )
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
 
 
 def trades_flat(spark: SparkSession, folder: str) -> DataFrame:
     """Trades with parts as tickers and order priorities as accounts."""
-    return _trades(_order_lines(spark, folder, _orders(spark, folder)), "o_orderpriority", "l_partkey")
+    lines = _lines(spark, folder).join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
+    return _trades(lines, "o_orderpriority", "l_partkey")
 
 
 def brand_trades(spark: SparkSession, folder: str) -> DataFrame:
     """Trades with brands as tickers and market segments as accounts, enriched.
 
-    Orders, not their many lines, are shuffled to meet the customers.
+    Orders, not their many lines, are shuffled to meet the customers.  Lines meet their parts first, while
+    they are narrow, and their orders last, so the trades of an order stay together in what follows.
     """
     parts = table(spark, folder, "part").select("p_partkey", "p_brand")
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     orders = _orders(spark, folder).join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = _order_lines(spark, folder, orders).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    branded = _lines(spark, folder).join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
+    lines = branded.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return enrich_trades(_trades(lines, "c_mktsegment", "p_brand"))
 
 

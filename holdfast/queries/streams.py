@@ -17,7 +17,7 @@ from ..plans import cash as C
 from ..plans import holdings as H
 from ..plans import intervals as I
 from ..plans.trades import flattened
-from ..session import workspace
+from ..session import move_files, workspace
 from ..sources.files import CSV_WRITE_OPTIONS, parse_payload, write_table
 from ..streaming import (
     BatchFolders,
@@ -218,12 +218,13 @@ def _follow(spark: SparkSession, root: str, trades: str, deposits: str) -> Holdi
 
 
 def _two_drops(spark: SparkSession, folder: str, root: str) -> HoldingsHistory:
-    """A history after two drops of both feeds, of trades that are joined once."""
-    traded = write_table(A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames()), f"{root}/traded")
-    early = F.col("transaction_date") < F.lit(A.BATCH_CUT)
-    for trades, deposits in zip((traded.where(early), traded.where(~early)), _deposit_drops(spark, folder), strict=True):
-        trades.write.mode("append").parquet(f"{root}/trades")
-        deposits.write.mode("append").parquet(f"{root}/deposits")
+    """A history after two drops of both feeds, of trades that are joined and stored once and land as files."""
+    drop = F.when(F.col("transaction_date") < F.lit(A.BATCH_CUT), 0).when(F.col("transaction_date") >= F.lit(A.BATCH_CUT), 1)
+    traded = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames()).withColumn("drop", drop).where("drop IS NOT NULL")
+    write_table(traded, f"{root}/traded", partition_by=("drop",), few=True)
+    for number, deposits in enumerate(_deposit_drops(spark, folder)):
+        move_files(spark, f"{root}/traded/drop={number}", f"{root}/trades", f"drop{number}-")
+        deposits.write.mode("append").option("compression", "zstd").parquet(f"{root}/deposits")
         history = _follow(spark, root, f"{root}/trades", f"{root}/deposits")
     return history
 

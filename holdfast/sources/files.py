@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import types as layouts
+from ..session import shuffles_dropped
 
 # Comma separated, optionally quoted by ", a quote inside a field is
 # doubled, \N stands for NULL.
@@ -109,22 +110,24 @@ def write_table(
     Partitioned writes ask for a rebalance: small partitions are merged, and a
     partition with too much data is split over several tasks.  Where the caller says that the
     partitions are `few`, every task writes its own rows of each, and no row is shuffled or sorted.
+    Shuffles go with the end of the write.
     """
     if partition_by and not few:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    if few:
-        with _open_files(df.sparkSession):
-            writer.option("parquet.block.size", FEW_BLOCK).parquet(path)
-    else:
-        writer.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        if few:
+            with open_files(df.sparkSession):
+                writer.option("parquet.block.size", FEW_BLOCK).parquet(path)
+        else:
+            writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
-def _open_files(spark: SparkSession) -> Iterator[None]:
+def open_files(spark: SparkSession) -> Iterator[None]:
     """Let a task keep a file open per partition; beyond `FEW` of them Spark sorts the rest of its rows."""
     name = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name, None)

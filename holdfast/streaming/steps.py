@@ -23,10 +23,13 @@ VERSION = T.StructField("version", T.LongType())
 
 
 def run_steps(*steps: Step) -> Step:
-    """Several steps on one batch, in order, over one cached copy of it."""
+    """Several steps on one batch, in order, over one cached copy of it.
+
+    What memory does not hold of the copy is read from the feed's files again, as these are smaller than a copy on disk.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(SPILLING)
+        batch = batch.persist(StorageLevel.MEMORY_ONLY)
         try:
             for step in steps:
                 step(batch, batch_id)
@@ -218,7 +221,8 @@ def history_step(
             history.closed.add(closed_intervals(held, history.positions.changed(batch_id), batch_id), batch_id)
         finally:
             held.unpersist()
-        days = touched_dates(traded).union(touched_dates(moved)).distinct()
+        # The daily sums say on which days cash moved, so movements are not gathered again.
+        days = touched_dates(traded).union(touched_dates(history.cash.added(batch_id))).distinct()
         history.days.add(days.withColumn("version", F.lit(batch_id).cast("bigint")), batch_id)
         if (batch_id + 1) % compact_every == 0:
             history.positions.compact(batch_id)

@@ -13,32 +13,45 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import folder_names, is_written
+from ..session import folder_names, is_written, shuffles_dropped
+from ..sources.files import FEW, FEW_BLOCK, open_files
 
 NOW = 2**62
 
 
+def nothing(spark: SparkSession, layout: T.StructType) -> DataFrame:
+    """No rows, which the planner knows: unions and joins with them go."""
+    return spark.createDataFrame([], layout).limit(0)
+
+
 @dataclass(frozen=True)
 class BatchFolders:
     """Folders `source=S/batch_id=N` below one path, read as one table.
 
     Batch ids count per query, so each query that writes names itself as a source.  With
     `partition_by`, a batch has a folder for each value of these columns, which are part of the layout.
+    Where these are `few`, every task writes its own rows of each, and no row is shuffled for it.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    few: bool = False
 
     def folder(self, source: str, batch_id: int) -> str:
         return f"{self.path}/source={source}/batch_id={batch_id}"
 
     def write(self, df: DataFrame, batch_id: int, source: str = "feed") -> None:
-        if self.partition_by:
+        if self.partition_by and not self.few:
             df = df.hint("rebalance", *self.partition_by)
-        writer = df.write.mode("overwrite").option("compression", "zstd")
-        writer.partitionBy(*self.partition_by).parquet(self.folder(source, batch_id))
+        writer = df.write.mode("overwrite").option("compression", "zstd").partitionBy(*self.partition_by)
+        with shuffles_dropped(df.sparkSession):
+            if self.few:
+                with open_files(df.sparkSession):
+                    writer.option("parquet.block.size", FEW_BLOCK).parquet(self.folder(source, batch_id))
+            else:
+                writer.parquet(self.folder(source, batch_id))
 
     def sources(self) -> list[str]:
         return [name.removeprefix("source=") for name in folder_names(self.spark, self.path)]
@@ -64,7 +77,7 @@ class BatchFolders:
             ]
         )
         if not paths:
-            return self.spark.createDataFrame([], layout)
+            return nothing(self.spark, layout)
         return self.spark.read.schema(layout).option("basePath", self.path).parquet(*paths)
 
 
@@ -92,6 +105,10 @@ class BatchLog:
     def add(self, rows: DataFrame, batch_id: int, source: str = "feed") -> None:
         self._folders().write(rows.select(*self.schema.fieldNames()), batch_id, source)
 
+    def added(self, batch_id: int, source: str = "feed") -> DataFrame:
+        """The rows that one batch added."""
+        return self._folders().read([(source, batch_id)]).select(*self.schema.fieldNames())
+
     def versions(self) -> dict[str, int]:
         """The last batch of each source."""
         folders = self._folders()
@@ -200,7 +217,7 @@ class ChangeTable:
 
     def _folders(self, name: str) -> BatchFolders:
         layout = [*self.schema.fields, T.StructField("deleted", T.BooleanType()), T.StructField("bucket", T.IntegerType())]
-        return BatchFolders(self.spark, f"{self.path}/{name}", T.StructType(layout), ("bucket",))
+        return BatchFolders(self.spark, f"{self.path}/{name}", T.StructType(layout), ("bucket",), self.buckets <= FEW)
 
     def _changes(self) -> BatchFolders:
         return self._folders("changes")
@@ -259,7 +276,7 @@ class ChangeTable:
         """
         limit = NOW if before is None else before
         if not any(n < limit for n in self._changes().batches()):
-            return self.spark.createDataFrame([], self.schema)
+            return nothing(self.spark, self.schema)
         if only is None:
             return self._state(self._rows(limit, limit, None), self._told_once(limit, limit))
         rows = self._rows(limit, limit, self.buckets_of(only))

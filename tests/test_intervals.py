@@ -11,6 +11,8 @@ from holdfast.operators import merge_positions
 from holdfast.plans import cash as C
 from holdfast.plans import holdings as H
 from holdfast.plans import intervals as I
+from holdfast.session import move_files, shuffles_dropped
+from holdfast.sources.files import write_table
 from holdfast.streaming import (
     BatchSums,
     ChangeTable,
@@ -314,3 +316,57 @@ def test_rows_of_days_are_summed_by_the_stage_that_makes_them(spark, tmp_path):
     assert [node.split(" ")[0] for node in spine[partial + 1 : partial + 3]] == ["Project", "Generate"]
     assert "sequence(" in spine[partial + 2]
     assert "decimal" not in spine[partial].lower() and "account_type" not in spine[partial]
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(place).getName() for place in range(found.size()) if found.apply(place).getName().startswith("shuffle_")}
+
+
+def test_shuffles_go_with_the_write_that_made_them(spark, tmp_path, rows):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name, None)
+    sums = spark.range(2000).selectExpr("id % 700 AS customer_id", "id AS n").groupBy("customer_id").agg(F.sum("n").alias("n"))
+    stored = write_table(sums, str(tmp_path / "sums"))
+    held = ChangeTable(spark, str(tmp_path / "held"), POSITIONS, POSITION_KEY, 4)
+    step = positions_step(held, NOW)
+    for day in (1, 2):
+        step(trades(spark, *((c, "A", "Buy", 1, 1, day) for c in range(50))), day)
+    # Only the look for buckets, which is no write, may have left some.
+    left = {file for file in shuffle_files(spark) - before if file.endswith(".data")}
+    assert stored.count() == 700 and {int(row.current_shares) for row in held.read().collect()} == {2}
+    assert len({file.split("_")[1] for file in left}) <= 1
+    with shuffles_dropped(spark), shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) == setting
+
+
+def test_first_changes_are_read_without_a_join(spark, tmp_path):
+    history = new_history(spark, str(tmp_path))
+    (traded, paid), *_ = some_batches(spark, 1)
+    the_step(history)(tagged_union(trades=traded, deposits=paid), 0)
+    for changed in (history.positions.changes(-1, 0), history.cash.changes({"feed": -1}, {"feed": 0})):
+        assert "Join" not in changed._jdf.queryExecution().optimizedPlan().toString()
+        assert {row.metadata_action for row in changed.collect()} == {"INSERT"}
+
+
+def test_a_batch_is_not_copied_to_disk_and_few_buckets_are_not_shuffled(spark, tmp_path, rows):
+    levels = []
+    run_steps(lambda batch, batch_id: levels.append(batch.storageLevel))(spark.range(3), 0)
+    assert [(level.useMemory, level.useDisk) for level in levels] == [(True, False)]
+    few, many = (ChangeTable(spark, str(tmp_path / name), POSITIONS, POSITION_KEY, count) for name, count in (("few", 4), ("many", 64)))
+    assert few._changes().few and not many._changes().few
+    traded = trades(spark, *((c, "A", "Buy", 1 + c, 10, 1) for c in range(90)))
+    for table in (few, many):
+        positions_step(table, NOW, compact_every=1)(traded, 0)
+    assert rows(few.read()) == rows(many.read()) and few.read().count() == 90
+    assert len(list((tmp_path / "few" / "changes" / "source=feed" / "batch_id=0").glob("bucket=*"))) == 4
+
+
+def test_files_land_by_being_moved(spark, tmp_path, rows):
+    for number in (0, 1):
+        spark.range(number, number + 1).write.parquet(str(tmp_path / f"drop={number}"))
+        move_files(spark, str(tmp_path / f"drop={number}"), str(tmp_path / "landed"), f"drop{number}-")
+        assert rows(spark.read.parquet(str(tmp_path / "landed"))) == [(n,) for n in range(number + 1)]
+    move_files(spark, str(tmp_path / "missing"), str(tmp_path / "empty"), "")
+    assert list((tmp_path / "empty").iterdir()) == []
