@@ -54,26 +54,32 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"
+    )
+
+
+def _order_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def trades_flat(spark: SparkSession, folder: str) -> DataFrame:
     """Trades with parts as tickers and order priorities as accounts."""
-    lines = _lines(spark, folder).join(_orders(spark, folder), F.col("l_orderkey") == F.col("o_orderkey"))
-    return _trades(lines, "o_orderpriority", "l_partkey")
+    return _trades(_order_lines(_lines(spark, folder), _orders(spark, folder)), "o_orderpriority", "l_partkey")
 
 
-def brand_trades(spark: SparkSession, folder: str) -> DataFrame:
+def brand_trades(spark: SparkSession, folder: str, all_days: bool = False) -> DataFrame:
     """Trades with brands as tickers and market segments as accounts, enriched.
 
-    Orders, not their many lines, are shuffled to meet the customers.  Lines meet their parts first, while
-    they are narrow, and their orders last, so the trades of an order stay together in what follows.
+    Orders, not their many lines, are shuffled to meet the customers.  Where the caller wants `all_days`, lines meet
+    their parts first, while they are narrow, and their orders last, so the trades of an order stay together
+    in what follows; else they meet the orders first, whose filters leave few of them.
     """
     parts = table(spark, folder, "part").select("p_partkey", "p_brand")
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     orders = _orders(spark, folder).join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    branded = _lines(spark, folder).join(parts, F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
-    lines = branded.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    of_part, lines = F.col("l_partkey") == F.col("p_partkey"), _lines(spark, folder)
+    lines = _order_lines(lines.join(parts, of_part), orders) if all_days else _order_lines(lines, orders).join(parts, of_part)
     return enrich_trades(_trades(lines, "c_mktsegment", "p_brand"))
 
 

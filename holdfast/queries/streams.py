@@ -220,7 +220,7 @@ def _follow(spark: SparkSession, root: str, trades: str, deposits: str) -> Holdi
 def _two_drops(spark: SparkSession, folder: str, root: str) -> HoldingsHistory:
     """A history after two drops of both feeds, of trades that are joined and stored once and land as files."""
     drop = F.when(F.col("transaction_date") < F.lit(A.BATCH_CUT), 0).when(F.col("transaction_date") >= F.lit(A.BATCH_CUT), 1)
-    traded = A.brand_trades(spark, folder).select(*TRADES_FLAT.fieldNames()).withColumn("drop", drop).where("drop IS NOT NULL")
+    traded = A.brand_trades(spark, folder, all_days=True).select(*TRADES_FLAT.fieldNames()).withColumn("drop", drop).where("drop IS NOT NULL")
     write_table(traded, f"{root}/traded", partition_by=("drop",), few=True)
     for number, deposits in enumerate(_deposit_drops(spark, folder)):
         move_files(spark, f"{root}/traded/drop={number}", f"{root}/trades", f"drop{number}-")
